@@ -319,7 +319,7 @@ PER_WINDOW_TOL = (
     f"WITH {REC}, {lin_tol()} SELECT {BY_BAND}, {rnd('tol')} AS tol FROM tol"
 )
 
-ORACLES: dict[str, str] = {
+_UNTYPED: dict[str, str] = {
     "welch_psd_events": welch_events(),
     "welch_from_windows": welch_events(),
     "welch_in_row": f"""{STFT}, {psd(VW, 32, density('hamming', 32, 64))}
@@ -455,3 +455,33 @@ SELECT vec_id, {VECTOR_RMSE} < 0.0103::DOUBLE AS matched FROM emb GROUP BY vec_i
     "rmse_long": RMSE,
     "paired_run_report": paired_report(),
 }
+
+
+# Positions are INTEGER in Spark and BIGINT in SQL: columns to narrow, by query.
+INTEGERS = {
+    "k": """welch_psd_events welch_from_windows welch_in_row fft_embeddings fft_zero_padded
+        fft_odd_nfft stft_embeddings stft_spectrum_norm fft_two_sided periodogram_even
+        periodogram_odd power_spectrum_hann power_spectrum_blackman spectrogram_lineitem
+        freq_vector""",
+    "i": """wav_records_skip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
+        wav_chunks decode_pcm vector_files calibrate_arrays tapered_embeddings tapered_long""",
+    "j": "fft_freq_vector",
+    "n": "records_skip records_keep",
+    "idx": """wav_features welch_spl_workflow welch_spl_padded welch_spl_stream
+        welch_spl_tol_workflow all_features""",
+    "window_idx": """segment_tol stft_embeddings stft_spectrum_norm spectrogram_lineitem
+        tol_per_window tol_per_window_array all_features""",
+    "band": """tol_bands tol_freq_vector freq_to_band band_to_freq tol_per_window
+        tol_per_window_array record_tol record_tol_sum tol_workflow tol_workflow_sorted tol_sum""",
+    "lo_bin": "tol_bands",
+    "hi_bin": "tol_bands",
+    "channel": "shape_features",
+}
+
+
+def _typed(name: str, sql: str) -> str:
+    narrow = ", ".join(f"{c}::INTEGER AS {c}" for c, names in INTEGERS.items() if name in names.split())
+    return f"SELECT * REPLACE ({narrow}) FROM ({sql})" if narrow else sql
+
+
+ORACLES = {name: _typed(name, sql) for name, sql in _UNTYPED.items()}
