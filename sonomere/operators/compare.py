@@ -49,101 +49,117 @@ def _nesting(df: DataFrame, col: str) -> int:
     return depth
 
 
+def _shape(col: str, depth: int) -> dict[str, Column]:
+    """Number of channels, of segments per channel and of values per segment, and the values."""
+    if depth == 1:
+        return {
+            "channels": F.lit(1),
+            "segments": F.array(F.lit(1)),
+            "lengths": F.array(F.size(col)),
+            "values": F.col(col),
+        }
+    inner = F.transform(col, F.size)
+    if depth == 2:
+        return {
+            "channels": F.size(col),
+            "segments": F.array(F.lit(1)),
+            "lengths": F.array_distinct(inner),
+            "values": F.flatten(col),
+        }
+    windows = F.flatten(col)
+    return {
+        "channels": F.size(col),
+        "segments": F.array_distinct(inner),
+        "lengths": F.array_distinct(F.transform(windows, F.size)),
+        "values": F.flatten(windows),
+    }
+
+
+def _sides(expected: DataFrame, actual: DataFrame, keys: Sequence[str], cols) -> DataFrame:
+    """Both results in one table, told apart by ``is_expected``."""
+    both = [
+        df.select(*keys, F.lit(side).alias("is_expected"), *[v.alias(n) for n, v in cols.items()])
+        for df, side in ((expected, True), (actual, False))
+    ]
+    return both[0].unionByName(both[1])
+
+
+def _paired(sides: DataFrame, keys: Sequence[str], cols, pick) -> DataFrame:
+    """One row per key: how often it occurs on each side, and what ``pick`` finds there."""
+    expected = F.col("is_expected")
+    return sides.groupBy(*keys).agg(
+        F.count_if(expected).alias("n_e"),
+        F.count_if(~expected).alias("n_a"),
+        *[pick(F.when(expected, F.col(c))).alias("e_" + c) for c in cols],
+        *[pick(F.when(~expected, F.col(c))).alias("a_" + c) for c in cols],
+    )
+
+
+def _key_checks() -> list[Column]:
+    return [
+        F.sum("n_e").alias("n_expected"),
+        F.sum("n_a").alias("n_actual"),
+        F.count_if((F.col("n_e") != F.col("n_a")) | (F.col("n_e") > 1)).alias("bad_keys"),
+    ]
+
+
+def _key_errors() -> Column:
+    return F.when(F.col("n_expected") != F.col("n_actual"), F.raise_error(F.lit(SIZES))).when(
+        F.col("bad_keys") > 0, F.raise_error(F.lit(KEYS))
+    )
+
+
 def rmse_results(
     expected: DataFrame, actual: DataFrame, keys: Sequence[str], col: str
 ) -> DataFrame:
     """Deviation of two results as a table of one value, ``rmse``.
 
-    ``col`` may be a number or an array nested up to three deep (channels, windows, values).
-    Both results must have the same keys and the same shape in every record. One shuffle brings
-    the two versions of a record together.
+    ``col`` may be an array nested up to three deep (channels, windows, values), or a number.
+    Both results must have the same keys, each once, and the same shape in every record. One
+    shuffle brings the two versions of a record together.
     """
     depth = _nesting(expected, col)
     if _nesting(actual, col) != depth:
         raise ValueError("The given results differ in type")
-    flat = F.col(col)
-    channels, segments, lengths = F.lit(1), F.lit(1), F.lit(None).cast("array<int>")
     if depth == 0:
-        flat = F.array(flat)
-    elif depth == 1:
-        lengths = F.array(F.size(col))
-    elif depth == 2:
-        channels = F.size(col)
-        lengths = F.array_distinct(F.transform(col, F.size))
-        flat = F.flatten(col)
-    else:
-        channels = F.size(col)
-        segments = F.array_distinct(F.transform(col, F.size))
-        flat = F.flatten(col)
-        lengths = F.array_distinct(F.transform(flat, F.size))
-        flat = F.flatten(flat)
-    segments = segments if depth == 3 else F.array(segments)
-
-    def side(df: DataFrame, is_expected: bool) -> DataFrame:
-        return df.select(
-            *keys,
-            F.lit(is_expected).alias("__expected"),
-            channels.alias("__channels"),
-            segments.alias("__segments"),
-            lengths.alias("__lengths"),
-            F.transform(flat, lambda v: v.cast("double")).alias("__v"),
-        )
-
-    both = side(expected, True).unionByName(side(actual, False))
-
-    def pick(name: str, is_expected: bool) -> Column:
-        wanted = F.col("__expected") == is_expected
-        return F.first(F.when(wanted, F.col(name)), ignorenulls=True)
-
-    shape = ["__channels", "__segments", "__lengths", "__v"]
-    pairs = both.groupBy(*keys).agg(
-        F.count_if(F.col("__expected")).alias("__ne"),
-        F.count_if(~F.col("__expected")).alias("__na"),
-        *[pick(c, True).alias("e" + c) for c in shape],
-        *[pick(c, False).alias("a" + c) for c in shape],
-    )
-    comparable = F.size("e__v") == F.size("a__v")
-    one_shape = F.size("e__lengths") <= 1
+        return rmse_long(expected, actual, keys, col)
+    cols = _shape(col, depth)
+    first = lambda v: F.first(v, ignorenulls=True)
+    pairs = _paired(_sides(expected, actual, keys, cols), keys, cols, first)
+
+    def uneven(name: str) -> Column:
+        """Records whose two versions differ, or are not of one shape in themselves."""
+        differ = F.col(f"e_{name}") != F.col(f"a_{name}")
+        return differ if name == "channels" else differ | (F.size(f"e_{name}") > 1)
+
+    shapes = ("channels", "segments", "lengths")
+    comparable = F.size("e_values") == F.size("a_values")
+    distance = _squared_distance(F.col("e_values"), F.col("a_values"))
     totals = pairs.agg(
-        F.sum("__ne").alias("ne"),
-        F.sum("__na").alias("na"),
-        F.count_if((F.col("__ne") != F.col("__na")) | (F.col("__ne") > 1)).alias("bad_keys"),
-        F.count_if(F.col("e__channels") != F.col("a__channels")).alias("bad_channels"),
-        F.min("e__channels").alias("min_channels"),
-        F.max("e__channels").alias("max_channels"),
-        F.count_if(
-            (F.col("e__segments") != F.col("a__segments")) | (F.size("e__segments") > 1)
-        ).alias("bad_segments"),
-        F.min("e__segments").alias("min_segments"),
-        F.max("e__segments").alias("max_segments"),
-        F.count_if((F.col("e__lengths") != F.col("a__lengths")) | ~one_shape).alias("bad_lengths"),
-        F.min("e__lengths").alias("min_lengths"),
-        F.max("e__lengths").alias("max_lengths"),
-        F.sum(F.when(comparable, _squared_distance(F.col("e__v"), F.col("a__v")))).alias("sq"),
-        F.sum(F.when(comparable, F.size("e__v"))).alias("n"),
-    )
-    length_message = LENGTHS if depth == 2 else SIZES
-
-    def differ(name: str) -> Column:
-        uneven = F.coalesce(F.col(f"min_{name}") != F.col(f"max_{name}"), F.lit(False))
-        return (F.col(f"bad_{name}") > 0) | uneven
-
-    return totals.select(
-        F.when(F.col("ne") != F.col("na"), F.raise_error(F.lit(SIZES)))
-        .when(F.col("bad_keys") > 0, F.raise_error(F.lit(KEYS)))
-        .when(differ("channels"), F.raise_error(F.lit(CHANNELS)))
-        .when(differ("segments"), F.raise_error(F.lit(SEGMENTS)))
-        .when(differ("lengths"), F.raise_error(F.lit(length_message)))
-        .otherwise(F.sqrt(F.col("sq") / F.col("n")))
-        .alias("rmse")
+        *_key_checks(),
+        *[F.count_if(uneven(n)).alias(f"bad_{n}") for n in shapes],
+        *[F.min(f"e_{n}").alias(f"min_{n}") for n in shapes],
+        *[F.max(f"e_{n}").alias(f"max_{n}") for n in shapes],
+        F.sum(F.when(comparable, distance)).alias("squares"),
+        F.sum(F.when(comparable, F.size("e_values"))).alias("n"),
     )
+    result = _key_errors()
+    messages = (CHANNELS, SEGMENTS, LENGTHS if depth == 2 else SIZES)
+    for name, message in zip(shapes, messages):
+        bad = (F.col(f"bad_{name}") > 0) | (F.col(f"min_{name}") != F.col(f"max_{name}"))
+        result = result.when(bad, F.raise_error(F.lit(message)))
+    return totals.select(result.otherwise(F.sqrt(F.col("squares") / F.col("n"))).alias("rmse"))
 
 
 def rmse_long(
     expected: DataFrame, actual: DataFrame, keys: Sequence[str], value: str
 ) -> DataFrame:
-    """``rmse_results`` for results in long form, one value per row and key."""
-    return rmse_results(expected, actual, keys, value)
+    """``rmse_results`` for results in long form, one number per row and key."""
+    cols = {"value": F.col(value).cast("double")}
+    pairs = _paired(_sides(expected, actual, keys, cols), keys, cols, F.max)
+    squares = _squared(F.col("e_value"), F.col("a_value"))
+    totals = pairs.agg(*_key_checks(), F.avg(squares).alias("mean_square"))
+    return totals.select(_key_errors().otherwise(F.sqrt("mean_square")).alias("rmse"))
 
 
 def assert_rmse(
@@ -170,6 +186,9 @@ def paired_run_report(
     different durations, however many runs it has.
     """
     group = list(group)
+    if not group:
+        whole = df.withColumn("__all", F.lit(0))
+        return paired_run_report(whole, first, second, ["__all"]).drop("__all")
     runs = df.select(
         *group, F.col(first).cast("bigint").alias("f1"), F.col(second).cast("bigint").alias("f2")
     )
@@ -221,8 +240,7 @@ def paired_run_report(
         for p in PERCENTILES
     ]
     percentiles = placed.groupBy(*group).agg(*reached)
-    if not group:
-        one = F.lit(1).alias("__one")
-        joined = summary.select("*", one).join(percentiles.select("*", one), "__one")
-        return joined.drop("__one")
-    return summary.join(percentiles, group)
+    # One row per group on both sides; NULL is a group like any other.
+    right = percentiles.withColumnsRenamed({g: f"__{g}" for g in group})
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
+    return summary.join(right, same).drop(*[f"__{g}" for g in group])

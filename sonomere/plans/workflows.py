@@ -18,6 +18,7 @@ from sonomere.functions.levels import calibrate, spl_psd
 from sonomere.functions.spectral import Windowing
 from sonomere.operators.frames import LastRecord
 from sonomere.sources.wav import read_wav_file
+from sonomere.storage import written
 
 SIGNALS = ("channels", "samples")
 
@@ -29,9 +30,19 @@ def _signal(df: DataFrame) -> tuple[str, bool]:
     raise ValueError("A records table needs a 'channels' or a 'samples' column")
 
 
-def _finish(df: DataFrame, signal: str, sort: bool) -> DataFrame:
-    features = df.drop(signal)
-    return features.orderBy("timestamp") if sort else features
+def _finish(features: DataFrame, records: DataFrame, sort: bool) -> DataFrame:
+    """Features without samples, by time on request.
+
+    A global sort samples its input before it shuffles it, which would compute every feature
+    twice; so they are written first. Ties are broken by the other keys of the record, or the
+    records of many recorders starting together could not be told apart and split.
+    """
+    signal, _ = _signal(records)
+    features = features.drop(signal)
+    if not sort:
+        return features
+    keys = [c for c in records.columns if c not in (signal, "timestamp")]
+    return written(features, "features").orderBy("timestamp", *keys)
 
 
 def calibrate_records(df: DataFrame, calibration: float) -> DataFrame:
@@ -67,7 +78,7 @@ class WelchSpl:
 
     def __call__(self, records: DataFrame, fs: float, sort: bool = False) -> DataFrame:
         """``records`` without its samples, plus ``welch`` and ``spl`` (one value per channel)."""
-        return _finish(self.add(records, fs), _signal(records)[0], sort)
+        return _finish(self.add(records, fs), records, sort)
 
 
 @dataclass(frozen=True)
@@ -105,7 +116,7 @@ class Tol:
 
     def __call__(self, records: DataFrame, fs: float, sort: bool = False) -> DataFrame:
         """``records`` without its samples, plus ``tol``."""
-        return _finish(self.add(records, fs), _signal(records)[0], sort)
+        return _finish(self.add(records, fs), records, sort)
 
 
 @dataclass(frozen=True)
@@ -129,7 +140,7 @@ class WelchSplTol:
         )
         tol = Tol(self.segment_duration, self.low, self.high)
         features = tol.add(welch_spl.add(records, fs), fs)
-        return _finish(features, _signal(records)[0], sort)
+        return _finish(features, records, sort)
 
 
 @dataclass(frozen=True)

@@ -17,6 +17,7 @@ from sonomere.operators.frames import LastRecord
 from sonomere.sources.pcm import decode, open_file, read_header
 
 SPLIT_BYTES = 32 << 20
+TASK_BYTES = 128 << 20
 # Decoded samples of one Arrow batch.
 BATCH_SAMPLES = 1 << 20
 MAX_INT = 2**31 - 1
@@ -195,8 +196,7 @@ def _read(
     if last_record not in ("skip", "fail", "fill", "keep"):
         raise ValueError(f"Unknown last record action {last_record!r}")
     last = F.greatest(F.ceil(F.col("length") / split_bytes) - 1, F.lit(0))
-    # File names and sizes only; one row, to spread the ranges evenly over as many tasks.
-    n_splits = files.agg(F.sum(last + 1)).first()[0] or 1
+    n_tasks = _read_tasks(spark, files.agg(F.sum(last + 1), F.sum("length")).first())
     splits = files.select(
         "sound_id", "path", "length", "start_ms", F.explode(F.sequence(F.lit(0), last)).alias("split")
     )
@@ -208,13 +208,23 @@ def _read(
                     row, size, fs, channels, bits, last_record, offset, max_records, split_bytes
                 )
 
-    records = splits.repartition(int(n_splits)).mapInArrow(read_splits, RECORD_SCHEMA)
+    records = splits.repartition(n_tasks).mapInArrow(read_splits, RECORD_SCHEMA)
     return records.select(
         "sound_id", "path", "record_idx", "frame_offset",
         F.timestamp_millis("ts_ms").alias("timestamp"), "channels",
     )
 
 
+def _read_tasks(spark: SparkSession, listed) -> int:
+    """Tasks to read with: ``TASK_BYTES`` each, small files packed together.
+
+    ``listed`` is the number of splits and of bytes, known from the listing alone.
+    """
+    n_splits, n_bytes = (int(v or 0) for v in listed)
+    wanted = max(spark.sparkContext.defaultParallelism, -(-n_bytes // TASK_BYTES))
+    return max(1, min(n_splits, wanted))
+
+
 def _check_format(path, header, fs, channels, bits) -> None:
     if header.error:
         raise ValueError(f"{header.error}: {path}")
