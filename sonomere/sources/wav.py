@@ -32,7 +32,10 @@ AUDIT_SCHEMA = (
 
 
 def list_wavs(spark: SparkSession, uri: str) -> DataFrame:
-    """``(path, uri_path, sound_id, length)`` of the files under a URI or glob; reads no contents."""
+    """``(path, uri_path, sound_id, length)`` of the files under a URI or glob; reads no contents.
+
+    Like all Spark file sources, leaves out files of zero bytes.
+    """
     files = spark.read.format("binaryFile").load(uri).select("path", "length")
     return files.select(
         "path",
