@@ -4,13 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sonomere.functions.literals import check
-from sonomere.functions.spectral import _bin_power, _bins, _weight, n_bins
-
-
-def calibration_divisor(calibration: float) -> float:
-    if calibration > 0.0:
-        raise ValueError(f"Incorrect calibration factor ({calibration}) for SoundCalibration")
-    return 10.0 ** (calibration / 20)
+from sonomere.functions.spectral import _bin_power, _bins, _weight, calibration_divisor, n_bins
 
 
 def calibrate(signal: Column, calibration: float) -> Column:

@@ -30,6 +30,13 @@ def n_bins(nfft: int) -> int:
     return nfft // 2 + 1
 
 
+def calibration_divisor(calibration: float) -> float:
+    """What raw samples are divided by, given a sensitivity in dB."""
+    if calibration > 0.0:
+        raise ValueError(f"Incorrect calibration factor ({calibration}) for SoundCalibration")
+    return 10.0 ** (calibration / 20)
+
+
 def check_window(size: int, overlap: int) -> None:
     if size < 0:
         raise ValueError(f"Incorrect winSize for segmentation ({size})")
@@ -53,7 +60,8 @@ def bin_weights(nfft: int) -> np.ndarray:
 class Windowing:
     """How one signal is cut, tapered and transformed.
 
-    ``norm`` defaults to the power-density normalisation ``1 / (fs * sum(w^2))``.
+    ``norm`` defaults to the power-density normalisation ``1 / (fs * sum(w^2))``. A calibration
+    divides the samples, which costs nothing here: it goes into the taper's coefficients.
     """
 
     size: int
@@ -62,7 +70,9 @@ class Windowing:
     fs: float
     taper: Taper | None = None
     norm: float | None = None
+    calibration: float = 0.0
     hop: int = field(init=False)
+    weights: np.ndarray = field(init=False)
 
     def __post_init__(self):
         check_window(self.size, self.overlap)
@@ -76,6 +86,8 @@ class Windowing:
             )
         object.__setattr__(self, "taper", taper)
         object.__setattr__(self, "hop", self.size - self.overlap)
+        divisor = calibration_divisor(self.calibration)
+        object.__setattr__(self, "weights", taper.coefficients / divisor)
         if self.norm is None:
             object.__setattr__(self, "norm", taper.density_norm(self.fs))
 
@@ -94,7 +106,7 @@ class Windowing:
         for r in range(0, rows, r_step):
             for w in range(0, count, w_step):
                 at = (slice(r, r + r_step), slice(w, w + w_step))
-                yield at, views[at] * self.taper.coefficients
+                yield at, views[at] * self.weights
 
     def n_windows(self, length: int) -> int:
         return 1 + (length - self.size) // self.hop

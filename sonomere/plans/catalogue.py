@@ -148,13 +148,8 @@ def wav_inspect(spark, sf):
     )
 
 
-def wav_features(spark, sf):
-    """WF-3 from files: read, calibrate, Welch, SPL and TOL of both channels of every record."""
-    folder, made, channels = _recordings(spark, sf, 16)
-    records = wav.read_wav_records(
-        spark, folder, made.select("name", "start"), FS, channels, 16, 2.0
-    )
-    features = WelchSplTol(2.0, 32, 16, 32, LOW, HIGH)(calibrate_records(records, -2.0), FS)
+def _channel_rows(features):
+    """Long form of WF-3's features of multi-channel records."""
     per_channel = F.explode(
         F.transform(
             F.arrays_zip("welch", "spl", "tol"),
@@ -171,6 +166,26 @@ def wav_features(spark, sf):
     )
 
 
+def wav_features(spark, sf):
+    """WF-3 straight from files: calibrated Welch, SPL and TOL of both channels of every record."""
+    folder, made, channels = _recordings(spark, sf, 16)
+    features = WelchSplTol(2.0, 32, 16, 32, LOW, HIGH).of_recordings(
+        spark, folder, made.select("name", "start"), FS, channels, 16, calibration=-2.0
+    )
+    return _channel_rows(features)
+
+
+def wav_records_features(spark, sf):
+    """The same step by step: read records, calibrate them, compute features."""
+    folder, made, channels = _recordings(spark, sf, 16)
+    records = wav.read_wav_records(
+        spark, folder, made.select("name", "start"), FS, channels, 16, 2.0
+    )
+    return _channel_rows(
+        WelchSplTol(2.0, 32, 16, 32, LOW, HIGH)(calibrate_records(records, -2.0), FS)
+    )
+
+
 def decode_blobs(spark, sf):
     """SRC-8 on bytes held in a table: the UTF-8 bytes of the page URLs read as 8-bit mono PCM."""
     pages = table(spark, sf, "pages").select("page_id", F.encode("url", "UTF-8").alias("raw"))
@@ -767,6 +782,7 @@ QUERIES: dict[str, Query] = {
     "wav_chunks": wav_chunks,
     "wav_inspect": wav_inspect,
     "wav_features": wav_features,
+    "wav_records_features": wav_records_features,
     "decode_pcm": decode_blobs,
     "timeserie": timeserie(1, 1),
     "timeserie_blocks": timeserie(1, 7),

@@ -344,6 +344,7 @@ SELECT l_suppkey || '_' || (frame // 400) || '.wav' AS sound_id, true AS ok, 64
   1 AS channels, 24 AS bits, count(*) AS frames
 FROM lin GROUP BY l_suppkey, frame // 400""",
     "wav_features": wav_features(),
+    "wav_records_features": wav_features(),
     "decode_pcm": f"""SELECT page_id, 0 AS channel, i, {rnd('-1 + b / 127.5::DOUBLE', 9)} AS v
 FROM (
   SELECT page_id, unnest(range(octet_length(url::BLOB))) AS i,
@@ -467,7 +468,7 @@ INTEGERS = {
         wav_chunks decode_pcm vector_files calibrate_arrays tapered_embeddings tapered_long""",
     "j": "fft_freq_vector",
     "n": "records_skip records_keep",
-    "idx": """wav_features welch_spl_workflow welch_spl_padded welch_spl_stream
+    "idx": """wav_features wav_records_features welch_spl_workflow welch_spl_padded welch_spl_stream
         welch_spl_tol_workflow all_features""",
     "window_idx": """segment_tol stft_embeddings stft_spectrum_norm spectrogram_lineitem
         tol_per_window tol_per_window_array all_features""",

@@ -1,25 +1,30 @@
-"""Feature workflows over tables of records.
-
-A records table has a ``timestamp`` and either ``channels`` ARRAY<ARRAY<DOUBLE>> (all channels of
-a record in one row) or ``samples`` ARRAY<DOUBLE> (one channel per row). Features keep that form.
-Every workflow is one narrow stage: no shuffle, and one crossing to Python per record for all
-requested features. Features are separate columns, so a caller who selects one computes one.
+"""Feature workflows over recordings and tables of records.
+
+A workflow runs on a table of records or straight on WAV files. A records table has a
+``timestamp`` and either ``channels`` ARRAY<ARRAY<DOUBLE>> (all channels of a record in one row)
+or ``samples`` ARRAY<DOUBLE> (one channel per row); features keep that form. On a table, every
+feature is a column of its own, so a caller who selects one computes one. On files, features are
+computed where samples are decoded, and samples never reach the JVM. Either way a workflow is
+one narrow stage without a shuffle.
 """
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomere.functions import spectral
 from sonomere.functions.bands import Bands, mean_levels_kernel
 from sonomere.functions.levels import calibrate, spl_psd
-from sonomere.functions.spectral import Windowing
+from sonomere.functions.spectral import NESTED_VECTORS, VECTORS, Windowing, per_vector
 from sonomere.operators.frames import LastRecord
-from sonomere.sources.wav import read_wav_file
+from sonomere.sources.wav import read_wav_features
 from sonomere.storage import written
 
+Kernels = dict[str, Callable[[np.ndarray], np.ndarray]]
+
 SIGNALS = ("channels", "samples")
 
 
@@ -30,18 +35,14 @@ def _signal(df: DataFrame) -> tuple[str, bool]:
     raise ValueError("A records table needs a 'channels' or a 'samples' column")
 
 
-def _finish(features: DataFrame, records: DataFrame, sort: bool) -> DataFrame:
-    """Features without samples, by time on request.
+def _sorted(features: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Features by time.
 
     A global sort samples its input before it shuffles it, which would compute every feature
     twice; so they are written first. Ties are broken by the other keys of the record, or the
     records of many recorders starting together could not be told apart and split.
     """
-    signal, _ = _signal(records)
-    features = features.drop(signal)
-    if not sort:
-        return features
-    keys = [c for c in records.columns if c not in (signal, "timestamp")]
+    keys = [c for c in features.columns if c not in ("timestamp", *names)]
     return written(features, "features").orderBy("timestamp", *keys)
 
 
@@ -55,34 +56,86 @@ def calibrate_records(df: DataFrame, calibration: float) -> DataFrame:
     return df.withColumn(signal, calibrated)
 
 
+class Workflow:
+    """Features given by numpy kernels, and by expressions of other features."""
+
+    segment_duration: float
+    results: tuple[str, ...]
+
+    def kernels(self, fs: float, calibration: float) -> Kernels:
+        raise NotImplementedError
+
+    def derived(self, features: DataFrame, nested: bool) -> DataFrame:
+        return features
+
+    def __call__(
+        self, records: DataFrame, fs: float, sort: bool = False, calibration: float = 0.0
+    ) -> DataFrame:
+        """``records`` with features in place of samples.
+
+        ``calibration`` is for records not calibrated yet.
+        """
+        signal, nested = _signal(records)
+        found = {
+            name: per_vector(kernel, nested, False)(F.col(signal))
+            for name, kernel in self.kernels(fs, calibration).items()
+        }
+        keys = [c for c in records.columns if c != signal]
+        features = self.derived(records.withColumns(found), nested).select(*keys, *self.results)
+        return _sorted(features, self.results) if sort else features
+
+    def of_recordings(
+        self,
+        spark: SparkSession,
+        uri: str,
+        starts: DataFrame | Iterable[tuple[str, datetime | str]],
+        fs: float,
+        channels: int,
+        bits: int,
+        last_record: LastRecord = "skip",
+        sort: bool = False,
+        calibration: float = 0.0,
+        only_listed: bool = False,
+    ) -> DataFrame:
+        """Features of the records of all WAV files under ``uri``."""
+        kernels = {n: (k, VECTORS) for n, k in self.kernels(fs, calibration).items()}
+        read = read_wav_features(
+            spark, uri, starts, fs, channels, bits, self.segment_duration, kernels, last_record,
+            only_listed,
+        )
+        keys = [c for c in read.columns if c not in kernels]
+        features = self.derived(read, True).select(*keys, *self.results)
+        return _sorted(features, self.results) if sort else features
+
+
 @dataclass(frozen=True)
-class WelchSpl:
+class WelchSpl(Workflow):
     """Welch power spectral density and sound pressure level of every record."""
 
     segment_duration: float
     window_size: int
     window_overlap: int
     nfft: int
+    results = ("welch", "spl")
 
-    def windowing(self, fs: float) -> Windowing:
-        return Windowing(self.window_size, self.window_overlap, self.nfft, fs)
+    def windowing(self, fs: float, calibration: float = 0.0) -> Windowing:
+        return Windowing(
+            self.window_size, self.window_overlap, self.nfft, fs, calibration=calibration
+        )
 
-    def add(self, df: DataFrame, fs: float) -> DataFrame:
-        signal, nested = _signal(df)
-        welch = spectral.welch(F.col(signal), self.windowing(fs), nested)
+    def kernels(self, fs: float, calibration: float) -> Kernels:
+        return {"welch": self.windowing(fs, calibration).mean_periodogram}
+
+    def derived(self, features: DataFrame, nested: bool) -> DataFrame:
         if nested:
             spl = F.transform("welch", lambda psd: F.array(spl_psd(psd, self.nfft)))
         else:
             spl = F.array(spl_psd(F.col("welch"), self.nfft))
-        return df.withColumn("welch", welch).withColumn("spl", spl)
-
-    def __call__(self, records: DataFrame, fs: float, sort: bool = False) -> DataFrame:
-        """``records`` without its samples, plus ``welch`` and ``spl`` (one value per channel)."""
-        return _finish(self.add(records, fs), records, sort)
+        return features.withColumn("spl", spl)
 
 
 @dataclass(frozen=True)
-class Tol:
+class Tol(Workflow):
     """Third-octave levels of every record: levels of its one-second windows, combined per band.
 
     ``agg="avg"`` is the mean of the decibel values, ``agg="sum"`` their sum; they agree on
@@ -93,6 +146,7 @@ class Tol:
     low: float | None = None
     high: float | None = None
     agg: str = "avg"
+    results = ("tol",)
 
     def __post_init__(self):
         if self.segment_duration < 1.0:
@@ -102,25 +156,15 @@ class Tol:
         if self.agg not in ("avg", "sum"):
             raise ValueError(f"Unknown aggregation {self.agg!r}")
 
-    def bands(self, fs: float) -> Bands:
-        return Bands(int(fs), fs, self.low, self.high)
-
-    def add(self, df: DataFrame, fs: float) -> DataFrame:
-        signal, nested = _signal(df)
+    def kernels(self, fs: float, calibration: float) -> Kernels:
         second = int(fs)
-        kernel = mean_levels_kernel(
-            self.bands(fs), Windowing(second, 0, second, fs), self.agg
-        )
-        levels: Column = spectral.per_vector(kernel, nested, False)(F.col(signal))
-        return df.withColumn("tol", levels)
-
-    def __call__(self, records: DataFrame, fs: float, sort: bool = False) -> DataFrame:
-        """``records`` without its samples, plus ``tol``."""
-        return _finish(self.add(records, fs), records, sort)
+        bands = Bands(second, fs, self.low, self.high)
+        windowing = Windowing(second, 0, second, fs, calibration=calibration)
+        return {"tol": mean_levels_kernel(bands, windowing, self.agg)}
 
 
 @dataclass(frozen=True)
-class WelchSplTol:
+class WelchSplTol(Workflow):
     """Welch, sound pressure level and third-octave levels from one reading of the records."""
 
     segment_duration: float
@@ -129,23 +173,27 @@ class WelchSplTol:
     nfft: int
     low: float | None = None
     high: float | None = None
+    results = ("welch", "spl", "tol")
 
     def __post_init__(self):
-        Tol(self.segment_duration, self.low, self.high)
+        self.tol()
 
-    def __call__(self, records: DataFrame, fs: float, sort: bool = False) -> DataFrame:
-        """``records`` without its samples, plus ``welch``, ``spl`` and ``tol``."""
-        welch_spl = WelchSpl(
-            self.segment_duration, self.window_size, self.window_overlap, self.nfft
-        )
-        tol = Tol(self.segment_duration, self.low, self.high)
-        features = tol.add(welch_spl.add(records, fs), fs)
-        return _finish(features, records, sort)
+    def welch_spl(self) -> WelchSpl:
+        return WelchSpl(self.segment_duration, self.window_size, self.window_overlap, self.nfft)
+
+    def tol(self) -> Tol:
+        return Tol(self.segment_duration, self.low, self.high)
+
+    def kernels(self, fs: float, calibration: float) -> Kernels:
+        return self.welch_spl().kernels(fs, calibration) | self.tol().kernels(fs, calibration)
+
+    def derived(self, features: DataFrame, nested: bool) -> DataFrame:
+        return self.welch_spl().derived(features, nested)
 
 
 @dataclass(frozen=True)
 class AllFeatures:
-    """Every feature of one recording as its own DataFrame.
+    """Every feature of a recording as its own DataFrame.
 
     ``fft`` and ``periodogram`` hold one spectrum per window; ``tol`` (the summed variant) is
     there for records of a second or more.
@@ -158,6 +206,19 @@ class AllFeatures:
     low: float | None = None
     high: float | None = None
 
+    def parts(self) -> dict[str, Workflow]:
+        welch_spl = WelchSpl(
+            self.segment_duration, self.window_size, self.window_overlap, self.nfft
+        )
+        parts = {"welch": welch_spl, "spl": welch_spl}
+        if self.segment_duration >= 1.0:
+            parts["tol"] = Tol(self.segment_duration, self.low, self.high, "sum")
+        return parts
+
+    def window_kernels(self, fs: float, calibration: float) -> Kernels:
+        windowing = self.parts()["welch"].windowing(fs, calibration)
+        return {"fft": windowing.spectra, "periodogram": windowing.periodograms}
+
     def __call__(
         self,
         spark: SparkSession,
@@ -169,29 +230,31 @@ class AllFeatures:
         calibration: float = 0.0,
         last_record: LastRecord = "skip",
     ) -> dict[str, DataFrame]:
-        records = read_wav_file(
-            spark, uri, start, fs, channels, bits, self.segment_duration, last_record
-        )
-        return self.of_records(records, fs, calibration)
+        """Features of one WAV file, which starts at ``start``."""
+        starts = [(uri.rstrip("/").split("/")[-1], start)]
+        found = {}
+        for name, kernel in self.window_kernels(fs, calibration).items():
+            found[name] = read_wav_features(
+                spark, uri, starts, fs, channels, bits, self.segment_duration,
+                {name: (kernel, NESTED_VECTORS)}, last_record,
+            )
+        for name, workflow in self.parts().items():
+            features = workflow.of_recordings(
+                spark, uri, starts, fs, channels, bits, last_record, calibration=calibration
+            )
+            found[name] = features.drop(*[r for r in workflow.results if r != name])
+        return found
 
     def of_records(
         self, records: DataFrame, fs: float, calibration: float = 0.0
     ) -> dict[str, DataFrame]:
-        calibrated = calibrate_records(records, calibration)
+        """The same of a table of records."""
         signal, nested = _signal(records)
-        windowing = Windowing(self.window_size, self.window_overlap, self.nfft, fs)
-        x = F.col(signal)
-        welch_spl = WelchSpl(
-            self.segment_duration, self.window_size, self.window_overlap, self.nfft
-        )(calibrated, fs)
-        features = {
-            "fft": calibrated.withColumn("fft", spectral.stft(x, windowing, nested)).drop(signal),
-            "periodogram": calibrated.withColumn(
-                "periodogram", spectral.spectrogram(x, windowing, nested)
-            ).drop(signal),
-            "welch": welch_spl.drop("spl"),
-            "spl": welch_spl.drop("welch"),
-        }
-        if self.segment_duration >= 1.0:
-            features["tol"] = Tol(self.segment_duration, self.low, self.high, "sum")(calibrated, fs)
-        return features
+        found = {}
+        for name, kernel in self.window_kernels(fs, calibration).items():
+            spectra = per_vector(kernel, nested, True)(F.col(signal))
+            found[name] = records.withColumn(name, spectra).drop(signal)
+        for name, workflow in self.parts().items():
+            features = workflow(records, fs, calibration=calibration)
+            found[name] = features.drop(*[r for r in workflow.results if r != name])
+        return found

@@ -5,7 +5,7 @@ the records that start in its range. A long recording is therefore read by many
 nothing but file names and sizes is looked at before.
 """
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timezone
 
 import numpy as np
@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonomere.functions.arrow_vectors import map_nested
 from sonomere.operators.frames import LastRecord
 from sonomere.sources.pcm import decode, open_file, read_header
 
@@ -22,10 +23,7 @@ TASK_BYTES = 128 << 20
 BATCH_SAMPLES = 1 << 20
 MAX_INT = 2**31 - 1
 
-RECORD_SCHEMA = (
-    "sound_id string, path string, record_idx bigint, frame_offset bigint, ts_ms bigint, "
-    "channels array<array<double>>"
-)
+KEY_SCHEMA = "sound_id string, path string, record_idx bigint, frame_offset bigint, ts_ms bigint"
 AUDIT_SCHEMA = (
     "path string, ok boolean, error string, fs int, channels int, bits int, frames bigint"
 )
@@ -149,9 +147,35 @@ def read_wav_records(
     date is unknown, fails the query; ``only_listed`` leaves unlisted files out instead.
     """
     size = record_size_in_frames(fs, record_seconds)
-    table = start_table(spark, starts)
-    files = with_start(list_wavs(spark, uri), table, only_listed)
-    return _read(spark, files, size, fs, channels, bits, last_record, 0, None, split_bytes)
+    files = with_start(list_wavs(spark, uri), start_table(spark, starts), only_listed)
+    return _read(spark, files, size, fs, channels, bits, last_record, split_bytes=split_bytes)
+
+
+def read_wav_features(
+    spark: SparkSession,
+    uri: str,
+    starts: DataFrame | Iterable[tuple[str, datetime | str]],
+    fs: float,
+    channels: int,
+    bits: int,
+    record_seconds: float,
+    kernels: dict[str, tuple[Callable[[np.ndarray], np.ndarray], str]],
+    last_record: LastRecord = "skip",
+    only_listed: bool = False,
+    split_bytes: int = SPLIT_BYTES,
+) -> DataFrame:
+    """``read_wav_records`` with features in place of samples, computed where samples are decoded.
+
+    ``kernels`` maps a feature to a function of a (signals, samples) matrix and to the type of
+    its result for one record. Samples, by far the largest data there is, never leave the Python
+    worker that read them.
+    """
+    size = record_size_in_frames(fs, record_seconds)
+    files = with_start(list_wavs(spark, uri), start_table(spark, starts), only_listed)
+    return _read(
+        spark, files, size, fs, channels, bits, last_record, split_bytes=split_bytes,
+        kernels=kernels,
+    )
 
 
 def read_wav_file(
@@ -194,7 +218,8 @@ def read_wav_chunks(
 
 
 def _read(
-    spark, files, size, fs, channels, bits, last_record, offset, max_records, split_bytes
+    spark, files, size, fs, channels, bits, last_record, offset=0, max_records=None,
+    split_bytes=SPLIT_BYTES, kernels=None,
 ) -> DataFrame:
     if last_record not in ("skip", "fail", "fill", "keep"):
         raise ValueError(f"Unknown last record action {last_record!r}")
@@ -207,17 +232,29 @@ def _read(
     def read_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _records_of_split(
+                for records in _records_of_split(
                     row, size, fs, channels, bits, last_record, offset, max_records, split_bytes
-                )
-
-    records = splits.repartition(n_tasks).mapInArrow(read_splits, RECORD_SCHEMA)
+                ):
+                    yield records if kernels is None else _with_features(records, kernels)
+
+    results = {"channels": "array<array<double>>"}
+    if kernels is not None:
+        results = {name: dtype for name, (_, dtype) in kernels.items()}
+    schema = ", ".join([KEY_SCHEMA, *[f"{name} {dtype}" for name, dtype in results.items()]])
+    records = splits.repartition(n_tasks).mapInArrow(read_splits, schema)
     return records.select(
         "sound_id", "path", "record_idx", "frame_offset",
-        F.timestamp_millis("ts_ms").alias("timestamp"), "channels",
+        F.timestamp_millis("ts_ms").alias("timestamp"), *results,
     )
 
 
+def _with_features(records: pa.RecordBatch, kernels) -> pa.RecordBatch:
+    columns = {name: records[name] for name in records.schema.names if name != "channels"}
+    for name, (kernel, _) in kernels.items():
+        columns[name] = map_nested(records["channels"], kernel)
+    return pa.RecordBatch.from_pydict(columns)
+
+
 def _read_tasks(spark: SparkSession, listed) -> int:
     """Tasks to read with: ``TASK_BYTES`` each, small files packed together.
 

@@ -117,6 +117,27 @@ def test_calibration_and_channel_forms(spark, folder):
         workflow(table.drop("channels"), FS)
 
 
+@pytest.mark.parametrize("workflow", [
+    WelchSpl(1.0, 6000, 3000, 7000), Tol(1.0, 3000.0, 7000.0),
+    WelchSplTol(1.0, 6000, 3000, 7000, 3000.0, 7000.0),
+])
+def test_features_computed_while_reading(spark, folder, workflow):
+    table = records(spark, folder, "noise", 2)
+    expected = workflow(calibrate_records(table, -20.0), FS, sort=True)
+    folded = workflow(table, FS, sort=True, calibration=-20.0)
+    scanned = workflow.of_recordings(
+        spark, f"{folder}/*.wav", [("noise.wav", START)], FS, 2, 16, sort=True, calibration=-20.0,
+        only_listed=True,
+    )
+    assert scanned.columns == folded.columns == expected.columns
+    assert "channels" not in plan(scanned)
+    for a, b, c in zip(expected.collect(), folded.collect(), scanned.collect()):
+        assert a.timestamp == b.timestamp == c.timestamp and a.sound_id == c.sound_id
+        for name in workflow.results:
+            assert np.allclose(a[name], b[name], rtol=1e-11, atol=0)
+            assert b[name] == c[name]
+
+
 def test_all_features(spark, folder):
     workflow = AllFeatures(1.0, 6000, 3000, 7000, 3000.0, 7000.0)
     found = workflow(spark, f"{folder}/noise.wav", FS, 2, 16, START, calibration=-20.0)
