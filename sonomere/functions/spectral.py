@@ -15,8 +15,9 @@ from sonomere.functions.arrow_vectors import map_nested, map_vectors
 from sonomere.functions.literals import check
 from sonomere.functions.tapers import Taper, hamming
 
-# Doubles held by one numpy intermediate (16 MiB), whatever the Arrow batch holds.
-WORK_DOUBLES = 1 << 21
+# Doubles held by one numpy intermediate: 1 MiB stays in a core's cache, whatever the Arrow
+# batch holds.
+WORK_DOUBLES = 1 << 17
 
 VECTOR = "array<double>"
 VECTORS = "array<array<double>>"
@@ -129,10 +130,12 @@ class Windowing:
         return out
 
     def mean_periodogram(self, block: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(block), n_bins(self.nfft)))
+        squares = np.zeros((len(block), 2 * n_bins(self.nfft)))
         for at, windows in self.pieces(block):
-            out[at[0]] += self.power(windows).sum(axis=1)
-        return out / self.n_windows(block.shape[1])
+            z = np.fft.rfft(windows, n=self.nfft, axis=-1).view(np.float64)
+            squares[at[0]] += np.square(z, out=z).sum(axis=1)
+        scale = self.norm * bin_weights(self.nfft) / self.n_windows(block.shape[1])
+        return (squares[:, ::2] + squares[:, 1::2]) * scale
 
 
 def per_vector(kernel, nested: bool, vectors_out: bool):
