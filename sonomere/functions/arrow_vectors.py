@@ -16,7 +16,8 @@ def _offsets(lengths: np.ndarray) -> pa.Array:
     return pa.array(ends.astype(np.int32))
 
 
-def _lists(lengths: np.ndarray, values: pa.Array, valid: np.ndarray) -> pa.ListArray:
+def lists(lengths: np.ndarray, values: pa.Array, valid: np.ndarray) -> pa.ListArray:
+    """A list column of consecutive ``values``; a list that is not ``valid`` is NULL."""
     mask = None if valid.all() else pa.array(~valid)
     return pa.ListArray.from_arrays(_offsets(lengths), values, mask=mask)
 
@@ -54,14 +55,14 @@ def map_vectors(vectors: pa.Array, kernel) -> pa.Array:
             values[out_starts[rows][:, None] + np.arange(out[0].size)] = out.reshape(len(rows), -1)
 
     if depth == 2:
-        return _lists(out_lengths, pa.array(values), valid)
+        return lists(out_lengths, pa.array(values), valid)
     n_inner = len(values) // width if width else 0
-    inner = _lists(np.full(n_inner, width), pa.array(values), np.ones(n_inner, dtype=bool))
-    return _lists(out_lengths // width, inner, valid)
+    inner = lists(np.full(n_inner, width), pa.array(values), np.ones(n_inner, dtype=bool))
+    return lists(out_lengths // width, inner, valid)
 
 
 def map_nested(vectors: pa.Array, kernel) -> pa.Array:
     """``kernel`` over LIST<LIST<DOUBLE>> (one inner vector per channel)."""
     lengths = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
     inner = map_vectors(vectors.flatten(), kernel)
-    return _lists(np.maximum(lengths, 0), inner, lengths >= 0)
+    return lists(np.maximum(lengths, 0), inner, lengths >= 0)

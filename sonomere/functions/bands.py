@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sonomere.functions.frequency import Spectrum
 from sonomere.functions.levels import to_db
-from sonomere.functions.literals import check
+from sonomere.functions.literals import check, vector_literal
 from sonomere.functions.spectral import Windowing
 
 # Base-ten third octaves number 0 (1 Hz) to 60 (1 MHz).
@@ -77,12 +77,15 @@ class Bands:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """``(band, lo, hi, lo_bin, hi_bin)``, one row per band."""
-        rows = [
-            (i, lo, hi, *self.bins[i]) for i, (lo, hi) in enumerate(self.bounds)
-        ]
-        return spark.createDataFrame(
-            rows, "band int, lo double, hi double, lo_bin int, hi_bin int"
-        ).coalesce(1)
+        columns = {
+            "lo": vector_literal([lo for lo, _ in self.bounds]),
+            "hi": vector_literal([hi for _, hi in self.bounds]),
+            "lo_bin": vector_literal([lo for lo, _ in self.bins]).cast("array<int>"),
+            "hi_bin": vector_literal([hi for _, hi in self.bins]).cast("array<int>"),
+        }
+        zipped = F.arrays_zip(*[values.alias(name) for name, values in columns.items()])
+        rows = spark.range(0, 1, 1, 1).select(F.posexplode(zipped).alias("band", "b"))
+        return rows.select("band", "b.lo", "b.hi", "b.lo_bin", "b.hi_bin")
 
     def bin_table(self, spark: SparkSession) -> DataFrame:
         """``(band, k)``, one row per bin of every band: at most ``nfft/2 + 1`` rows per overlap."""

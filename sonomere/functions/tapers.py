@@ -57,7 +57,7 @@ class Taper:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The coefficients as rows ``(i INT, w DOUBLE)``; ``size`` rows, so always broadcastable."""
-        one = spark.range(1).select(vector_literal(self.coefficients).alias("w"))
+        one = spark.range(0, 1, 1, 1).select(vector_literal(self.coefficients).alias("w"))
         return one.select(F.posexplode("w").alias("i", "w"))
 
 

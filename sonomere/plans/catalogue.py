@@ -327,7 +327,7 @@ def records(policy):
 # Tapers
 
 
-def tapered_embeddings(spark, sf):
+def window_coefficients(spark, sf):
     """Every taper of both kinds on every vector."""
     out = None
     for name, make in TAPERS.items():
@@ -348,7 +348,7 @@ def tapered_long(spark, sf):
     return rounded(out, "v")
 
 
-def taper_factors(spark, sf):
+def window_norm_factors(spark, sf):
     """Energy and squared sum of tapered vectors over the density and spectrum factors."""
     out = None
     for name, make in TAPERS.items():
@@ -721,7 +721,7 @@ def rmse_match(spark, sf):
     )
 
 
-def rmse_aggregated(spark, sf):
+def rmse_tables(spark, sf):
     """Two aggregated results: channels of values per record."""
     def result(rows):
         return rows.select("vec_id", F.array("samples").alias("v"))
@@ -774,7 +774,7 @@ QUERIES: dict[str, Query] = {
     "welch_in_row": welch_in_row,
     "frames_by_bucket": frames_by_bucket,
     "frames_by_range": frames_by_range,
-    "wav_records_skip": wav_records(16, "skip"),
+    "wav_roundtrip": wav_records(16, "skip"),
     "wav_records_fill": wav_records(16, "fill"),
     "wav_records_8bit": wav_records(8, "keep"),
     "wav_records_24bit": wav_records(24, "skip"),
@@ -799,12 +799,12 @@ QUERIES: dict[str, Query] = {
     "records_skip": records("skip"),
     "records_fill": records("fill"),
     "records_keep": records("keep"),
-    "tapered_embeddings": tapered_embeddings,
+    "window_coefficients": window_coefficients,
     "tapered_long": tapered_long,
-    "taper_factors": taper_factors,
+    "window_norm_factors": window_norm_factors,
     "fft_embeddings": fft_embeddings(64),
-    "fft_zero_padded": fft_embeddings(128),
-    "fft_odd_nfft": fft_embeddings(65),
+    "stft_zero_padded": fft_embeddings(128),
+    "stft_odd_nfft": fft_embeddings(65),
     "stft_embeddings": stft_embeddings,
     "stft_spectrum_norm": stft_spectrum_norm,
     "fft_two_sided": fft_two_sided,
@@ -843,7 +843,7 @@ QUERIES: dict[str, Query] = {
     "rmse_scalar": rmse_scalar,
     "rmse_vectors": rmse_vectors,
     "rmse_match": rmse_match,
-    "rmse_aggregated": rmse_aggregated,
+    "rmse_tables": rmse_tables,
     "rmse_segmented": rmse_segmented,
     "rmse_long": rmse_long,
     "paired_run_report": paired_run_report,

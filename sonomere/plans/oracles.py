@@ -326,7 +326,7 @@ _UNTYPED: dict[str, str] = {
 SELECT vec_id, k, {rnd('avg(p)', 9)} AS p FROM psd GROUP BY vec_id, k""",
     "frames_by_bucket": FRAMES,
     "frames_by_range": FRAMES,
-    "wav_records_skip": wav(TWO_CHANNELS, 128, "j < n - n % 128"),
+    "wav_roundtrip": wav(TWO_CHANNELS, 128, "j < n - n % 128"),
     "wav_records_fill": wav_fill(),
     "wav_records_8bit": wav(
         ["-1 + floor(l_quantity * 4) / 127.5::DOUBLE"], 128, "true"
@@ -378,16 +378,16 @@ SELECT {R}, j // 64 AS window_idx, {rnd('sum(x)')} AS x_sum FROM rec GROUP BY 1,
     "records_skip": records("skip"),
     "records_fill": records("fill"),
     "records_keep": records("keep"),
-    "tapered_embeddings": tapered("j AS i, round(x * {w}, 9) + 0::DOUBLE AS v"),
+    "window_coefficients": tapered("j AS i, round(x * {w}, 9) + 0::DOUBLE AS v"),
     "tapered_long": f"WITH {EMB} SELECT vec_id, j AS i, {rnd('x * (j + 1)')} AS v FROM emb",
-    "taper_factors": tapered(
+    "window_norm_factors": tapered(
         "round(sum(power(x * {w}, 2)) / ({density} / power(1.75::DOUBLE, 2)), 6) AS density, "
         "round(power(sum(x * {w}), 2) / ({spectrum} / power(1.75::DOUBLE, 2)), 6) AS spectrum",
         " GROUP BY vec_id",
     ),
     "fft_embeddings": f"{embedding_dft(64)} SELECT vec_id, k, {rnd('re')} AS re, {rnd('im')} AS im FROM z",
-    "fft_zero_padded": f"{embedding_dft(128)} SELECT vec_id, k, {rnd('re')} AS re, {rnd('im')} AS im FROM z",
-    "fft_odd_nfft": f"{embedding_dft(65)} SELECT vec_id, k, {rnd('re')} AS re, {rnd('im')} AS im FROM z",
+    "stft_zero_padded": f"{embedding_dft(128)} SELECT vec_id, k, {rnd('re')} AS re, {rnd('im')} AS im FROM z",
+    "stft_odd_nfft": f"{embedding_dft(65)} SELECT vec_id, k, {rnd('re')} AS re, {rnd('im')} AS im FROM z",
     "stft_embeddings": f"{STFT} SELECT {VW}, k, {rnd('re')} AS re, {rnd('im')} AS im FROM z",
     "stft_spectrum_norm": f"""{STFT}, s AS (SELECT sqrt({factor('spectrum', 'hamming', 32)}) AS s)
 SELECT {VW}, k, {rnd('re / s', 9)} AS re, {rnd('im / s', 9)} AS im FROM z, s""",
@@ -451,7 +451,7 @@ FROM spl, range(2) AS t(c)""",
     "rmse_vectors": f"WITH {EMB} SELECT vec_id, {rnd(VECTOR_RMSE, 9)} AS rmse FROM emb GROUP BY vec_id",
     "rmse_match": f"""WITH {EMB}
 SELECT vec_id, {VECTOR_RMSE} < 0.0103::DOUBLE AS matched FROM emb GROUP BY vec_id""",
-    "rmse_aggregated": RMSE,
+    "rmse_tables": RMSE,
     "rmse_segmented": RMSE,
     "rmse_long": RMSE,
     "paired_run_report": paired_report(),
@@ -460,12 +460,12 @@ SELECT vec_id, {VECTOR_RMSE} < 0.0103::DOUBLE AS matched FROM emb GROUP BY vec_i
 
 # Positions are INTEGER in Spark and BIGINT in SQL: columns to narrow, by query.
 INTEGERS = {
-    "k": """welch_psd_events welch_from_windows welch_in_row fft_embeddings fft_zero_padded
-        fft_odd_nfft stft_embeddings stft_spectrum_norm fft_two_sided periodogram_even
+    "k": """welch_psd_events welch_from_windows welch_in_row fft_embeddings stft_zero_padded
+        stft_odd_nfft stft_embeddings stft_spectrum_norm fft_two_sided periodogram_even
         periodogram_odd power_spectrum_hann power_spectrum_blackman spectrogram_lineitem
         freq_vector""",
-    "i": """wav_records_skip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
-        wav_chunks decode_pcm vector_files calibrate_arrays tapered_embeddings tapered_long""",
+    "i": """wav_roundtrip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
+        wav_chunks decode_pcm vector_files calibrate_arrays window_coefficients tapered_long""",
     "j": "fft_freq_vector",
     "n": "records_skip records_keep",
     "idx": """wav_features wav_records_features welch_spl_workflow welch_spl_padded welch_spl_stream

@@ -9,6 +9,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sonomere.functions.arrow_vectors import lists
+
 # Format tags of the "fmt " chunk.
 TAG_PCM = 0x0001
 TAG_EXTENSIBLE = 0xFFFE
@@ -98,12 +100,21 @@ def decode_pcm(raw: Column, bits: int, channels: int) -> Column:
 
     @F.arrow_udf("array<array<double>>")
     def decoded(blobs: pa.Array) -> pa.Array:
-        rows = []
-        for blob in blobs.to_pylist():
-            if blob is not None and len(blob) % frame:
-                raise ValueError(f"{len(blob)} bytes are no whole number of {frame}-byte frames")
-            rows.append(None if blob is None else list(deinterleave(decode(blob, bits), channels)))
-        return pa.array(rows, pa.list_(pa.list_(pa.float64())))
+        values, frames, valid = [np.empty(0)], [], []
+        for blob in blobs:
+            data = blob.as_buffer() if blob.is_valid else None
+            valid.append(data is not None)
+            if data is not None:
+                if len(data) % frame:
+                    raise ValueError(f"{len(data)} bytes are no whole number of {frame}-byte frames")
+                values.append(deinterleave(decode(data, bits), channels).ravel())
+                frames.append(len(data) // frame)
+        inner_lengths = np.repeat(np.array(frames, dtype=np.int64), channels)
+        all_channels = lists(
+            inner_lengths, pa.array(np.concatenate(values)), np.ones(len(inner_lengths), dtype=bool)
+        )
+        valid = np.array(valid, dtype=bool)
+        return lists(np.where(valid, channels, 0), all_channels, valid)
 
     return decoded(raw)
 
