@@ -14,10 +14,12 @@ from sonomere.functions.literals import check
 from sonomere.functions.spectral import check_window
 from sonomere.storage import written
 
+NULL_KEY = "NULL channel or bucket in a signal"
+
 LastRecord = Literal["skip", "fail", "fill", "keep"]
 
-# Rows one task may sort to number the frames of one (channel, bucket).
-MAX_GROUP_ROWS = 4_000_000
+# Rows of one group a task may sort to number its frames.
+MAX_GROUP_ROWS = 2_000_000
 # Samples of one block of windows.
 BLOCK_SAMPLES = 1 << 16
 
@@ -31,7 +33,7 @@ def _prefix_sums(runs: DataFrame, channel: Sequence[str], run: str) -> DataFrame
 
 def _numbered(placed: DataFrame, starts: DataFrame, on: list[str], frame: str) -> DataFrame:
     # A left join keeps rows whose key is NULL; they fail instead of vanishing.
-    missing = F.raise_error(F.lit("NULL channel or order key in a signal")).cast("bigint")
+    missing = F.raise_error(F.lit(NULL_KEY)).cast("bigint")
     joined = placed.join(starts, on, "left")
     return joined.withColumn(frame, F.col("__pos") + F.coalesce("__start", missing))
 
@@ -47,28 +49,48 @@ def number_frames(
     """Add ``frame``, the 0-based position of a row in its channel.
 
     ``order_by`` must order the rows of a channel totally. ``bucket`` is a coarse column that
-    never decreases along that order, such as the hour of a timestamp: frames are numbered inside
-    (channel, bucket) and shifted by the number of rows in the channel's earlier buckets, one
-    full shuffle in all. Without a bucket, or if the largest (channel, bucket) exceeds
-    ``max_group_rows``, rows are range-partitioned by the full order instead, which splits any
-    channel at any point, at the price of one written table.
+    never decreases along that order, such as the day of a timestamp. Row counts decide how:
+
+    * no channel above ``max_group_rows``: a plain ``row_number`` per channel;
+    * no (channel, bucket) above it: numbered inside (channel, bucket), then shifted by the rows
+      in the channel's earlier buckets; still one full shuffle;
+    * otherwise, or without a bucket: rows are range-partitioned by their full order, which splits
+      any channel at any point, at the price of one written table.
     """
     channel, order_by = list(channel), list(order_by)
+    if _largest(df.groupBy(*channel).agg(F.count("*").alias("__n"))) <= max_group_rows:
+        inside = Window.partitionBy(*channel).orderBy(*order_by)
+        return df.select(
+            "*", _not_null(channel, F.row_number().over(inside).cast("bigint") - 1).alias(frame)
+        )
     if bucket is None:
         return _number_by_range(df, channel, order_by, frame)
-
     bucketed = df.withColumn("__bucket", bucket)
-    counts = written(
-        bucketed.groupBy(*channel, "__bucket").agg(F.count("*").alias("__n")), "counts"
-    )
-    largest = counts.agg(F.max("__n")).first()[0]
-    if largest is not None and largest > max_group_rows:
-        return _number_by_range(df, channel, order_by, frame)
+    counts = bucketed.groupBy(*channel, "__bucket").agg(F.count("*").alias("__n"))
+    counts = written(counts, "counts")
+    if _largest(counts) <= max_group_rows:
+        return _number_by_bucket(bucketed, counts, channel, order_by, frame)
+    return _number_by_range(df, channel, order_by, frame)
 
-    starts = _prefix_sums(counts, channel, "__bucket").drop("__n")
-    inside = Window.partitionBy(*channel, "__bucket").orderBy(*order_by)
-    placed = bucketed.withColumn("__pos", F.row_number().over(inside).cast("bigint") - 1)
+
+def _largest(counts: DataFrame) -> int:
+    return counts.agg(F.max("__n")).first()[0] or 0
+
+
+def _not_null(channel: list[str], value: Column) -> Column:
+    known = F.lit(True)
+    for name in channel:
+        known = known & F.col(name).isNotNull()
+    return check(known, F.lit(NULL_KEY), value)
+
+
+def _number_by_bucket(
+    bucketed: DataFrame, counts: DataFrame, channel: list[str], order_by: list[str], frame: str
+) -> DataFrame:
     on = [*channel, "__bucket"]
+    inside = Window.partitionBy(*on).orderBy(*order_by)
+    placed = bucketed.withColumn("__pos", F.row_number().over(inside).cast("bigint") - 1)
+    starts = _prefix_sums(counts, channel, "__bucket").drop("__n")
     return _numbered(placed, starts, on, frame).drop("__bucket", "__pos", "__start")
 
 

@@ -47,23 +47,25 @@ def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 # Signals
 
 
-def evt(spark, sf):
+def evt(spark, sf, **options):
     rows = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     return frames.number_frames(
-        rows, ["user_id"], ["ts", "event_id"], bucket=F.date_trunc("day", "ts")
+        rows, ["user_id"], ["ts", "event_id"], bucket=F.date_trunc("day", "ts"), **options
     )
 
 
-def lin(spark, sf, *extra, bucket=True):
+def lin(spark, sf, *extra, bucket=True, **options):
     rows = table(spark, sf, "lineitem").select(
         "l_suppkey", *LIN_ORDER, *extra, (F.col("l_extendedprice") / FULL_SCALE).alias("x")
     )
     year = F.date_trunc("year", "l_shipdate") if bucket else None
-    return frames.number_frames(rows, ["l_suppkey"], LIN_ORDER, bucket=year)
+    return frames.number_frames(rows, ["l_suppkey"], LIN_ORDER, bucket=year, **options)
 
 
-def lin_records(spark, sf, policy="skip"):
-    records = frames.cut_records(lin(spark, sf), ["l_suppkey"], 128, {"samples": "x"}, policy)
+def lin_records(spark, sf, policy="skip", **options):
+    records = frames.cut_records(
+        lin(spark, sf, **options), ["l_suppkey"], 128, {"samples": "x"}, policy
+    )
     return records.withColumn("timestamp", F.timestamp_seconds(F.col("record_idx") * 2))
 
 
@@ -80,13 +82,15 @@ def boxcar(size):
 # Sources
 
 
-def frames_by_bucket(spark, sf):
-    return lin(spark, sf).select("l_suppkey", "frame", F.round("l_extendedprice", 2).alias("v"))
-
+def numbered(max_channel, bucket=True):
+    """Numbered frames, as they are numbered when a channel is too large for one task."""
+    def query(spark, sf):
+        limit = table(spark, sf, "lineitem").groupBy("l_suppkey").count()
+        limit = max_channel(limit.agg(F.max("count")).first()[0])
+        rows = lin(spark, sf, bucket=bucket, max_group_rows=limit)
+        return rows.select("l_suppkey", "frame", F.round("l_extendedprice", 2).alias("v"))
 
-def frames_by_range(spark, sf):
-    rows = lin(spark, sf, bucket=False)
-    return rows.select("l_suppkey", "frame", F.round("l_extendedprice", 2).alias("v"))
+    return query
 
 
 def _recordings(spark, sf, bits):
@@ -437,9 +441,13 @@ def welch_psd_events(spark, sf):
 
 
 def welch_from_windows(spark, sf):
-    """The same estimate window by window: segment, taper, FFT, periodogram, mean."""
+    """The same estimate window by window: segment, taper, FFT, periodogram, mean.
+
+    The limits are low, so that signals are split as hot ones are.
+    """
     taper = hamming(32)
-    blocks = frames.cut_blocks(evt(spark, sf), ["user_id"], "value", 32, 16, windows_per_block=2)
+    signal = evt(spark, sf, max_group_rows=20)
+    blocks = frames.cut_blocks(signal, ["user_id"], "value", 32, 16, windows_per_block=2)
     cut = windows.apply_taper(windows.segment(blocks, 32, 16), taper)
     spectra = cut.withColumn("fft", spectral.fft(F.col("x"), 32))
     psd = spectra.withColumn(
@@ -772,8 +780,9 @@ QUERIES: dict[str, Query] = {
     "welch_psd_events": welch_psd_events,
     "welch_from_windows": welch_from_windows,
     "welch_in_row": welch_in_row,
-    "frames_by_bucket": frames_by_bucket,
-    "frames_by_range": frames_by_range,
+    "frames_plain": numbered(lambda largest: largest),
+    "frames_by_bucket": numbered(lambda largest: largest - 1),
+    "frames_by_range": numbered(lambda largest: largest - 1, bucket=False),
     "wav_roundtrip": wav_records(16, "skip"),
     "wav_records_fill": wav_records(16, "fill"),
     "wav_records_8bit": wav_records(8, "keep"),

@@ -324,6 +324,7 @@ _UNTYPED: dict[str, str] = {
     "welch_from_windows": welch_events(),
     "welch_in_row": f"""{STFT}, {psd(VW, 32, density('hamming', 32, 64))}
 SELECT vec_id, k, {rnd('avg(p)', 9)} AS p FROM psd GROUP BY vec_id, k""",
+    "frames_plain": FRAMES,
     "frames_by_bucket": FRAMES,
     "frames_by_range": FRAMES,
     "wav_roundtrip": wav(TWO_CHANNELS, 128, "j < n - n % 128"),

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sonomere.operators import frames
 from sonomere.operators.frames import cut_blocks, cut_records, number_frames
 from sonomere.operators.windows import segment
 
@@ -22,18 +23,27 @@ def naive(df):
     return {(r.channel, r.tie): r.f for r in df.withColumn("f", F.row_number().over(w) - 1).collect()}
 
 
-@pytest.mark.parametrize("bucket, limit", [("coarse", 10**6), ("coarse", 100), (None, 1)])
-def test_numbering_of_a_hot_channel(spark, bucket, limit):
+@pytest.mark.parametrize("bucket, limit, way", [
+    ("coarse", 10**6, "row_number"), (None, 10**6, "row_number"), ("coarse", 1500, "bucket"),
+    ("coarse", 100, "range"), (None, 100, "range"),
+])
+def test_numbering_of_a_hot_channel(spark, monkeypatch, bucket, limit, way):
     df = skewed(spark)
+    taken = ["row_number"]
+    for name in ("bucket", "range"):
+        original = getattr(frames, f"_number_by_{name}")
+        monkeypatch.setattr(
+            frames, f"_number_by_{name}",
+            lambda *a, original=original, name=name: taken.append(name) or original(*a),
+        )
     column = None if bucket is None else F.floor(F.col("t") / 100)
     numbered = number_frames(df, ["channel"], ["t", "tie"], column, limit)
     found = {(r.channel, r.tie): r.frame for r in numbered.collect()}
     assert found == naive(df)
+    assert taken[-1] == way
 
 
 def test_range_numbering_splits_the_hot_channel(spark):
-    from sonomere.operators import frames
-
     parts = []
     original = frames.written
 
@@ -46,7 +56,7 @@ def test_range_numbering_splits_the_hot_channel(spark):
     frames.written = spy
     try:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        number_frames(skewed(spark), ["channel"], ["t", "tie"]).count()
+        number_frames(skewed(spark), ["channel"], ["t", "tie"], max_group_rows=0).count()
     finally:
         frames.written = original
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -57,9 +67,9 @@ def test_range_numbering_splits_the_hot_channel(spark):
 
 def test_a_null_channel_is_an_error(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 1), (CAST(NULL AS INT), 2) AS t(channel, t)")
-    for bucket in (F.lit(0), None):
+    for bucket, limit in ((None, 10), (F.lit(0), 1), (None, 0)):
         with pytest.raises(Exception, match="NULL channel"):
-            number_frames(df, ["channel"], ["t"], bucket).collect()
+            number_frames(df.union(df), ["channel"], ["t"], bucket, limit).collect()
 
 
 def signal(spark, lengths):
