@@ -1,4 +1,4 @@
-"""Numeric vectors as plan constants."""
+"""Plan constants, checks inside a plan, and arrays to explode."""
 
 from collections.abc import Sequence
 
@@ -22,3 +22,13 @@ def vector_literal(values: Sequence[float] | np.ndarray) -> Column:
 def check(condition: Column, message: Column, value: Column) -> Column:
     """``value`` where ``condition`` holds (or is unknown), else an error raised by the task."""
     return F.when(~condition, F.raise_error(message)).otherwise(value)
+
+
+def elements(vector: Column | str) -> Column:
+    """An array to be exploded.
+
+    For a bare column the optimizer adds a filter on its size and moves that filter below the
+    projection that computes the column; a Python kernel would then run twice per record.
+    """
+    column = F.col(vector) if isinstance(vector, str) else vector
+    return F.coalesce(column, F.array())

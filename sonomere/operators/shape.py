@@ -5,11 +5,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonomere.functions.literals import elements
+
 
 def explode_channels(df: DataFrame, col: str = "channels", out: str = "samples") -> DataFrame:
     """One row per channel of a multi-channel record; no shuffle."""
     others = [c for c in df.columns if c != col]
-    return df.select(*others, F.posexplode(col).alias("channel", out))
+    return df.select(*others, F.posexplode(elements(col)).alias("channel", out))
 
 
 def nest_channels(

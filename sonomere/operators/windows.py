@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonomere.functions import spectral
-from sonomere.functions.literals import check
+from sonomere.functions.literals import check, elements
 from sonomere.functions.spectral import Windowing, check_window
 from sonomere.functions.tapers import Taper
 
@@ -64,7 +64,7 @@ def _windows_out(df: DataFrame, vectors, col: str, out: str) -> DataFrame:
     others = [c for c in df.columns if c != col]
     return (
         df.withColumn("__vectors", vectors)
-        .select(*others, F.posexplode("__vectors").alias("window_idx", out))
+        .select(*others, F.posexplode(elements("__vectors")).alias("window_idx", out))
     )
 
 
@@ -85,9 +85,11 @@ def spectrogram(
     return _windows_out(df, spectral.spectrogram(F.col(col), windowing), col, out)
 
 
-def bins(df: DataFrame, keys: Sequence[str], col: str = "psd", out: str = "p") -> DataFrame:
-    """Long form of a power spectrum: one row ``(*keys, k, p)`` per bin."""
-    return df.select(*keys, F.posexplode(col).alias("k", out))
+def bins(
+    df: DataFrame, keys: Sequence[str], col: str = "psd", out: str = "p", index: str = "k"
+) -> DataFrame:
+    """Long form of a power spectrum or of any feature: one row ``(*keys, k, p)`` per value."""
+    return df.select(*keys, F.posexplode(elements(col)).alias(index, out))
 
 
 def complex_bins(df: DataFrame, keys: Sequence[str], col: str = "fft") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sonomere.functions import levels, spectral
 from sonomere.functions.bands import Bands
 from sonomere.functions.frequency import Interleaved, Spectrum
+from sonomere.functions.literals import elements
 from sonomere.functions.spectral import Windowing
 from sonomere.functions.tapers import Taper, blackman, hamming, hann
 from sonomere.operators import aggregates, compare, frames, shape, windows
@@ -111,7 +112,7 @@ def _wav_rows(records):
     return per_channel.select(
         "sound_id", "record_idx", "channel",
         F.unix_millis("timestamp").alias("ms"),
-        F.posexplode("samples").alias("i", "v"),
+        F.posexplode(elements("samples")).alias("i", "v"),
     ).withColumn("v", F.round("v", 9))
 
 
@@ -195,7 +196,7 @@ def decode_blobs(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", F.encode("url", "UTF-8").alias("raw"))
     samples = pages.select("page_id", decode_pcm(F.col("raw"), 8, 1).alias("channels"))
     per_channel = shape.explode_channels(samples)
-    rows = per_channel.select("page_id", "channel", F.posexplode("samples").alias("i", "v"))
+    rows = windows.bins(per_channel, ["page_id", "channel"], "samples", "v", "i")
     return rounded(rows, "v", digits=9)
 
 
@@ -557,7 +558,7 @@ def tol_freq_vector(spark, sf):
     """Record levels with the lower and upper frequency of their band."""
     axis = _bands().frequency_vector()
     features = Tol(2.0, LOW, HIGH)(lin_records(spark, sf), FS)
-    rows = features.select(*RECORD, F.posexplode("tol").alias("band", "tol"))
+    rows = windows.bins(features, RECORD, "tol", "tol", "band")
     edges = F.array(*[F.lit(f) for f in axis])
     out = rows.select(
         *RECORD, "band", F.get(edges, F.col("band")).alias("lo"),
@@ -600,7 +601,7 @@ def tol_per_window_array(spark, sf):
 def tol_workflow(agg, sort=False):
     def query(spark, sf):
         features = Tol(2.0, LOW, HIGH, agg)(lin_records(spark, sf), FS, sort=sort)
-        return rounded(features.select(*RECORD, F.posexplode("tol").alias("band", "tol")), "tol")
+        return rounded(windows.bins(features, RECORD, "tol", "tol", "band"), "tol")
 
     return query
 
@@ -686,12 +687,12 @@ def all_features(spark, sf):
     out = None
     for name, features in found.items():
         if name in ("fft", "periodogram"):
-            rows = features.select(*RECORD, F.posexplode(name).alias("window_idx", "values"))
+            rows = windows.bins(features, RECORD, name, "values", "window_idx")
         else:
             rows = features.select(*RECORD, F.lit(-1).alias("window_idx"), F.col(name).alias("values"))
         rows = rows.select(
             F.lit(name).alias("feature"), *RECORD, "window_idx",
-            F.posexplode("values").alias("idx", "v"),
+            F.posexplode(elements("values")).alias("idx", "v"),
         )
         out = rows if out is None else out.unionByName(rows)
     return rounded(out, "v")

@@ -130,7 +130,8 @@ class WelchSpl(Workflow):
         if nested:
             spl = F.transform("welch", lambda psd: F.array(spl_psd(psd, self.nfft)))
         else:
-            spl = F.array(spl_psd(F.col("welch"), self.nfft))
+            welch = F.col("welch")
+            spl = F.when(welch.isNotNull(), F.array(spl_psd(welch, self.nfft)))
         return features.withColumn("spl", spl)
 
 

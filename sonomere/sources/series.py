@@ -6,6 +6,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Ticks one task makes.
+TASK_TICKS = 4_000_000
+
 
 def make_timeserie(
     spark: SparkSession,
@@ -20,8 +23,8 @@ def make_timeserie(
     """One row per tick in ``[start, end[``, with ``value`` of the index of the tick in its block.
 
     The ticks are divided into ``num_blocks`` consecutive blocks of equal size, the last one also
-    taking what is left over; the index starts at 0 in every block. Dates without a zone are read
-    in the session time zone.
+    taking what is left over; the index starts at 0 in every block. A large block is made by
+    several tasks. Dates without a zone are read in the session time zone.
     """
     if end - start < tick:
         raise ValueError("Tick should be smaller or equal than [from, to[ interval")
@@ -40,7 +43,8 @@ def make_timeserie(
         block = F.lit(num_blocks - 1)
     index = F.col("id") - block * per_block
     origin = F.unix_micros(F.lit(start.isoformat(sep=" ")).cast("timestamp"))
-    return spark.range(0, ticks, 1, num_blocks).select(
+    n_tasks = max(num_blocks, -(-ticks // TASK_TICKS))
+    return spark.range(0, ticks, 1, n_tasks).select(
         F.timestamp_micros(origin + F.col("id") * (step * 1_000_000)).alias(ts_name),
         value(index).alias(value_name),
     )

@@ -19,6 +19,8 @@ from sonomere.sources.pcm import decode, open_file, read_header
 
 SPLIT_BYTES = 32 << 20
 TASK_BYTES = 128 << 20
+# Tasks that look at file names and sizes, and so the map side of the shuffle of byte ranges.
+LISTING_TASKS = 256
 # Decoded samples of one Arrow batch.
 BATCH_SAMPLES = 1 << 20
 MAX_INT = 2**31 - 1
@@ -35,7 +37,7 @@ def list_wavs(spark: SparkSession, uri: str) -> DataFrame:
     Like all Spark file sources, leaves out files of zero bytes.
     """
     files = spark.read.format("binaryFile").load(uri).select("path", "length")
-    return files.select(
+    return files.coalesce(LISTING_TASKS).select(
         "path",
         F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "").alias("uri_path"),
         F.element_at(F.split("path", "/"), -1).alias("sound_id"),
@@ -147,8 +149,10 @@ def read_wav_records(
     date is unknown, fails the query; ``only_listed`` leaves unlisted files out instead.
     """
     size = record_size_in_frames(fs, record_seconds)
-    files = with_start(list_wavs(spark, uri), start_table(spark, starts), only_listed)
-    return _read(spark, files, size, fs, channels, bits, last_record, split_bytes=split_bytes)
+    files, sizes = _files(spark, uri, starts, only_listed)
+    return _read(
+        spark, files, sizes, size, fs, channels, bits, last_record, split_bytes=split_bytes
+    )
 
 
 def read_wav_features(
@@ -171,9 +175,9 @@ def read_wav_features(
     worker that read them.
     """
     size = record_size_in_frames(fs, record_seconds)
-    files = with_start(list_wavs(spark, uri), start_table(spark, starts), only_listed)
+    files, sizes = _files(spark, uri, starts, only_listed)
     return _read(
-        spark, files, size, fs, channels, bits, last_record, split_bytes=split_bytes,
+        spark, files, sizes, size, fs, channels, bits, last_record, split_bytes=split_bytes,
         kernels=kernels,
     )
 
@@ -213,18 +217,26 @@ def read_wav_chunks(
         raise ValueError("offset_frame and max_chunks should not be negative")
     files = list_wavs(spark, uri).withColumn("start_ms", F.lit(0).cast("bigint"))
     return _read(
-        spark, files, chunk_size, None, None, None, "keep", offset_frame, max_chunks, split_bytes
+        spark, files, files, chunk_size, None, None, None, "keep", offset_frame, max_chunks,
+        split_bytes,
     )
 
 
+def _files(spark, uri, starts, only_listed) -> tuple[DataFrame, DataFrame]:
+    """Files with their start dates, and the same files as far as their sizes matter."""
+    listing = list_wavs(spark, uri)
+    files = with_start(listing, start_table(spark, starts), only_listed)
+    return files, files if only_listed else listing
+
+
 def _read(
-    spark, files, size, fs, channels, bits, last_record, offset=0, max_records=None,
+    spark, files, sizes, size, fs, channels, bits, last_record, offset=0, max_records=None,
     split_bytes=SPLIT_BYTES, kernels=None,
 ) -> DataFrame:
     if last_record not in ("skip", "fail", "fill", "keep"):
         raise ValueError(f"Unknown last record action {last_record!r}")
     last = F.greatest(F.ceil(F.col("length") / split_bytes) - 1, F.lit(0))
-    n_tasks = _read_tasks(spark, files.agg(F.sum(last + 1), F.sum("length")).first())
+    n_tasks = _read_tasks(spark, sizes.agg(F.sum(last + 1), F.sum("length")).first())
     splits = files.select(
         "sound_id", "path", "length", "start_ms", F.explode(F.sequence(F.lit(0), last)).alias("split")
     )

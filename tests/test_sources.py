@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from sonomere.sources import grid, vectors
+from sonomere.sources import grid, series, vectors
 from sonomere.sources.series import make_timeserie
 
 START = datetime(2018, 3, 1)
@@ -39,6 +39,13 @@ def test_timeserie_values_names_and_ticks(spark):
     assert sorted(r.val for r in few.collect()) == [0.0, 1.0, 2.0]
 
 
+def test_a_large_block_is_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(series, "TASK_TICKS", 100)
+    df = make_timeserie(spark, START, HOUR, SECOND)
+    assert df.rdd.getNumPartitions() == 36
+    assert sorted(r.val for r in df.collect()) == [float(i) for i in range(3600)]
+
+
 def test_timeserie_errors(spark):
     with pytest.raises(ValueError, match="Tick should be smaller or equal"):
         make_timeserie(spark, START, HOUR, timedelta(hours=2))

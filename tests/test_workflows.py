@@ -3,11 +3,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import wavs
+from sonomere.functions import spectral
 from sonomere.functions.bands import Bands
 from sonomere.functions.spectral import Windowing
 from sonomere.plans.workflows import AllFeatures, Tol, WelchSpl, WelchSplTol, calibrate_records
 from sonomere.operators.shape import explode_channels, nest_channels
-from sonomere.sources import wav
+from sonomere.operators import windows
+from sonomere.operators.compare import assert_rmse
+from sonomere.sources import vectors, wav
 from sonomere.streaming.records import stream_records, write_features
 
 START = "1978-04-11T13:14:20.200Z"
@@ -103,6 +106,19 @@ def test_workflows_are_one_narrow_stage(spark, folder, tmp_path):
     assert "ArrowEvalPython" not in plan(features.select("timestamp"))
 
 
+def test_exploding_features_computes_them_once(spark, folder, tmp_path):
+    explode_channels(records(spark, folder, "noise", 2)).write.parquet(str(tmp_path / "r"))
+    table = spark.read.parquet(str(tmp_path / "r"))
+    features = WelchSpl(1.0, 6000, 3000, 7000)(table, FS)
+    spectra = windows.stft(table, Windowing(6000, 3000, 7000, FS))
+    for df in (
+        windows.bins(features, ["record_idx"], "welch"),
+        windows.bins(features, ["record_idx"], "spl"),
+        windows.complex_bins(spectra, ["record_idx", "window_idx"]),
+    ):
+        assert plan(df).count("ArrowEvalPython [") == 1
+
+
 def test_calibration_and_channel_forms(spark, folder):
     table = records(spark, folder, "noise", 2)
     calibrated = calibrate_records(table, -20.0)
@@ -155,6 +171,41 @@ def test_all_features(spark, folder):
     assert "tol" not in AllFeatures(0.5, 600, 0, 600)(spark, f"{folder}/sine.wav", FS, 1, 16)
 
 
+def test_vectors_of_a_named_sound(spark, tmp_path):
+    """A sound by its naming convention: its vectors written as text, read back and compared."""
+    fs, nfft, size, offset = 3906, 4100, 4000, 3906
+    name = f"Sound1_64_24_9811_{float(fs)}_1"
+    x = np.random.default_rng(7).integers(-(2**23), 2**23, size=9811)
+    (tmp_path / "wav").mkdir()
+    wavs.write(tmp_path / "wav" / f"{name}.wav", x, fs, 24)
+    sound = wav.inspect_wavs(spark, str(tmp_path / "wav")).select(
+        vectors.parse_sound_name(F.element_at(F.split("path", "/"), -1)).alias("p"), "fs", "bits", "frames"
+    ).first()
+    assert (sound.p.sampling_rate, sound.p.wav_bits, sound.p.sample_number) == (
+        sound.fs, sound.bits, sound.frames
+    )
+    chunk = wav.read_wav_chunks(spark, str(tmp_path / "wav"), 9811)
+    windowing = Windowing(size, size - offset, nfft, float(fs))
+    bands = Bands(nfft, float(fs), 0.2 * fs, 0.4 * fs)
+    welch = chunk.withColumn("welch", spectral.welch(F.col("channels"), windowing, True)[0])
+    found = welch.select("welch", bands.levels(F.col("welch")).alias("tol")).first()
+
+    taper = 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(size) / size)
+    z = np.array([np.fft.rfft(taper * x[a: a + size] / 2**23, nfft) for a in (0, offset)])
+    weights = np.r_[1, np.full(nfft // 2 - 1, 2), 1]
+    expected = (abs(z) ** 2 * weights / (fs * np.sum(taper**2))).mean(axis=0)
+    assert np.allclose(found.welch, expected, rtol=1e-10)
+    assert len(found.tol) == len(bands.bins) == 4
+    assert np.allclose(found.tol, [10 * np.log10(expected[lo:hi].sum()) for lo, hi in bands.bins])
+
+    text = " ".join(repr(float(v)) for v in expected)
+    (tmp_path / f"{name}_vWelch_{nfft}_{size}_{offset}_64.csv").write_text(text + "\n")
+    golden = vectors.read_vectors(spark, str(tmp_path / "*.csv")).select(
+        F.lit(0).alias("sound"), F.col("values").alias("welch")
+    )
+    assert_rmse(golden, welch.select(F.lit(0).alias("sound"), "welch"), ["sound"], "welch", 1e-13)
+
+
 def test_streamed_records(spark, folder, tmp_path):
     table = records(spark, folder, "noise", 2)
     table.write.parquet(str(tmp_path / "in"))
