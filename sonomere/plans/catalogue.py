@@ -5,7 +5,7 @@ supplier in shipping order scaled to [0, 1), EMB is ``embeddings.embedding``.
 """
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -203,14 +203,13 @@ def decode_blobs(spark, sf):
 def timeserie(tick, blocks):
     def query(spark, sf):
         """As many ticks as there are events, from the first event on."""
+        shown = "yyyy-MM-dd HH:mm:ss"
         span = table(spark, sf, "events").agg(
-            F.date_trunc("second", F.min("ts")).alias("start"), F.count("*").alias("n")
+            F.date_format(F.min("ts"), shown).alias("start"), F.count("*").alias("n")
         ).first()
-        end = span["start"] + timedelta(seconds=tick) * span["n"]
-        made = series.make_timeserie(
-            spark, span["start"], end, timedelta(seconds=tick), num_blocks=blocks
-        )
-        return made.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "val")
+        start, step = datetime.fromisoformat(span["start"]), timedelta(seconds=tick)
+        made = series.make_timeserie(spark, start, start + step * span["n"], step, num_blocks=blocks)
+        return made.select(F.date_format("ts", shown).alias("ts"), "val")
 
     return query
 

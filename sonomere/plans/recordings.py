@@ -5,6 +5,7 @@ written by the task that holds its frames into the folder all executors share.
 """
 
 import io
+import uuid
 import wave
 from collections.abc import Iterator, Sequence
 
@@ -59,8 +60,11 @@ def write_recordings(
                     out.setframerate(fs)
                     out.writeframes(encode(data.ravel(), bits))
                 name = f"{row[channel]}_{row['file_idx']}.wav"
-                with filesystem.open_output_stream(f"{root}/{name}") as target:
+                # Moved into place whole: a task that is lost or runs twice leaves no half a file.
+                partial = f"{root}/.{name}.{uuid.uuid4().hex}"
+                with filesystem.open_output_stream(partial) as target:
                     target.write(buffer.getvalue())
+                filesystem.move(partial, f"{root}/{name}")
                 done["name"].append(name)
                 done["file_idx"].append(row["file_idx"])
                 done["frames"].append(len(data))
