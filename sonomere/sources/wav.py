@@ -333,11 +333,11 @@ def _records_of_split(
 
 def _batch(row, header, raw, at, n, size, offset, last_record) -> pa.RecordBatch:
     samples = decode(raw, header.bits)
-    full = n * size * header.channels
-    if len(samples) == full or last_record == "fill":
-        padded = np.zeros(full)
-        padded[: len(samples)] = samples
-        values = padded.reshape(n, size, header.channels).transpose(0, 2, 1).ravel()
+    missing = n * size * header.channels - len(samples)
+    if missing and last_record == "fill":
+        samples, missing = np.concatenate([samples, np.zeros(missing)]), 0
+    if not missing:
+        values = samples.reshape(n, size, header.channels).transpose(0, 2, 1).ravel()
         lengths = np.full(n * header.channels, size)
     else:
         records = np.array_split(
