@@ -20,8 +20,11 @@ class TwoGenerations(dict):
             value = self.make(key)
             if len(key) > self.longest:
                 return value
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value

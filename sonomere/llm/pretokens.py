@@ -6,6 +6,10 @@ from functools import cache
 import regex
 
 
+# Contractions before words: no word begins with an apostrophe, so words may be tried first.
+_CONTRACTIONS = re.compile(re.escape(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+"))
+
+
 @cache
 def _plain_and_odd(pattern: str) -> tuple[re.Pattern, re.Pattern, regex.Pattern]:
     """The pattern for ``re``, the characters on which it would differ, and the pattern itself.
@@ -18,12 +22,16 @@ def _plain_and_odd(pattern: str) -> tuple[re.Pattern, re.Pattern, regex.Pattern]
     odd = set()
     for unicode_class, plain in wanted.items():
         odd |= set(regex.findall(unicode_class, every)) ^ set(re.findall(plain, every))
+    # One range beyond the basic plane: many small ones there make the search slow.
+    basic = _character_class({c for c in odd if ord(c) < 0x10000})
+    translated = _CONTRACTIONS.sub(r" ?[^\\W\\d_]+|'(?:[stmd]|re|ve|ll)", pattern)
     translated = (
-        pattern.replace(r"[^\s\p{L}\p{N}]+", r"(?:[^\s\w]|_)+")
+        translated.replace(r"[^\s\p{L}\p{N}]+", r"(?:[^\s\w]|_)+")
         .replace(r"\p{L}", r"[^\W\d_]")
         .replace(r"\p{N}", r"\d")
     )
-    return re.compile(translated), re.compile(_character_class(odd)), regex.compile(pattern)
+    beyond = r"\U00010000-\U0010ffff]"
+    return re.compile(translated), re.compile(basic[:-1] + beyond), regex.compile(pattern)
 
 
 def _character_class(characters: set[str]) -> str:

@@ -12,6 +12,7 @@ A file table has one row per block of whole documents:
 All integers are little-endian.
 """
 
+import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -43,10 +44,12 @@ class Encoder:
     """Ids of a text by the ``tokenizers`` library, asked once per cached pre-token."""
 
     def __init__(self, vocabulary: str, pattern: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.split = splitter(pattern)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first_rule = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cache = TwoGenerations(self._library)
 
     def _library(self, text: str) -> bytes:
@@ -64,17 +67,22 @@ class Encoder:
         ]
 
     def _learn(self, split: list[list[str] | None]) -> None:
-        """Encode all new pre-tokens of some texts in one call of the library."""
-        cache = self.cache
-        new = {p for pieces in split if pieces for p in pieces if p not in cache and p not in cache.old}
-        new = [p for p in new if len(p) <= cache.longest]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        make, cache.make = cache.make, dict(
-            zip(new, (np.array(f.ids, "<u4").tobytes() for f in found))
-        ).__getitem__
-        for piece in new:
-            cache[piece]
-        cache.make = make
+        """Encode all new pre-tokens of some texts with few calls of the library.
+
+        Words go in as lines of one text: a line end is a pre-token of its own and has one id
+        that no word contains, so it marks where the next word's ids begin.
+        """
+        cache, old = self.cache, self.cache.old
+        new = {p for pieces in split if pieces for p in pieces if p not in cache and p not in old}
+        words = [p for p in new if len(p) <= cache.longest and p.lstrip(" ").isalpha()]
+        found = np.array(self.tokenizer.encode("\n".join(words), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(found == self.line_end)
+        if len(cuts) != len(words) - 1:  # a letter that only one of the two pattern engines knows
+            return
+        edges = [0, *(cuts + 1).tolist(), len(found) + 1]
+        packed = found.tobytes()
+        for word, a, b in zip(words, edges, edges[1:]):
+            cache.put(word, packed[4 * a : 4 * (b - 1)])
 
 
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,18 +92,19 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
     from left to right without overlap; a pair whose uses overlapped away keeps its symbols.
     """
     symbols = ids.astype(np.int64)
-    rules, lengths = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
-    n_rules, size = 0, np.ones(0, np.int64)
+    rules = [np.empty((0, 2), np.int64)]
+    n_rules, size = 0, np.empty(0, np.int64)
     for _ in range(ROUNDS):
         if len(symbols) < 2 * LEAST_USES:
             break
         pair = symbols[:-1] << 32 | symbols[1:]
-        keys, inverse, uses = np.unique(pair, return_inverse=True, return_counts=True)
-        at = np.flatnonzero(uses[inverse] >= LEAST_USES)
-        at = _apart(at)
+        keys, uses = np.unique(pair, return_counts=True)
+        keys = keys[uses >= LEAST_USES]
+        which = _find(pair, keys)
+        at = _apart(np.flatnonzero(which >= 0))
         # Of pairs whose neighbours were taken first, too few uses may be left for a rule.
-        left = np.bincount(inverse[at], minlength=len(keys))
-        at = at[left[inverse[at]] >= LEAST_USES]
+        left = np.bincount(which[at], minlength=len(keys))
+        at = at[left[which[at]] >= LEAST_USES]
         if len(at) < LEAST_SAVED * len(symbols):
             break
         taken = np.flatnonzero(left >= LEAST_USES)
@@ -105,13 +114,28 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         size = np.concatenate([size, _lengths(new, size, first_rule)])
         rules.append(new)
         n_rules += len(taken)
-        symbols[at] = number[inverse[at]]
+        symbols[at] = number[which[at]]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
     return symbols, np.concatenate(rules), size
 
 
+def _find(pair: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Position of every pair in ``keys``, or -1. Of keys that share a slot of the table one is
+    found; the others wait for the next round.
+    """
+    slots = np.full(1 << 20, -1, np.int32)
+    slots[_slot(keys)] = np.arange(len(keys), dtype=np.int32)
+    which = slots[_slot(pair)]
+    which[(which >= 0) & (keys[which] != pair)] = -1
+    return which
+
+
+def _slot(pair: np.ndarray) -> np.ndarray:
+    return pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)
+
+
 def _apart(at: np.ndarray) -> np.ndarray:
     """Every other one of each run of consecutive positions, from its first."""
     if not len(at):
