@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomere.llm import byte_bpe, token_counts, token_files
+from sonomere.llm import byte_bpe, line_dedup, near_dups, token_counts, token_files
+from sonomere.llm.oracles import ORACLES as ORACLES
 from sonomere.storage import new_path
 
 TOKEN_LIMIT = 4096
@@ -30,6 +31,11 @@ def op2_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents and which of each group stays."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     return byte_bpe.round_trip(
@@ -39,6 +45,12 @@ def op6_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated runs of lines."""
+    cut = line_dedup.delete_repeated_runs(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_deleted", F.md5("text").alias("text_md5"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, and which of them exceed a context."""
     counts = token_counts.count_tokens(
@@ -51,8 +63,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_repair_token_files,
+        op3_hyperminhash,
         op6_segment_tree_bpe,
+        op9_line_winnowing,
         op10_token_counts,
     )
 }
-ORACLES: dict[str, str] = {}
