@@ -105,6 +105,14 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = T
     return mix(out)
 
 
+def sequence_hashes(word: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every stretch of word hashes, in order."""
+    up, down = _power_tables(len(word) + 1)
+    sums = np.zeros(len(word) + 1, np.uint64)
+    np.cumsum(word * up[: len(word)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def shingles(word: np.ndarray, row: np.ndarray, n_rows: int, k: int):
     """Hashes of all runs of ``k`` words, ``(hash, row, first word)``; a row with 1 to k - 1 words
     gives one shingle of all of them.

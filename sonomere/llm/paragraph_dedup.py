@@ -1,14 +1,17 @@
-"""Repeated paragraphs: MinHash bands, exact Jaccard similarity, components."""
+"""Repeated passages: MinHash bands of paragraphs, exact Jaccard similarity, components."""
 
 import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonomere.llm.batches import flat, hashes, id_and_text, mix, shingles, slices, spans
+from sonomere.llm.batches import (
+    flat, hashes, id_and_text, mix, sequence_hashes, shingles, slices, spans,
+)
 from sonomere.llm.components import components
 from sonomere.llm.near_dups import text_sets
 from sonomere.storage import written
@@ -16,9 +19,13 @@ from sonomere.storage import written
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.9995
-# Words of the shortest paragraph that counts as a passage.
+# Words of the shortest passage, and of the shortest sentence that stands for itself.
 LEAST_WORDS = 20
+SENTENCE_WORDS = 8
+
 _LINE_END = np.arange(256) == 0x0A
+# The ASCII characters that end a sentence.
+_SENTENCE_END = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
 
 def tune(similarity: float, recall: float = RECALL, rows: int = 4) -> int:
@@ -46,72 +53,125 @@ def _band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
-def _paragraphs(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFrame:
-    """``(doc_id, line, n_words, name, bands)`` of every paragraph; ``name`` stands for its set."""
+@dataclass
+class Units:
+    """Paragraphs of a slice of texts: whole lines (part 0) and, inside lines, sentences (1, 2, ...).
+
+    Passages are often pasted into the middle of a line; its sentences still agree. A sentence
+    with fewer than ``SENTENCE_WORDS`` words is joined with the next one, so the cuts in a passage
+    agree again after its first long sentence, whatever stands before it.
+    """
+
+    row: np.ndarray
+    line: np.ndarray
+    part: np.ndarray
+    first: np.ndarray  # words
+    stop: np.ndarray
+    name: np.ndarray
+    word: np.ndarray
+    word_start: np.ndarray  # bytes
+    word_end: np.ndarray
+
+    @staticmethod
+    def of(texts: pa.Array, least: int) -> "Units":
+        data, offsets = flat(texts)
+        start, _, row = spans(data, offsets, _LINE_END)
+        # Lines are numbered by the line ends before them in their text.
+        ends = np.concatenate([[0], np.cumsum(data == 0x0A)])
+        line = ends[start] - ends[offsets[row]]
+        a, b, _ = spans(data, offsets)
+        word = hashes(data, a, b)
+        first = np.searchsorted(a, start)
+        stop = np.append(first[1:], len(a))
+        units = _sentences(first, stop, np.flatnonzero(_SENTENCE_END[data[b - 1]]) + 1)
+        of, part, first, stop = (np.array(x, np.int64) for x in units)
+        long = stop - first >= np.where(part == 0, least, SENTENCE_WORDS)
+        of, part, first, stop = of[long], part[long], first[long], stop[long]
+        name = sequence_hashes(word, first, stop)
+        return Units(row[of], line[of], part, first, stop, name, word, a, b)
+
+
+def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray):
+    """``(line, part, first word, stop)`` of all lines and, for lines of several, their sentences."""
+    out = [], [], [], []
+    low = np.searchsorted(cuts, first, "right").tolist()
+    high = np.searchsorted(cuts, stop, "left").tolist()
+    cuts = cuts.tolist()
+    for i, (a, b) in enumerate(zip(first.tolist(), stop.tolist())):
+        for x, value in zip(out, (i, 0, a, b)):
+            x.append(value)
+        begin, part = a, 0
+        for cut in [*cuts[low[i] : high[i]], b] if low[i] < high[i] else ():
+            if cut - a >= SENTENCE_WORDS and (a, cut) != (begin, b):
+                part += 1
+                for x, value in zip(out, (i, part, a, cut)):
+                    x.append(value)
+                a = cut
+    return out
+
+
+def _paragraphs(docs: DataFrame, least: int) -> DataFrame:
+    """``(doc_id, line, part, n_words, name)`` of every paragraph; ``name`` stands for its words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                data, offsets = flat(part.column(1))
-                start, end, row = spans(data, offsets, _LINE_END)
-                if not len(start):
-                    continue
-                # Lines are numbered by the line ends before them in their text.
-                ends = np.concatenate([[0], np.cumsum(data == 0x0A)])
-                line = ends[start] - ends[offsets[row]]
-                # Words do not cross line ends, so each lies in the last line begun before it.
-                a, b, _ = spans(data, offsets)
-                of = np.searchsorted(start, a, "right") - 1
-                count = np.bincount(of, minlength=len(start))
-                kept = count >= least
-                inside = kept[of]
-                number = np.cumsum(kept) - 1
-                word = hashes(data, a[inside], b[inside])
-                n = int(kept.sum())
-                if not n:
-                    continue
-                h, of, _ = shingles(word, number[of[inside]], n, k)
-                edges = np.searchsorted(of, np.arange(n + 1))
-                name = np.empty(n, np.uint64)
-                for i, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-                    s = np.sort(h[x:y])
-                    name[i] = mix(s[np.concatenate([[True], s[1:] != s[:-1]])]).sum(dtype=np.uint64)
-                keys = _band_keys(_signatures(h, edges, rows * bands), rows)
+            for piece in slices(batch):
+                units = Units.of(piece.column(1), least)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).take(pa.array(row[kept])),
-                        pa.array(line[kept], pa.int32()),
-                        pa.array(count[kept], pa.int32()),
-                        pa.array(mix(name).view(np.int64)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(n + 1, dtype=np.int32) * bands),
-                            pa.array(keys.ravel().view(np.int64)),
-                        ),
+                        piece.column(0).take(pa.array(units.row)),
+                        pa.array(units.line, pa.int32()),
+                        pa.array(units.part, pa.int32()),
+                        pa.array(units.stop - units.first, pa.int32()),
+                        pa.array(units.name.view(np.int64)),
                     ],
-                    ["doc_id", "line", "n_words", "name", "bands"],
+                    ["doc_id", "line", "part", "n_words", "name"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
-        run, f"doc_id {kind}, line int, n_words int, name bigint, bands array<bigint>"
+        run, f"doc_id {kind}, line int, part int, n_words int, name bigint"
     )
 
 
-def _unique_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(key, name)``, once per batch: copies of one paragraph are one row before the shuffle."""
-    for batch in batches:
-        lists = batch.column(1)
-        if not batch.num_rows:
-            continue
-        name = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lists.value_lengths())
-        key = lists.flatten().to_numpy(zero_copy_only=False)
-        order = np.lexsort((name, key))
-        key, name = key[order], name[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[new]), pa.array(name[new])], ["key", "name"]
-        )
+def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFrame:
+    """``(key, name)`` per band, once per slice: copies are one row before the shuffle.
+
+    A line has all bands, to be found despite edits. A sentence has the first alone: it is there
+    for passages pasted word for word, whose sentences agree in every band.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                units = Units.of(piece.column(1), least)
+                names, at = np.unique(units.name, return_index=True)
+                found = []
+                for sentence, n in ((False, bands), (True, 1)):
+                    mine = (units.part[at] > 0) == sentence
+                    some = at[mine]
+                    if not len(some):
+                        continue
+                    h, edges = _unit_shingles(units, some, k)
+                    keys = _band_keys(_signatures(h, edges, rows * n), rows)
+                    found.append((keys.ravel(), np.repeat(names[mine], n)))
+                if found:
+                    key, name = (np.concatenate(x).view(np.int64) for x in zip(*found))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array(name)], ["key", "name"]
+                    )
+
+    return docs.mapInArrow(run, "key bigint, name bigint")
+
+
+def _unit_shingles(units: Units, which: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of some units, one after another, and where each begins and ends."""
+    size = units.stop[which] - units.first[which]
+    number = np.repeat(np.arange(len(which)), size)
+    begin = np.cumsum(size) - size
+    word = units.word[np.arange(len(number)) - begin[number] + units.first[which][number]]
+    h, of, _ = shingles(word, number, len(which), k)
+    return h, np.searchsorted(of, np.arange(len(which) + 1))
 
 
 def _followers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,15 +202,34 @@ def _followers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _texts(docs: DataFrame, paragraphs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(name, text)`` of the wanted paragraphs, from the first place of each."""
+def _texts(docs: DataFrame, paragraphs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """``(name, text)`` of the wanted paragraphs, cut out of the first document with each."""
     places = paragraphs.join(wanted, "name", "left_semi").groupBy("name")
-    places = places.agg(F.min(F.struct("doc_id", "line", "n_words")).alias("p"))
-    places = places.select("name", "p.*")
-    lines = docs.filter("text IS NOT NULL").withColumn("lines", F.split("text", "\n", -1)).drop("text")
-    joined = lines.join(places, "doc_id").select("name", F.get("lines", "line").alias("text"))
-    # Rows that share a doc_id may hold something else in that place.
-    return written(joined.filter("text IS NOT NULL"), "paragraph-texts")
+    places = places.agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id")
+    places = places.agg(F.collect_list("name").alias("names"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, 0):
+                units = Units.of(piece.column(0), least)
+                data, _ = flat(piece.column(0))
+                names, texts = [], []
+                wanted = [set(x) for x in piece.column(1).to_pylist()]
+                for i, name in enumerate(units.name.view(np.int64).tolist()):
+                    mine = wanted[units.row[i]]
+                    if name in mine:
+                        mine.remove(name)
+                        names.append(name)
+                        a, b = units.word_start[units.first[i]], units.word_end[units.stop[i] - 1]
+                        texts.append(data[a:b].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
+                    ["name", "text"],
+                )
+
+    joined = docs.join(places, "doc_id").select("text", "names")
+    found = joined.mapInArrow(run, "name bigint, text string")
+    return written(found, "paragraph-texts")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
@@ -188,53 +267,66 @@ def repeated_paragraphs(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, line, n_words, component, first_doc_id, first_line, removed)`` of every paragraph
-    that has a near copy.
+    """``(doc_id, line, part, n_words, component, first_doc_id, removed)`` of every paragraph that
+    has a near copy.
 
-    Paragraphs are lines of at least ``least_words`` words. Two are linked if the Jaccard
-    similarity of their distinct word shingles is at least ``similarity``; a component is
-    everything reachable over links. The first place of a component, by (doc_id, line), stays;
-    the others are ``removed``. The bands are tuned so that a pair at the threshold meets with
-    the chance ``recall``; every meeting is checked on the full sets.
+    Paragraphs are lines of at least ``least_words`` words (``part`` 0) and the sentences inside
+    lines (``part`` from 1). Two are linked if the Jaccard similarity of their distinct word
+    shingles is at least ``similarity``; a component is everything reachable over links. Its first
+    place, by (doc_id, line, part), stays; the others are ``removed``. The bands of lines are tuned
+    so that a pair at the threshold meets with the chance ``recall``; every meeting is checked on
+    the full sets. Repeated sentences are given where they make up a passage of ``least_words``
+    words in a row, in lines that are not removed as a whole.
 
-    Equal sets are one node, named by 64 bits of their hash. Nodes of a bucket are compared with
-    its first one, and across components with each other where that leaves several.
+    Equal paragraphs are one node, named by 64 bits of their hash. Nodes of a bucket are compared
+    with its first one, and across components with each other where that leaves several.
 
     Null, empty and short texts have no paragraph. Rows that share a doc_id share their places,
-    so a repeated row does not remove itself; a null doc_id comes first. An empty table gives an
-    empty one; other columns are ignored.
+    so a repeated row does not remove itself; a null doc_id has no place and is left out. An empty
+    table gives an empty one; other columns are ignored.
     """
-    source = id_and_text(docs, doc_id, text)
+    source = id_and_text(docs, doc_id, text).filter("doc_id IS NOT NULL")
     bands = tune(similarity, recall, rows)
-    paragraphs = written(_paragraphs(source, least_words, words, rows, bands), "paragraphs")
-    keys = paragraphs.select("name", "bands").mapInArrow(_unique_keys, "key bigint, name bigint")
+    paragraphs = written(_paragraphs(source, least_words), "paragraphs")
+    keys = _keys(source, least_words, words, rows, bands)
     ordered = keys.repartition("key").sortWithinPartitions("key", "name")
     buckets = written(
         ordered.mapInArrow(_followers, "key bigint, name bigint, pivot bigint"), "buckets"
     )
 
     wanted = buckets.select("name").union(buckets.select("pivot")).distinct()
-    texts = _texts(source, paragraphs, wanted)
+    texts = _texts(source, paragraphs, wanted, least_words)
     stars = buckets.select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     found = written(components(_confirmed(stars, texts, words, similarity)), "components")
     rest = written(_across(buckets, found), "rest")
     if not rest.isEmpty():
         more = _confirmed(rest, texts, words, similarity)
         known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        found = components(known.union(more))
-
-    place = F.struct("doc_id", "line")
-    nodes = paragraphs.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    nodes = nodes.join(found.withColumnRenamed("id", "name"), "name", "left")
-    nodes = nodes.withColumn("component", F.coalesce("component", "name"))
-    groups = nodes.groupBy("component").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    nodes = nodes.select("name", "component").join(groups.filter("first <> last").drop("last"), "component")
-    repeated = paragraphs.drop("bands").join(nodes, "name")
-    return repeated.select(
-        "doc_id", "line", "n_words", "component",
-        F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line"),
-        (place != F.col("first")).alias("removed"),
+        found = written(components(known.union(more)), "components")
+    return _passages(paragraphs, found.withColumnRenamed("id", "name"), least_words)
+
+
+def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> DataFrame:
+    counted = paragraphs.groupBy("name").agg(F.count("*").alias("n")).join(found, "name", "left")
+    nodes = counted.filter("n > 1 OR component IS NOT NULL")
+    nodes = nodes.select("name", F.coalesce("component", "name").alias("component"))
+    place = F.struct("doc_id", "line", "part")
+    repeated = written(paragraphs.join(nodes, "name").drop("name"), "repeated")
+    first = repeated.groupBy("component").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = first.filter("first <> last").select("component", "first")
+    placed = repeated.join(first, "component").select(
+        "doc_id", "line", "part", "n_words", "component",
+        F.col("first.doc_id").alias("first_doc_id"), (place != F.col("first")).alias("removed"),
     )
+    line = Window.partitionBy("doc_id", "line")
+    whole = F.max(F.when(F.col("part") == 0, F.col("removed")).otherwise(False)).over(line)
+    # Sentences in a row with the same verdict: part less their rank is constant.
+    rank = F.row_number().over(Window.partitionBy("doc_id", "line", "removed", F.col("part") == 0).orderBy("part"))
+    ranked = placed.withColumn("whole", whole).withColumn("run", F.col("part") - rank)
+    run = Window.partitionBy("doc_id", "line", "removed", F.col("part") == 0, "run")
+    summed = ranked.withColumn("in_run", F.sum("n_words").over(run))
+    kept = (F.col("part") == 0) | (~F.col("whole") & (F.col("in_run") >= least_words))
+    return summed.filter(kept).drop("whole", "run", "in_run")
 
 
 def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
