@@ -81,9 +81,11 @@ class Merger:
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
+    keep_text: bool = False,
 ) -> DataFrame:
-    """``(doc_id, ids)``: token ids as little-endian unsigned 32-bit integers in one binary.
+    """``(doc_id, ids)``: token ids as little-endian unsigned 32-bit integers in one binary;
+    ``(doc_id, text, ids)`` if the text is to be kept.
 
     ``vocabulary`` is the path of a rank file on every worker; each match of ``pattern`` is
     encoded separately. Null and empty texts give an empty binary; repeated rows are encoded
@@ -104,12 +106,12 @@ def encode(
                     b"".join(map(ids_of, split(value))) if value else b""
                     for value in part.column(1).to_pylist()
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-                )
+                yield part.select(kept).append_column("ids", pa.array(ids, pa.binary()))
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, ids binary")
+    kept = ["doc_id", "text"] if keep_text else ["doc_id"]
+    more = ", text string" if keep_text else ""
+    return source.mapInArrow(run, f"doc_id {kind}{more}, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:

@@ -128,6 +128,24 @@ def learn(
     return fit(training_sample(source, per_language).select("lang", "text").toArrow())
 
 
+def _labelled(model: crf.Model | None, texts: pa.Array):
+    """``(share of each language, whether there is a letter, words)`` of some texts."""
+    n = len(texts)
+    found, row, letter = features(texts)
+    mass = np.zeros((n, len(model.labels) if model else 1))
+    if model:
+        edges = np.searchsorted(row, np.arange(n + 1))
+        chance = crf.posteriors(found.emissions(model.weights), edges, model.transition)
+        for k in range(mass.shape[1]):
+            mass[:, k] = np.bincount(row[letter], chance[letter, k], n)
+    # Bytes beyond ASCII may be signs; only then the characters themselves are asked.
+    known = np.bincount(row[letter], minlength=n) > 0
+    for i in np.flatnonzero(known & ~_has_ascii_letter(texts)):
+        known[i] = any(c.isalpha() for c in texts[int(i)].as_py())
+    share = mass / np.maximum(mass.sum(axis=1), 1e-300)[:, None]
+    return share, known, np.bincount(row, minlength=n)
+
+
 def identify(
     docs: DataFrame, model: crf.Model | None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -146,29 +164,16 @@ def identify(
         model = sent.value
         for batch in batches:
             for part in slices(batch, size=_SLICE):
-                n = part.num_rows
-                found, row, letter = features(part.column(1))
-                mass = np.zeros((n, len(model.labels) if model else 1))
-                if model:
-                    edges = np.searchsorted(row, np.arange(n + 1))
-                    chance = crf.posteriors(found.emissions(model.weights), edges, model.transition)
-                    for k in range(mass.shape[1]):
-                        mass[:, k] = np.bincount(row[letter], chance[letter, k], n)
-                total = mass.sum(axis=1)
-                # Bytes beyond ASCII may be signs; only then the characters themselves are asked.
-                known = total > 0
-                texts = part.column(1)
-                for i in np.flatnonzero(known & ~_has_ascii_letter(texts)):
-                    known[i] = any(c.isalpha() for c in texts[int(i)].as_py())
-                share = mass / np.maximum(total, 1e-300)[:, None]
+                share, known, n_words = _labelled(model, part.column(1))
+                known = known & (model is not None)
                 best = share.argmax(axis=1)
+                score = np.where(known, np.clip(share[np.arange(len(best)), best], 0, 1), 0.0)
+                names = [model.labels[b] if k else UNDETERMINED for b, k in zip(best, known)]
+                shares = [s.tolist() if k else None for s, k in zip(share, known)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0),
-                        pa.array([model.labels[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
-                        pa.array(np.where(known, np.clip(share[np.arange(n), best], 0, 1), 0.0)),
-                        pa.array(np.bincount(row, minlength=n), pa.int64()),
-                        pa.array([s.tolist() if k else None for s, k in zip(share, known)], pa.list_(pa.float64())),
+                        part.column(0), pa.array(names, pa.string()), pa.array(score),
+                        pa.array(n_words, pa.int64()), pa.array(shares, pa.list_(pa.float64())),
                     ],
                     ["doc_id", "lang_pred", "score", "n_words", "shares"],
                 )
@@ -179,6 +184,27 @@ def identify(
     )
 
 
+def with_main_language(
+    docs: DataFrame, model: crf.Model | None, least_share: float, text: str = "text"
+) -> DataFrame:
+    """The rows whose text has one language in at least ``least_share`` of its words, unchanged.
+
+    Null texts and texts without a letter go. Without a model, every text with a letter stays.
+    """
+    at = docs.columns.index(text)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            for part in slices(batch, at, _SLICE):
+                share, known, _ = _labelled(model, part.column(at))
+                keep = known & ((share.max(axis=1) >= least_share) | (model is None))
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _has_ascii_letter(texts: pa.Array) -> np.ndarray:
     data, offsets = flat(texts)
     ascii_letter = np.concatenate([[0], np.cumsum(_LETTER[data] & (data < 128))])

@@ -4,18 +4,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonomere.llm import byte_bpe, line_dedup, near_dups, token_counts, token_files
-from sonomere.llm.oracles import ORACLES as ORACLES
+from sonomere.llm import (
+    byte_bpe, decontamination, language_id, line_dedup, near_dups, paragraph_dedup, quality,
+    surrogates, token_counts, token_files,
+)
 from sonomere.storage import new_path
 
 TOKEN_LIMIT = 4096
 END_ID = 2
+# The key of a real corpus is a secret; this one makes the query's rows reproducible.
+SURROGATE_KEY = b"public example key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontamination.find_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op2_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = new_path(spark, "token-files")
@@ -36,6 +47,19 @@ def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of all documents and which of them go."""
+    return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt from those that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.learn(documents, ~language_id.held_out())
+    found = language_id.identify(documents, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     return byte_bpe.round_trip(
@@ -45,6 +69,18 @@ def op6_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    documents = table(spark, sf_dir, "documents")
+    model = quality.learn(documents, table(spark, sf_dir, "labels"))
+    return quality.judge(documents, model).drop("boilerplate")
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of personal data."""
+    return surrogates.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op9_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their repeated runs of lines."""
     cut = line_dedup.delete_repeated_runs(table(spark, sf_dir, "documents"))
@@ -62,9 +98,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_decontamination,
         op2_repair_token_files,
         op3_hyperminhash,
+        op4_paragraph_minhash,
+        op5_crf_language_id,
         op6_segment_tree_bpe,
+        op7_line_crf_quality,
+        op8_surrogates,
         op9_line_winnowing,
         op10_token_counts,
     )
