@@ -39,11 +39,20 @@ def posteriors(emission: np.ndarray, edges: np.ndarray, transition: np.ndarray)
     there = np.arange(longest) < left[:, None]
     score = np.where(there[:, :, None], score[np.where(there, at, 0)], 1.0)
 
+    # Nothing moves into the first position of a sequence.
+    opens = np.zeros(total, bool)
+    opens[first[:-1][n_blocks > 0]] = True
+
+    def moved(x: np.ndarray, t: int) -> np.ndarray:
+        if t:
+            return x @ move
+        return np.where(opens.reshape(-1, *[1] * (x.ndim - 1)), x, x @ move)
+
     whole = np.broadcast_to(np.eye(n_labels), (total, n_labels, n_labels)).copy()
     for t in range(longest):
         if not there[:, t].any():
             break
-        stepped = _scaled((whole @ move) * score[:, None, t])
+        stepped = _scaled(moved(whole, t) * score[:, None, t])
         whole = np.where(there[:, t, None, None], stepped, whole)
 
     # What enters each block from before and after, one block of every sequence at a time.
@@ -59,7 +68,7 @@ def posteriors(emission: np.ndarray, edges: np.ndarray, transition: np.ndarray)
     ahead = np.empty((longest, total, n_labels))
     now = enter
     for t in range(longest):
-        now = np.where(there[:, t, None], _scaled((now @ move) * score[:, t]), now)
+        now = np.where(there[:, t, None], _scaled(moved(now, t) * score[:, t]), now)
         ahead[t] = now
     out = np.empty((len(emission), n_labels))
     now = leave

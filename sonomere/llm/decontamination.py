@@ -254,8 +254,8 @@ def find_items(
     documents, and always the rarest few of an item. A passage that leaked into very many
     documents therefore keeps its seeds.
 
-    One row per (doc_id, item_id), the best place. Items of fewer words than a seed are one seed;
-    null and empty texts and items match nothing; repeated rows count once; an empty table gives
+    One row per (doc_id, item_id), the best place. An item of fewer words than a seed is found
+    only where it is the whole text; null and empty texts and items match nothing; repeated rows count once; an empty table gives
     an empty one; other columns are ignored. Items are broadcast in blocks of ``BLOCK_BYTES``.
     """
     source = id_and_text(docs, doc_id, text)

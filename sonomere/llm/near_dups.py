@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sonomere.llm import pairing
 from sonomere.llm.batches import flat, hashes, id_and_text, mix, shingles, slices, spans
 from sonomere.llm.components import components
 from sonomere.storage import written
@@ -269,9 +270,9 @@ def near_duplicates(
     shingles; a component is everything reachable over links and is named by its least doc_id.
 
     * Texts with the same set form a class; only its least doc_id goes on.
-    * Registers of classes are banded; members of a bucket are first compared with the bucket's
-      least id. Few buckets then still have members in different components; those members are
-      compared with each other across components, so copies of one text never make all pairs.
+    * Registers of classes are banded; members of a bucket are first compared with its pivot.
+      Where that leaves members in different components, those that can still be linked are
+      compared with each other (see ``pairing``), so copies of one text never make all pairs.
     * A pair is dropped by its estimate only if that lies far below the threshold, and accepted
       only on the full sets.
 
@@ -285,30 +286,29 @@ def near_duplicates(
     real = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     names = ["key_a", "key_b", "n_shingles"]
     classes = written(real.groupBy(*names).agg(F.min("doc_id").alias("rep")), "classes")
-    members = real.select("doc_id", *names).join(classes, names)
+    classed = real.select("doc_id", *names).join(classes, names)
 
     one_each = real.join(
         classes.select(*names, F.col("rep").alias("doc_id")), [*names, "doc_id"], "left_semi"
     )
-    rows = _band_rows(one_each, shape).distinct()
-    shared = rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"))
-    shared = shared.filter("pivot <> last").select("key", "pivot")
-    buckets = written(rows.join(shared, "key"), "buckets")
+    rows = _band_rows(one_each, shape).withColumnRenamed("doc_id", "id").distinct()
+    buckets = pairing.with_pivot(rows)
 
-    wanted = buckets.select("doc_id").distinct()
+    wanted = buckets.select(F.col("id").alias("doc_id")).distinct()
     candidates = _candidates(source.join(wanted, "doc_id", "left_semi"), shape)
-    stars = buckets.filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
-    links = _links(stars.distinct(), candidates, shape, percent)
+    links = _links(pairing.stars(buckets), candidates, shape, percent)
 
     # Rows with one doc_id and different texts tie their classes together.
-    torn = members.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y"))
-    torn = members.join(torn.filter("x <> y").select("doc_id"), "doc_id", "left_semi")
+    torn = classed.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y"))
+    torn = classed.join(torn.filter("x <> y").select("doc_id"), "doc_id", "left_semi")
     links = links.union(torn.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
 
     found = written(components(links), "components")
-    rest = written(_across(buckets, found), "rest")
-    if not rest.isEmpty():
-        more = _links(rest, candidates, shape, percent)
+    members = pairing.unsettled(buckets, found)
+    if not members.isEmpty():
+        inside = members.select(F.col("id").alias("doc_id")).distinct()
+        elements = _elements(candidates.join(inside, "doc_id", "left_semi"), shape)
+        more = _links(pairing.across(members, elements, percent), candidates, shape, percent)
         known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = components(known.union(more))
 
@@ -347,13 +347,19 @@ def _links(pairs: DataFrame, candidates: DataFrame, shape: Shape, percent: int)
     return written(_confirmed(promising, candidates, shape, percent), "links")
 
 
-def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members that lie in different components; the pivot has met them all."""
-    labels = found.withColumnRenamed("id", "doc_id")
-    placed = buckets.filter("doc_id <> pivot").select("key", "doc_id").join(labels, "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    placed = placed.join(mixed.filter("x <> y").select("key"), "key", "left_semi")
-    a = placed.select("key", F.col("doc_id").alias("a"), F.col("component").alias("c"))
-    b = placed.select("key", F.col("doc_id").alias("b"), F.col("component").alias("d"))
-    return a.join(b, "key").filter("c < d").select("a", "b").distinct()
+def _elements(candidates: DataFrame, shape: Shape) -> DataFrame:
+    """``(id, element)``: the distinct shingles of some documents."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                sets = text_sets(part.column(1), shape.words)
+                which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                element = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(which)), pa.array(element)], ["id", "element"]
+                )
+
+    kind = candidates.schema["doc_id"].dataType.simpleString()
+    rows = candidates.select("doc_id", "text").mapInArrow(run, f"id {kind}, element bigint")
+    return rows.distinct()

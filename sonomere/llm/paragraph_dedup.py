@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonomere.llm import pairing
 from sonomere.llm.batches import (
     flat, hashes, id_and_text, mix, sequence_hashes, shingles, slices, spans,
 )
@@ -175,7 +176,7 @@ def _unit_shingles(units: Units, which: np.ndarray, k: int) -> tuple[np.ndarray,
 
 
 def _followers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of (key, name): ``(key, name, pivot)`` of all but the first of a key.
+    """From rows in order of (key, name): ``(key, name, first)`` of all but the first of a key.
 
     Rows stream by; of a bucket only its first name is remembered, however large it is.
     """
@@ -198,7 +199,7 @@ def _followers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = ~again & (name != pivot)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key[kept]), pa.array(name[kept]), pa.array(pivot[kept])],
-            ["key", "name", "pivot"],
+            ["key", "name", "first"],
         )
 
 
@@ -279,7 +280,7 @@ def repeated_paragraphs(
     words in a row, in lines that are not removed as a whole.
 
     Equal paragraphs are one node, named by 64 bits of their hash. Nodes of a bucket are compared
-    with its first one, and across components with each other where that leaves several.
+    with its pivot, and with each other where that leaves several components (see ``pairing``).
 
     Null, empty and short texts have no paragraph. Rows that share a doc_id share their places,
     so a repeated row does not remove itself; a null doc_id has no place and is left out. An empty
@@ -290,17 +291,21 @@ def repeated_paragraphs(
     paragraphs = written(_paragraphs(source, least_words), "paragraphs")
     keys = _keys(source, least_words, words, rows, bands)
     ordered = keys.repartition("key").sortWithinPartitions("key", "name")
-    buckets = written(
-        ordered.mapInArrow(_followers, "key bigint, name bigint, pivot bigint"), "buckets"
-    )
-
-    wanted = buckets.select("name").union(buckets.select("pivot")).distinct()
-    texts = _texts(source, paragraphs, wanted, least_words)
-    stars = buckets.select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
-    found = written(components(_confirmed(stars, texts, words, similarity)), "components")
-    rest = written(_across(buckets, found), "rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, texts, words, similarity)
+    followers = ordered.mapInArrow(_followers, "key bigint, name bigint, first bigint")
+    followers = written(followers, "buckets")
+    rows = followers.select("key", F.col("name").alias("id"))
+    rows = rows.union(followers.select("key", F.col("first").alias("id")).distinct())
+    buckets = pairing.with_pivot(rows)
+
+    texts = _texts(source, paragraphs, buckets.select(F.col("id").alias("name")).distinct(), least_words)
+    found = components(_confirmed(pairing.stars(buckets), texts, words, similarity))
+    found = written(found, "components")
+    members = pairing.unsettled(buckets, found)
+    if not members.isEmpty():
+        inside = members.select(F.col("id").alias("name")).distinct()
+        elements = _elements(texts.join(inside, "name", "left_semi"), words)
+        pairs = pairing.across(members, elements, 100 * similarity)
+        more = _confirmed(pairs, texts, words, similarity)
         known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = written(components(known.union(more)), "components")
     return _passages(paragraphs, found.withColumnRenamed("id", "name"), least_words)
@@ -329,12 +334,17 @@ def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> Data
     return summed.filter(kept).drop("whole", "run", "in_run")
 
 
-def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of a bucket's followers that lie in different components."""
-    labels = found.withColumnRenamed("id", "name")
-    placed = buckets.join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    placed = placed.join(mixed.filter("x <> y").select("key"), "key", "left_semi")
-    a = placed.select("key", F.col("name").alias("a"), F.col("component").alias("c"))
-    b = placed.select("key", F.col("name").alias("b"), F.col("component").alias("d"))
-    return a.join(b, "key").filter("c < d").select("a", "b").distinct()
+def _elements(texts: DataFrame, k: int) -> DataFrame:
+    """``(id, element)``: the distinct shingles of some paragraphs."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                sets = text_sets(part.column(1), k)
+                which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                element = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(which)), pa.array(element)], ["id", "element"]
+                )
+
+    return texts.select("name", "text").mapInArrow(run, "id bigint, element bigint").distinct()

@@ -100,6 +100,8 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         pair = symbols[:-1] << 32 | symbols[1:]
         keys, uses = np.unique(pair, return_counts=True)
         keys = keys[uses >= LEAST_USES]
+        if not len(keys):
+            break
         which = _find(pair, keys)
         at = _apart(np.flatnonzero(which >= 0))
         # Of pairs whose neighbours were taken first, too few uses may be left for a rule.

@@ -1,0 +1,78 @@
+"""Repeated paragraphs against all pairs of full sets."""
+
+import itertools
+import random
+
+from sonomere.llm import paragraph_dedup
+from tests.llm.conftest import prose, table, words_of
+from tests.llm.test_near_dups import edited
+
+
+def lines_by_all_pairs(rows, least=20, similarity=0.8):
+    sets, size = {}, {}
+    for i, text, *_ in rows:
+        for n, line in enumerate((text or "").split("\n")):
+            w = words_of(line)
+            if len(w) >= least:
+                sets[i, n], size[i, n] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}, len(w)
+    parent = {k: k for k in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    groups = [find(k) for k in sets]
+    return {(*k, size[k], find(k)[0], k != find(k)) for k in sets if groups.count(find(k)) > 1}
+
+
+def sentences(seed, n):
+    rng = random.Random(seed)
+    return " ".join(
+        " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(rng.randint(9, 15))) + "."
+        for _ in range(n)
+    )
+
+
+def test_lines_against_all_pairs(spark):
+    rng = random.Random(8)
+    bases = [prose(500 + i, rng.choice([21, 40, 90])).replace(".", "") for i in range(8)]
+    rows = []
+    for i in range(50):
+        lines = [prose(i, 6)]
+        for _ in range(rng.randint(0, 3)):
+            lines.append(edited(rng.choice(bases), rng.choice([0, 0, 1, 2, 3]), rng))
+        rows.append((i, "\n".join(lines), "en"))
+    found = paragraph_dedup.repeated_paragraphs(table(spark, rows).repartition(4)).collect()
+    got = {(r.doc_id, r.line, r.n_words, r.first_doc_id, r.removed) for r in found if r.part == 0}
+    assert got == lines_by_all_pairs(rows)
+
+
+def test_passages_inside_lines(spark):
+    passage = sentences(1, 5)
+    rows = [(i, prose(i, 30 + i) + " " + passage + " " + prose(100 + i, 25), "en") for i in range(30)]
+    rows += [(200 + i, sentences(300 + i, 8), "en") for i in range(20)]
+    found = paragraph_dedup.repeated_paragraphs(table(spark, rows)).collect()
+    removed = {r.doc_id for r in found if r.removed}
+    assert removed == set(range(1, 30))
+    assert {r.first_doc_id for r in found} == {0}
+    n = sum(r.n_words for r in found if r.doc_id == 7)
+    assert n >= 0.6 * len(passage.split())
+
+
+def test_odd_documents(odd, none):
+    found = paragraph_dedup.repeated_paragraphs(odd).collect()
+    # One long line and the same with one more word.
+    assert {(r.doc_id, r.line, r.part, r.removed) for r in found if r.part == 0} == {(5, 0, 0, False), (11, 0, 0, True)}
+    assert {r.doc_id for r in found if r.part} <= {5}
+    assert paragraph_dedup.repeated_paragraphs(none).count() == 0
+
+
+def test_tuned_bands_reach_the_recall():
+    for similarity in (0.6, 0.8, 0.9):
+        bands = paragraph_dedup.tune(similarity, 0.999, 4)
+        assert 1 - (1 - similarity**4) ** bands >= 0.999 > 1 - (1 - similarity**4) ** (bands - 1)
