@@ -8,7 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+# Numpy work on a slice takes some fifty times its bytes.
+SLICE_BYTES = 1 << 20
 _WORDS_AT_ONCE = 1 << 18
 
 

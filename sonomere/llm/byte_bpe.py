@@ -82,10 +82,12 @@ class Merger:
 
 def encode(
     docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
-    keep_text: bool = False,
+    keep_text: bool = False, decoded: bool = False,
 ) -> DataFrame:
-    """``(doc_id, ids)``: token ids as little-endian unsigned 32-bit integers in one binary;
-    ``(doc_id, text, ids)`` if the text is to be kept.
+    """``(doc_id, ids)``: token ids as little-endian unsigned 32-bit integers in one binary.
+
+    ``keep_text`` adds ``text``; ``decoded`` adds the bytes that the ids stand for, decoded from
+    them in the same task.
 
     ``vocabulary`` is the path of a rank file on every worker; each match of ``pattern`` is
     encoded separately. Null and empty texts give an empty binary; repeated rows are encoded
@@ -95,8 +97,10 @@ def encode(
     source = id_and_text(docs, doc_id, text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merge = Merger(read_ranks(vocabulary))
+        ranks = read_ranks(vocabulary)
+        merge = Merger(ranks)
         split = splitter(pattern)
+        token = {rank: piece for piece, rank in ranks.items()} if decoded else {}
         ids_of = TwoGenerations(
             lambda piece: np.array(merge(piece.encode()), "<u4").tobytes()
         ).__getitem__
@@ -106,12 +110,21 @@ def encode(
                     b"".join(map(ids_of, split(value))) if value else b""
                     for value in part.column(1).to_pylist()
                 ]
-                yield part.select(kept).append_column("ids", pa.array(ids, pa.binary()))
+                out = part.select(kept).append_column("ids", pa.array(ids, pa.binary()))
+                if decoded:
+                    texts = [_bytes_of(x, token) for x in ids]
+                    out = out.append_column("decoded", pa.array(texts, pa.binary()))
+                yield out
 
     kind = source.schema["doc_id"].dataType.simpleString()
     kept = ["doc_id", "text"] if keep_text else ["doc_id"]
     more = ", text string" if keep_text else ""
-    return source.mapInArrow(run, f"doc_id {kind}{more}, ids binary")
+    last = ", decoded binary" if decoded else ""
+    return source.mapInArrow(run, f"doc_id {kind}{more}, ids binary{last}")
+
+
+def _bytes_of(ids: bytes, token: dict[int, bytes]) -> bytes:
+    return b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
@@ -125,11 +138,10 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: piece for piece, rank in read_ranks(vocabulary).items()}
-        of = token.__getitem__
         for batch in batches:
             for part in slices(batch, at):
                 decoded = [
-                    None if x is None else b"".join(map(of, np.frombuffer(x, "<u4").tolist()))
+                    None if x is None else _bytes_of(x, token)
                     for x in part.column(at).to_pylist()
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -142,8 +154,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every text, encoded and decoded."""
-    decoded = decode(encode(docs, vocabulary, pattern), vocabulary)
-    return decoded.select(
+    return encode(docs, vocabulary, pattern, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -10,7 +10,7 @@ class TwoGenerations(dict):
     Keys longer than ``longest`` are never kept, so ``2 * entries * longest`` bounds the memory.
     """
 
-    def __init__(self, make: Callable, entries: int = 1 << 18, longest: int = 64):
+    def __init__(self, make: Callable, entries: int = 1 << 16, longest: int = 64):
         super().__init__()
         self.make, self.entries, self.longest, self.old = make, entries, longest, {}
 

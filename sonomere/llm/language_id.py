@@ -20,7 +20,7 @@ SEQUENCE = crf.BLOCK
 
 _BITS = 18
 # Features of a slice take about a hundred times its bytes.
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 _AFFIXES = (1, 2, 3, 4)
 
 _LETTER = np.zeros(256, bool)

@@ -49,8 +49,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, ids, n_tokens)`` of every document left, after a check that they decode to it."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, keep_text=True)
-    decoded = byte_bpe.decode(encoded, vocabulary)
+    decoded = byte_bpe.encode(
+        docs, vocabulary, public_tokenizers.PATTERN, keep_text=True, decoded=True
+    )
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     broken = F.raise_error(F.lit("token ids do not decode to their text")).cast("binary")
     return decoded.select(

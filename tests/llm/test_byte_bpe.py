@@ -59,3 +59,9 @@ def test_documents(odd, none, library):
     assert byte_bpe.round_trip(none, PATH, vocabularies.PATTERN).count() == 0
     kept = byte_bpe.encode(odd, PATH, vocabularies.PATTERN, keep_text=True)
     assert kept.columns == ["doc_id", "text", "ids"]
+
+
+def test_decode_is_an_operator_of_its_own(odd):
+    encoded = byte_bpe.encode(odd, PATH, vocabularies.PATTERN, keep_text=True)
+    for r in byte_bpe.decode(encoded, PATH).collect():
+        assert bytes(r.decoded).decode() == (r.text or "")
