@@ -88,10 +88,9 @@ class Bands:
         return rows.select("band", "b.lo", "b.hi", "b.lo_bin", "b.hi_bin")
 
     def bin_table(self, spark: SparkSession) -> DataFrame:
-        """``(band, k)``, one row per bin of every band: at most ``nfft/2 + 1`` rows per overlap."""
-        return self.table(spark).filter("hi_bin > lo_bin").select(
-            "band", F.explode(F.sequence("lo_bin", F.col("hi_bin") - 1)).alias("k")
-        )
+        """``(band, k)``, one row per bin of every band; NULL for a band without one."""
+        bins = F.when(F.col("hi_bin") > F.col("lo_bin"), F.sequence("lo_bin", F.col("hi_bin") - 1))
+        return self.table(spark).select("band", F.explode_outer(bins).alias("k"))
 
     def levels(self, psd: Column) -> Column:
         """Third-octave levels (dB) of one PSD vector."""
@@ -134,6 +133,32 @@ class Bands:
         return check((index >= 0) & (index < n), message, F.get(lows, index))
 
 
+def range_error(nfft: Column, fs: Column, low: Column, high: Column) -> Column:
+    """What is wrong with the parameters of third-octave bands, as ``Bands`` says it; NULL if
+    nothing is. A NULL limit is the default one.
+    """
+    ceiling = F.least(fs / 2.0, F.lit(10.0 ** (0.1 * LAST_BAND)))
+    bottom, top = F.coalesce(low, F.lit(LOWEST_FREQUENCY)), F.coalesce(high, ceiling)
+
+    def text(*parts) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    size = text("Incorrect window size (", nfft, ") for TOL (", fs, ")")
+    below = text(
+        "Incorrect low frequency (", low, f") for TOL (smaller than {LOWEST_FREQUENCY} or bigger than ",
+        top, ")",
+    )
+    above = text(
+        "Incorrect high frequency (", high, ") for TOL (higher than ", ceiling, " or smaller than ",
+        bottom, ")",
+    )
+    return (
+        F.when(nfft < fs, size)
+        .when(low.isNotNull() & ~low.between(LOWEST_FREQUENCY, top), below)
+        .when(high.isNotNull() & ~high.between(bottom, ceiling), above)
+    )
+
+
 def mean_levels_kernel(bands: Bands, windowing: Windowing, agg: str):
     """Kernel: levels of every window of a record, then their mean (or sum) per band."""
     bins = bands.bins

@@ -40,15 +40,23 @@ def tol_long(
 ) -> DataFrame:
     """Third-octave levels from bins in rows: ``(*keys, band, tol)``.
 
-    Bands are expanded to their bins, a table of at most a few thousand rows set by ``nfft``
-    alone, so the range condition becomes a broadcast hash join. A band without a bin has no row.
+    Every key has every band; one without a bin is at -Infinity. The bands of a key (at most 61)
+    are summed side by side in one aggregate, which also checks that the key has all bins once.
     """
-    table = F.broadcast(bands.bin_table(df.sparkSession).withColumnRenamed("k", k))
-    return (
-        df.join(table, k)
-        .groupBy(*keys, "band")
-        .agg(to_db(F.sum(p)).alias("tol"))
+    size = n_bins(bands.nfft)
+    inside = [(F.col(k) >= lo) & (F.col(k) < hi) for lo, hi in bands.bins]
+    powers = F.array(*[F.sum(F.when(i, F.col(p)).otherwise(0.0)) for i in inside])
+    found = df.groupBy(*keys).agg(
+        powers.cast("array<double>").alias("__powers"),
+        F.count("*").alias("__n"), F.min(k).alias("__low"), F.max(k).alias("__high"),
     )
+    message = F.concat(
+        F.lit("Incorrect PSD size ("), F.col("__n").cast("string"), F.lit(f") for TOL ({size})")
+    )
+    whole = (F.col("__n") == size) & (F.col("__low") == 0) & (F.col("__high") == size - 1)
+    powers = check(whole, message, F.col("__powers"))
+    rows = found.select(*keys, F.posexplode(powers).alias("band", "__power"))
+    return rows.select(*keys, "band", to_db(F.col("__power")).alias("tol"))
 
 
 def record_tol(

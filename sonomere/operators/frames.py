@@ -1,12 +1,15 @@
 """From ordered rows to numbered frames, records and blocks of samples.
 
-A long-form signal has one sample per row. Everything here stays even when one channel holds a
-large share of all rows: no task ever sorts or collects a whole channel.
+A long-form signal has one sample per row. A channel may hold a large share of all rows: frames
+are numbered in buckets of time or in ranges of rows, and records and blocks are collected one by
+one, so no task sorts or collects a whole channel.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import Literal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +21,6 @@ NULL_KEY = "NULL channel or bucket in a signal"
 
 LastRecord = Literal["skip", "fail", "fill", "keep"]
 
-# Rows of one group a task may sort to number its frames.
-MAX_GROUP_ROWS = 2_000_000
 # Samples of one block of windows.
 BLOCK_SAMPLES = 1 << 16
 
@@ -43,45 +44,26 @@ def number_frames(
     channel: Sequence[str],
     order_by: Sequence[str],
     bucket: Column | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
     frame: str = "frame",
 ) -> DataFrame:
     """Add ``frame``, the 0-based position of a row in its channel.
 
-    ``order_by`` must order the rows of a channel totally. ``bucket`` is a coarse column that
-    never decreases along that order, such as the day of a timestamp. Row counts decide how:
+    ``order_by`` must order the rows of a channel totally. The way is the caller's choice, not
+    the data's:
 
-    * no channel above ``max_group_rows``: a plain ``row_number`` per channel;
-    * no (channel, bucket) above it: numbered inside (channel, bucket), then shifted by the rows
-      in the channel's earlier buckets; still one full shuffle;
-    * otherwise, or without a bucket: rows are range-partitioned by their full order, which splits
-      any channel at any point, at the price of one written table.
+    * ``bucket`` is a coarse column that never decreases along that order, such as the day of a
+      timestamp, fine enough that a task can sort one (channel, bucket). Rows are numbered inside
+      it and shifted by the rows in the channel's earlier buckets, counted in the same plan; no
+      job runs before the result is asked for.
+    * Without a bucket, rows are range-partitioned by their full order, which splits any channel
+      at any point, at the price of one written table.
     """
     channel, order_by = list(channel), list(order_by)
-    if _largest(df.groupBy(*channel).agg(F.count("*").alias("__n"))) <= max_group_rows:
-        inside = Window.partitionBy(*channel).orderBy(*order_by)
-        return df.select(
-            "*", _not_null(channel, F.row_number().over(inside).cast("bigint") - 1).alias(frame)
-        )
     if bucket is None:
         return _number_by_range(df, channel, order_by, frame)
     bucketed = df.withColumn("__bucket", bucket)
     counts = bucketed.groupBy(*channel, "__bucket").agg(F.count("*").alias("__n"))
-    counts = written(counts, "counts")
-    if _largest(counts) <= max_group_rows:
-        return _number_by_bucket(bucketed, counts, channel, order_by, frame)
-    return _number_by_range(df, channel, order_by, frame)
-
-
-def _largest(counts: DataFrame) -> int:
-    return counts.agg(F.max("__n")).first()[0] or 0
-
-
-def _not_null(channel: list[str], value: Column) -> Column:
-    known = F.lit(True)
-    for name in channel:
-        known = known & F.col(name).isNotNull()
-    return check(known, F.lit(NULL_KEY), value)
+    return _number_by_bucket(bucketed, counts, channel, order_by, frame)
 
 
 def _number_by_bucket(
@@ -119,13 +101,62 @@ def _number_by_range(
 def _collect_samples(
     df: DataFrame, keys: Sequence[str], values: dict[str, Column | str], frame: str
 ) -> DataFrame:
+    """``(*keys, <one ARRAY<DOUBLE> per value>)`` in the order of ``frame``.
+
+    Rows are sorted by Spark, which spills, and gathered from Arrow batches as they stream by, so
+    a task holds one record and one batch, and no object per sample.
+    """
     fields = [
         (F.col(v) if isinstance(v, str) else v).cast("double").alias(name)
         for name, v in values.items()
     ]
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(frame).alias("__frame"), *fields)))
-    grouped = df.groupBy(*keys).agg(ordered.alias("__rows"))
-    return grouped.select(*keys, *[F.col("__rows")[name].alias(name) for name in values])
+    rows = df.select(*keys, F.col(frame).alias("__frame"), *fields)
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = [f"`{k}` {types[k]}" for k in keys] + [f"`{v}` array<double>" for v in values]
+    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, "__frame").drop("__frame")
+    return ordered.mapInArrow(_gathered(len(keys)), ", ".join(schema))
+
+
+def _gathered(n_keys: int):
+    def vectors(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        offsets = pa.array(np.append(starts, batch.num_rows).astype(np.int32))
+        keys = [c.take(pa.array(starts)) for c in batch.columns[:n_keys]]
+        lists = [pa.ListArray.from_arrays(offsets, c) for c in batch.columns[n_keys:]]
+        return pa.RecordBatch.from_arrays([*keys, *lists], batch.schema.names)
+
+    def closed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        columns = [pa.concat_arrays([p.column(i) for p in parts]) for i in range(parts[0].num_columns)]
+        whole = pa.RecordBatch.from_arrays(columns, parts[0].schema.names)
+        return vectors(whole, np.zeros(1, np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_record: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            new[0] = True
+            for column in batch.columns[:n_keys]:
+                code = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                new[1:] |= code[1:] != code[:-1]
+            starts = np.flatnonzero(new)
+            head = starts[1] if len(starts) > 1 else batch.num_rows
+            if open_record:
+                first, last = batch.slice(0, 1), open_record[0].slice(0, 1)
+                if all(first.column(i).equals(last.column(i)) for i in range(n_keys)):
+                    open_record.append(batch.slice(0, head))
+                    if head == batch.num_rows:
+                        continue
+                    batch, starts = batch.slice(head), starts[1:] - head
+                yield closed(open_record)
+            tail = int(starts[-1])
+            if tail:
+                yield vectors(batch.slice(0, tail), starts[:-1])
+            open_record = [batch.slice(tail)]
+        if open_record:
+            yield closed(open_record)
+
+    return run
 
 
 def cut_records(

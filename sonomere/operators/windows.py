@@ -55,8 +55,8 @@ def apply_taper(df: DataFrame, taper: Taper, col: str = "x") -> DataFrame:
 def apply_taper_long(
     df: DataFrame, taper: Taper, index: str = "i", value: str = "value"
 ) -> DataFrame:
-    """Taper windows held as one sample per row; the coefficients are broadcast (``size`` rows)."""
-    coefficients = F.broadcast(taper.table(df.sparkSession).withColumnRenamed("i", index))
+    """Taper windows held as one sample per row."""
+    coefficients = taper.table(df.sparkSession).withColumnRenamed("i", index)
     return df.join(coefficients, index).withColumn(value, F.col(value) * F.col("w")).drop("w")
 
 

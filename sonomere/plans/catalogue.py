@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonomere.functions import levels, spectral
-from sonomere.functions.bands import Bands
+from sonomere.functions.bands import Bands, range_error
 from sonomere.functions.frequency import Interleaved, Spectrum
 from sonomere.functions.literals import elements
 from sonomere.functions.spectral import Windowing
@@ -31,6 +31,8 @@ FULL_SCALE = 131072.0
 FS = 64.0
 LOW, HIGH = 6.4, 25.6
 ALPHA = 1.75
+RECORDERS = 4
+FILE_FRAMES = 900 * int(FS)
 TAPERS = {"hamming": hamming, "hann": hann, "blackman": blackman}
 KINDS = ("periodic", "symmetric")
 LIN_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
@@ -48,25 +50,23 @@ def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 # Signals
 
 
-def evt(spark, sf, **options):
+def evt(spark, sf, bucket="day"):
     rows = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     return frames.number_frames(
-        rows, ["user_id"], ["ts", "event_id"], bucket=F.date_trunc("day", "ts"), **options
+        rows, ["user_id"], ["ts", "event_id"], bucket=F.date_trunc(bucket, "ts")
     )
 
 
-def lin(spark, sf, *extra, bucket=True, **options):
+def lin(spark, sf, bucket="year"):
     rows = table(spark, sf, "lineitem").select(
-        "l_suppkey", *LIN_ORDER, *extra, (F.col("l_extendedprice") / FULL_SCALE).alias("x")
+        "l_suppkey", *LIN_ORDER, (F.col("l_extendedprice") / FULL_SCALE).alias("x")
     )
-    year = F.date_trunc("year", "l_shipdate") if bucket else None
-    return frames.number_frames(rows, ["l_suppkey"], LIN_ORDER, bucket=year, **options)
+    time = F.date_trunc(bucket, "l_shipdate") if bucket else None
+    return frames.number_frames(rows, ["l_suppkey"], LIN_ORDER, bucket=time)
 
 
-def lin_records(spark, sf, policy="skip", **options):
-    records = frames.cut_records(
-        lin(spark, sf, **options), ["l_suppkey"], 128, {"samples": "x"}, policy
-    )
+def lin_records(spark, sf, policy="fill"):
+    records = frames.cut_records(lin(spark, sf), ["l_suppkey"], 128, {"samples": "x"}, policy)
     return records.withColumn("timestamp", F.timestamp_seconds(F.col("record_idx") * 2))
 
 
@@ -83,27 +83,31 @@ def boxcar(size):
 # Sources
 
 
-def numbered(max_channel, bucket=True):
-    """Numbered frames, as they are numbered when a channel is too large for one task."""
+def numbered(bucket):
+    """Numbered frames, in buckets of time or in ranges of rows."""
     def query(spark, sf):
-        limit = table(spark, sf, "lineitem").groupBy("l_suppkey").count()
-        limit = max_channel(limit.agg(F.max("count")).first()[0])
-        rows = lin(spark, sf, bucket=bucket, max_group_rows=limit)
+        rows = lin(spark, sf, bucket)
         return rows.select("l_suppkey", "frame", F.round("l_extendedprice", 2).alias("v"))
 
     return query
 
 
 def _recordings(spark, sf, bits):
-    """Recordings of LIN: two 16-bit channels, or one of 8 or 24 bits, 400 frames per file."""
+    """Recordings of four recorders that share the rows of LIN: two 16-bit channels, or one of 8
+    or 24 bits, a quarter of an hour per file.
+    """
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     samples = {
         8: [F.floor(quantity * 4)],
         16: [F.floor(price / 4), F.floor(quantity * 100)],
         24: [F.floor(price * 64)],
     }[bits]
-    rows = lin(spark, sf, "l_quantity")
-    folder, made = write_recordings(rows, "l_suppkey", samples, int(FS), bits, 400)
+    rows = table(spark, sf, "lineitem").withColumn("recorder", F.col("l_suppkey") % RECORDERS)
+    rows = frames.number_frames(
+        rows.select("recorder", "l_suppkey", "l_quantity", *LIN_ORDER), ["recorder"],
+        [*LIN_ORDER, "l_suppkey"], bucket=F.date_trunc("month", "l_shipdate"),
+    )
+    folder, made = write_recordings(rows, "recorder", samples, int(FS), bits, FILE_FRAMES)
     return folder, made, len(samples)
 
 
@@ -116,25 +120,35 @@ def _wav_rows(records):
     ).withColumn("v", F.round("v", 9))
 
 
-def wav_records(bits, policy):
+def wav_records(bits, policy, split_bytes=wav.SPLIT_BYTES):
+    """Records of all files; a small ``split_bytes`` has every file read by many tasks."""
     def query(spark, sf):
         folder, made, channels = _recordings(spark, sf, bits)
         return _wav_rows(
             wav.read_wav_records(
-                spark, folder, made.select("name", "start"), FS, channels, bits, 2.0, policy
+                spark, folder, made.select("name", "start"), FS, channels, bits, 2.0, policy,
+                split_bytes=split_bytes,
             )
         )
 
     return query
 
 
-def wav_single_file(spark, sf):
+def wav_file(spark, sf):
+    """The first file of the first recorder, read by its own name."""
+    folder, _, channels = _recordings(spark, sf, 16)
+    return _wav_rows(
+        wav.read_wav_file(spark, folder + "/0_0.wav", "1970-01-01", FS, channels, 16, 2.0, "fill")
+    )
+
+
+def wav_by_path(spark, sf):
     """Every file through a glob that names it, the catalogue given as paths."""
     folder, made, channels = _recordings(spark, sf, 16)
     starts = made.select(F.concat(F.lit(folder + "/"), F.col("name")).alias("name"), "start")
     return _wav_rows(
         wav.read_wav_records(
-            spark, folder + "/*.wav", starts, FS, channels, 16, 1.0, "skip", only_listed=True
+            spark, folder + "/*.wav", starts, FS, channels, 16, 1.0, "fill"
         )
     )
 
@@ -175,7 +189,7 @@ def wav_features(spark, sf):
     """WF-3 straight from files: calibrated Welch, SPL and TOL of both channels of every record."""
     folder, made, channels = _recordings(spark, sf, 16)
     features = WelchSplTol(2.0, 32, 16, 32, LOW, HIGH).of_recordings(
-        spark, folder, made.select("name", "start"), FS, channels, 16, calibration=-2.0
+        spark, folder, made.select("name", "start"), FS, channels, 16, "fill", calibration=-2.0
     )
     return _channel_rows(features)
 
@@ -184,7 +198,7 @@ def wav_records_features(spark, sf):
     """The same step by step: read records, calibrate them, compute features."""
     folder, made, channels = _recordings(spark, sf, 16)
     records = wav.read_wav_records(
-        spark, folder, made.select("name", "start"), FS, channels, 16, 2.0
+        spark, folder, made.select("name", "start"), FS, channels, 16, 2.0, "fill"
     )
     return _channel_rows(
         WelchSplTol(2.0, 32, 16, 32, LOW, HIGH)(calibrate_records(records, -2.0), FS)
@@ -200,6 +214,20 @@ def decode_blobs(spark, sf):
     return rounded(rows, "v", digits=9)
 
 
+def decode_html(bits, channels):
+    """The bytes of the pages themselves as PCM of that form, without what is left over."""
+    def query(spark, sf):
+        raw = F.encode("html", "UTF-8")
+        frame = bits // 8 * channels
+        whole = F.octet_length(raw) - F.octet_length(raw) % frame
+        pages = table(spark, sf, "pages").select("page_id", F.substring(raw, F.lit(1), whole).alias("raw"))
+        samples = pages.select("page_id", decode_pcm(F.col("raw"), bits, channels).alias("channels"))
+        rows = windows.bins(shape.explode_channels(samples), ["page_id", "channel"], "samples", "v", "i")
+        return rounded(rows, "v", digits=9)
+
+    return query
+
+
 def timeserie(tick, blocks):
     def query(spark, sf):
         """As many ticks as there are events, from the first event on."""
@@ -215,10 +243,14 @@ def timeserie(tick, blocks):
 
 
 def vector_files(spark, sf):
-    """Embeddings written as text, one vector per line, and read back."""
+    """Embeddings written as text, one vector per line after its key, and read back."""
     path = new_path(spark, "vectors")
-    emb(spark, sf).select(F.array_join("samples", " ").alias("value")).write.text(path)
-    rows = vectors.read_vectors(spark, path).select(F.posexplode("values").alias("i", "v"))
+    line = F.concat_ws(" ", F.col("vec_id").cast("string"), F.array_join("samples", " "))
+    emb(spark, sf).select(line.alias("value")).write.text(path)
+    rows = vectors.read_vectors(spark, path).select(
+        F.element_at("values", 1).cast("bigint").alias("vec_id"),
+        F.posexplode(F.slice("values", F.lit(2), F.size("values") - 1)).alias("i", "v"),
+    )
     return rounded(rows, "v")
 
 
@@ -332,16 +364,17 @@ def records(policy):
 
 
 def window_coefficients(spark, sf):
-    """Every taper of both kinds on every vector."""
-    out = None
-    for name, make in TAPERS.items():
-        for kind in KINDS:
-            rows = windows.apply_taper(emb(spark, sf), make(64, kind), "samples").select(
-                F.lit(name).alias("taper"), F.lit(kind).alias("kind"), "vec_id",
-                F.posexplode("samples").alias("i", "v"),
-            )
-            out = rows if out is None else out.unionByName(rows)
-    return rounded(out, "v", digits=9)
+    """Every taper of both kinds on every vector, from one scan."""
+    every = [
+        F.struct(
+            F.lit(name).alias("taper"), F.lit(kind).alias("kind"),
+            make(64, kind).apply(F.col("samples")).alias("tapered"),
+        )
+        for name, make in TAPERS.items() for kind in KINDS
+    ]
+    rows = emb(spark, sf).select("vec_id", F.explode(F.array(*every)).alias("t"))
+    rows = rows.select("t.taper", "t.kind", "vec_id", F.posexplode("t.tapered").alias("i", "v"))
+    return rounded(rows, "v", digits=9)
 
 
 def tapered_long(spark, sf):
@@ -354,20 +387,20 @@ def tapered_long(spark, sf):
 
 def window_norm_factors(spark, sf):
     """Energy and squared sum of tapered vectors over the density and spectrum factors."""
-    out = None
+    every = []
     for name, make in TAPERS.items():
         for kind in KINDS:
             taper = make(64, kind)
             tapered = taper.apply(F.col("samples"))
             squares = F.aggregate(tapered, F.lit(0.0), lambda a, v: a + v * v)
             total = F.aggregate(tapered, F.lit(0.0), lambda a, v: a + v)
-            rows = emb(spark, sf).select(
-                F.lit(name).alias("taper"), F.lit(kind).alias("kind"), "vec_id",
+            every.append(F.struct(
+                F.lit(name).alias("taper"), F.lit(kind).alias("kind"),
                 (squares / F.lit(taper.density_factor(ALPHA))).alias("density"),
                 (total * total / F.lit(taper.spectrum_factor(ALPHA))).alias("spectrum"),
-            )
-            out = rows if out is None else out.unionByName(rows)
-    return rounded(out, "density", "spectrum")
+            ))
+    rows = emb(spark, sf).select("vec_id", F.explode(F.array(*every)).alias("t"))
+    return rounded(rows.select("vec_id", "t.*"), "density", "spectrum")
 
 
 # Spectra
@@ -441,12 +474,9 @@ def welch_psd_events(spark, sf):
 
 
 def welch_from_windows(spark, sf):
-    """The same estimate window by window: segment, taper, FFT, periodogram, mean.
-
-    The limits are low, so that signals are split as hot ones are.
-    """
+    """The same estimate window by window: segment, taper, FFT, periodogram, mean."""
     taper = hamming(32)
-    signal = evt(spark, sf, max_group_rows=20)
+    signal = evt(spark, sf, bucket="hour")
     blocks = frames.cut_blocks(signal, ["user_id"], "value", 32, 16, windows_per_block=2)
     cut = windows.apply_taper(windows.segment(blocks, 32, 16), taper)
     spectra = cut.withColumn("fft", spectral.fft(F.col("x"), 32))
@@ -563,7 +593,7 @@ def tol_freq_vector(spark, sf):
         *RECORD, "band", F.get(edges, F.col("band")).alias("lo"),
         F.get(edges, F.col("band") + 1).alias("hi"), "tol",
     )
-    return rounded(out, "lo", "hi", "tol")
+    return _shown(out, "lo", "hi", "tol")
 
 
 def freq_to_band(spark, sf):
@@ -574,44 +604,68 @@ def freq_to_band(spark, sf):
 
 def band_to_freq(spark, sf):
     bands = Bands(64, FS)
-    rows = _order_frequencies(spark, sf, 1.0, 27.0)
-    banded = rows.withColumn("band", bands.frequency_to_index(F.col("freq"))).filter("band >= 0")
-    out = banded.select("o_orderkey", "band", bands.index_to_frequency(F.col("band")).alias("lo"))
-    return rounded(out, "lo")
+    rows = _order_frequencies(spark, sf, 1.0, 31.0)
+    banded = rows.withColumn("band", bands.frequency_to_index(F.col("freq")))
+    low = F.when(F.col("band") >= 0, bands.index_to_frequency(F.col("band")))
+    return rounded(banded.select("o_orderkey", "band", low.alias("lo")), "lo")
+
+
+def tol_parameters(spark, sf):
+    """Study ranges taken from orders: accepted, or why not."""
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % 80 + 50).cast("int").alias("nfft"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.floor(F.col("o_totalprice") % 40).cast("double")).alias("low"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.floor(F.col("o_totalprice") % 37).cast("double")).alias("high"),
+    )
+    error = range_error(F.col("nfft"), F.lit(FS), F.col("low"), F.col("high"))
+    return rows.select("o_orderkey", error.isNull().alias("accepted"), error.alias("error"))
 
 
 def _tol_spectra(spark, sf):
     return windows.spectrogram(lin_records(spark, sf), Windowing(64, 0, 64, FS))
 
 
-def tol_per_window(spark, sf):
-    keys = [*RECORD, "window_idx"]
-    rows = windows.bins(_tol_spectra(spark, sf), keys)
-    return rounded(aggregates.tol_long(rows, keys, _bands()), "tol")
+def _shown(rows: DataFrame, *cols: str) -> DataFrame:
+    """Levels rounded; -Infinity, the level of silence, as NULL."""
+    audible = {c: F.when(F.col(c) > float("-inf"), F.col(c)) for c in cols}
+    return rounded(rows.withColumns(audible), *cols)
 
 
-def tol_per_window_array(spark, sf):
-    rows = _tol_spectra(spark, sf).select(
-        *RECORD, "window_idx", F.posexplode(_bands().levels(F.col("psd"))).alias("band", "tol")
-    )
-    return rounded(rows, "tol")
+def tol_per_window(bands):
+    """Levels of every window, from bins in rows; a band without a bin is silent."""
+    def query(spark, sf):
+        keys = [*RECORD, "window_idx"]
+        rows = windows.bins(_tol_spectra(spark, sf), keys)
+        return _shown(aggregates.tol_long(rows, keys, bands), "tol")
+
+    return query
+
+
+def tol_per_window_array(bands):
+    def query(spark, sf):
+        rows = _tol_spectra(spark, sf).select(
+            *RECORD, "window_idx", F.posexplode(bands.levels(F.col("psd"))).alias("band", "tol")
+        )
+        return _shown(rows, "tol")
+
+    return query
 
 
 def tol_workflow(agg, sort=False):
     def query(spark, sf):
         features = Tol(2.0, LOW, HIGH, agg)(lin_records(spark, sf), FS, sort=sort)
-        return rounded(windows.bins(features, RECORD, "tol", "tol", "band"), "tol")
+        return _shown(windows.bins(features, RECORD, "tol", "tol", "band"), "tol")
 
     return query
 
 
-def record_tol(agg):
+def record_tol(agg, bands):
     def query(spark, sf):
         keys = [*RECORD, "window_idx"]
         per_window = aggregates.tol_long(
-            windows.bins(_tol_spectra(spark, sf), keys), keys, _bands()
+            windows.bins(_tol_spectra(spark, sf), keys), keys, bands
         )
-        return rounded(aggregates.record_tol(per_window, RECORD, agg), "tol")
+        return _shown(aggregates.record_tol(per_window, RECORD, agg), "tol")
 
     return query
 
@@ -629,7 +683,7 @@ def _feature_rows(features: DataFrame, keys: list[str]) -> DataFrame:
     )
     rows = features.select(*keys, all_features.alias("f"))
     rows = rows.select(*keys, "f.feature", F.posexplode("f.values").alias("idx", "v"))
-    return rounded(rows, "v", digits=6)
+    return _shown(rows, "v")
 
 
 def _flat_spl(features):
@@ -679,22 +733,40 @@ def shape_features(spark, sf):
 
 
 def all_features(spark, sf):
-    """Every feature of WF-4 in long form."""
-    found = AllFeatures(2.0, 32, 16, 32, LOW, HIGH).of_records(
+    """Every feature of WF-4 in long form, from one pass over the records."""
+    found = AllFeatures(2.0, 32, 16, 32, LOW, HIGH).together(
         lin_records(spark, sf), FS, calibration=-2.0
     )
-    out = None
-    for name, features in found.items():
-        if name in ("fft", "periodogram"):
-            rows = windows.bins(features, RECORD, name, "values", "window_idx")
-        else:
-            rows = features.select(*RECORD, F.lit(-1).alias("window_idx"), F.col(name).alias("values"))
-        rows = rows.select(
-            F.lit(name).alias("feature"), *RECORD, "window_idx",
-            F.posexplode(elements("values")).alias("idx", "v"),
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return rounded(out, "v")
+    return _all_rows(found, RECORD)
+
+
+def _all_rows(found: DataFrame, keys: list[str]) -> DataFrame:
+    def one(name: str, window, values):
+        return F.struct(F.lit(name).alias("feature"), window.alias("window_idx"), values.alias("values"))
+
+    def windows_of(name: str):
+        return F.transform(name, lambda values, w: one(name, w, values))
+
+    per_window = [windows_of(name) for name in ("fft", "periodogram")]
+    whole = F.array(*[one(name, F.lit(-1), F.col(name)) for name in ("welch", "spl", "tol")])
+    rows = found.withColumn("__all", F.concat(*per_window, whole))
+    rows = rows.select(*keys, F.explode(elements("__all")).alias("f"))
+    rows = rows.select("f.feature", *keys, "f.window_idx", F.posexplode("f.values").alias("idx", "v"))
+    return _shown(rows, "v")
+
+
+def all_features_wav(spark, sf):
+    """WF-4 of both channels of recordings, from one reading of the files."""
+    folder, made, channels = _recordings(spark, sf, 16)
+    found = AllFeatures(2.0, 32, 16, 32, LOW, HIGH).together_of_recordings(
+        spark, folder, made.select("name", "start"), FS, channels, 16, "fill", calibration=-2.0
+    )
+    names = ("fft", "periodogram", "welch", "spl", "tol")
+    channel = F.posexplode(elements("__channels")).alias("channel", "c")
+    zipped = found.withColumn("__channels", F.arrays_zip(*names))
+    per_channel = zipped.select("sound_id", "record_idx", channel)
+    per_channel = per_channel.select("sound_id", "record_idx", "channel", *[f"c.{n}" for n in names])
+    return _all_rows(per_channel, ["sound_id", "record_idx", "channel"])
 
 
 # Comparisons
@@ -780,19 +852,24 @@ QUERIES: dict[str, Query] = {
     "welch_psd_events": welch_psd_events,
     "welch_from_windows": welch_from_windows,
     "welch_in_row": welch_in_row,
-    "frames_plain": numbered(lambda largest: largest),
-    "frames_by_bucket": numbered(lambda largest: largest - 1),
-    "frames_by_range": numbered(lambda largest: largest - 1, bucket=False),
+    "frames_plain": numbered("year"),
+    "frames_by_bucket": numbered("month"),
+    "frames_by_range": numbered(None),
     "wav_roundtrip": wav_records(16, "skip"),
     "wav_records_fill": wav_records(16, "fill"),
     "wav_records_8bit": wav_records(8, "keep"),
-    "wav_records_24bit": wav_records(24, "skip"),
-    "wav_by_path": wav_single_file,
+    "wav_records_24bit": wav_records(24, "fill"),
+    "wav_by_path": wav_by_path,
+    "wav_file": wav_file,
+    "wav_split_files": wav_records(16, "fill", split_bytes=4096),
     "wav_chunks": wav_chunks,
     "wav_inspect": wav_inspect,
     "wav_features": wav_features,
     "wav_records_features": wav_records_features,
     "decode_pcm": decode_blobs,
+    "decode_pcm_16": decode_html(16, 2),
+    "decode_pcm_24": decode_html(24, 1),
+    "decode_pcm_32": decode_html(32, 2),
     "timeserie": timeserie(1, 1),
     "timeserie_blocks": timeserie(1, 7),
     "timeserie_tick": timeserie(5, 3),
@@ -836,10 +913,14 @@ QUERIES: dict[str, Query] = {
     "tol_freq_vector": tol_freq_vector,
     "freq_to_band": freq_to_band,
     "band_to_freq": band_to_freq,
-    "tol_per_window": tol_per_window,
-    "tol_per_window_array": tol_per_window_array,
-    "record_tol": record_tol("avg"),
-    "record_tol_sum": record_tol("sum"),
+    "tol_parameters": tol_parameters,
+    "tol_per_window": tol_per_window(Bands(64, FS, LOW, HIGH)),
+    "tol_per_window_array": tol_per_window_array(Bands(64, FS, LOW, HIGH)),
+    "tol_per_window_default": tol_per_window(Bands(64, FS)),
+    "tol_per_window_array_default": tol_per_window_array(Bands(64, FS)),
+    "record_tol": record_tol("avg", Bands(64, FS, LOW, HIGH)),
+    "record_tol_sum": record_tol("sum", Bands(64, FS, LOW, HIGH)),
+    "record_tol_default": record_tol("avg", Bands(64, FS)),
     "tol_workflow": tol_workflow("avg"),
     "tol_workflow_sorted": tol_workflow("avg", sort=True),
     "tol_sum": tol_workflow("sum"),
@@ -849,6 +930,7 @@ QUERIES: dict[str, Query] = {
     "welch_spl_tol_workflow": welch_spl_tol_workflow,
     "shape_features": shape_features,
     "all_features": all_features,
+    "all_features_wav": all_features_wav,
     "rmse_scalar": rmse_scalar,
     "rmse_vectors": rmse_vectors,
     "rmse_match": rmse_match,

@@ -18,7 +18,9 @@ LIN = f"""lin AS (
   FROM lineitem)"""
 REC = LIN + """, rec AS (
   SELECT l_suppkey, frame // 128 AS record_idx, frame % 128 AS j, x FROM lin
-  QUALIFY count(*) OVER (PARTITION BY l_suppkey, frame // 128) = 128)"""
+  UNION ALL
+  SELECT l_suppkey, n // 128, unnest(range(n % 128, 128)), 0::DOUBLE
+  FROM (SELECT l_suppkey, count(*) AS n FROM lin GROUP BY l_suppkey) WHERE n % 128 > 0)"""
 EVT = """evt AS (
   SELECT user_id, value AS x,
     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame,
@@ -90,7 +92,13 @@ def bands(nfft: int, fs: float, low: float, high: float, out: str = "bands") ->
 
 
 def db(value: str) -> str:
-    return f"10 * log10({value})"
+    """Decibels; silence, at minus infinity, is shown as NULL."""
+    return f"CASE WHEN {value} > 0 THEN 10 * log10(greatest({value}, 1e-300::DOUBLE)) END"
+
+
+def heard(agg: str, value: str = "tol") -> str:
+    """An aggregate of levels; silent if one of them is."""
+    return f"CASE WHEN count({value}) = count(*) THEN {agg}({value}) END"
 
 
 R = "l_suppkey, record_idx"
@@ -115,36 +123,51 @@ def lin_welch(size: int, hop: int, nfft: int, source: str = "rec") -> str:
     )
 
 
-def lin_tol(source: str = "rec") -> str:
-    return (
-        lin_psd(64, 64, 64, source, "_t")
-        + ", "
-        + bands(64, 64, 6.4, 25.6)
-        + f""", tol AS (
-  SELECT {RW}, band, {db('sum(p)')} AS tol
-  FROM psd_t JOIN bands ON k >= lo_bin AND k < hi_bin GROUP BY {RW}, band)"""
-    )
+def levels(keys: str) -> str:
+    """Every band of every key; one without a bin is silent."""
+    held = "CASE WHEN k >= lo_bin AND k < hi_bin THEN p ELSE 0 END"
+    return f"""tol AS (
+  SELECT {keys}, band, {db(f'sum({held})')} AS tol FROM psd_t, bands GROUP BY {keys}, band)"""
+
+
+def lin_tol(source: str = "rec", low: float = 6.4, high: float = 25.6) -> str:
+    return ", ".join([lin_psd(64, 64, 64, source, "_t"), bands(64, 64, low, high), levels(RW)])
 
 
 WELCH_SPL_ROWS = f"""
   SELECT {R}, 'welch' AS feature, k AS idx, {rnd('p')} AS v FROM welch
   UNION ALL SELECT {R}, 'spl', 0, {rnd(db('sum(p)'))} FROM welch GROUP BY {R}"""
 TOL_ROWS = f"""
-  UNION ALL SELECT {R}, 'tol', band, {rnd('avg(tol)')} FROM tol GROUP BY {R}, band"""
+  UNION ALL SELECT {R}, 'tol', band, {rnd(heard('avg'))} FROM tol GROUP BY {R}, band"""
 
 
 def frame_files(samples: list[str]) -> str:
-    """Decoded samples of the recordings made of LIN, 400 frames per file."""
+    """Decoded samples of the recordings made of LIN, a quarter of an hour per file."""
     channels = " UNION ALL ".join(
-        f"SELECT l_suppkey, frame, {c} AS channel, {s} AS v FROM lin" for c, s in enumerate(samples)
+        f"SELECT recorder, frame, {c} AS channel, {s} AS v FROM heard" for c, s in enumerate(samples)
     )
-    return f"""{LIN}, file AS (
-  SELECT l_suppkey || '_' || (frame // 400) || '.wav' AS sound_id, frame // 400 AS f,
-    frame % 400 AS j, channel, v,
-    count(*) OVER (PARTITION BY l_suppkey, frame // 400, channel) AS n
+    return f"""heard AS (
+  SELECT l_suppkey % 4 AS recorder, l_quantity, l_extendedprice,
+    row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY {LIN_ORDER}, l_suppkey) - 1 AS frame
+  FROM lineitem),
+file AS (
+  SELECT recorder || '_' || (frame // 57600) || '.wav' AS sound_id, frame // 57600 AS f,
+    frame % 57600 AS j, channel, v,
+    count(*) OVER (PARTITION BY recorder, frame // 57600, channel) AS n
   FROM ({channels}))"""
 
 
+def filled(size: int) -> str:
+    """The files with their last record filled up with zeros."""
+    return f"""ends AS (SELECT DISTINCT sound_id, f, channel, n FROM file),
+pad AS (
+  SELECT sound_id, f, channel,
+    unnest(range(n, ((n + {size - 1}) // {size}) * {size})) AS j, 0::DOUBLE AS v
+  FROM ends),
+whole AS (
+  SELECT sound_id, f, channel, j, v FROM file UNION ALL SELECT sound_id, f, channel, j, v FROM pad)"""
+
+
 TWO_CHANNELS = [
     "floor(l_extendedprice / 4) / 32768::DOUBLE",
     "floor(l_quantity * 100) / 32768::DOUBLE",
@@ -152,47 +175,86 @@ TWO_CHANNELS = [
 
 
 def wav(samples: list[str], size: int, where: str, extra: str = "") -> str:
-    # 400 frames at 64 Hz are 6250 ms.
+    # A quarter of an hour is 900,000 ms.
     return f"""WITH {frame_files(samples)}
 SELECT sound_id, j // {size} AS record_idx, channel,
-  f * 6250 + (j // {size}) * {size} * 1000 // 64 AS ms, j % {size} AS i, {rnd('v', 9)} AS v
+  f * 900000 + (j // {size}) * {size} * 1000 // 64 AS ms, j % {size} AS i, {rnd('v', 9)} AS v
 FROM file WHERE {where}{extra}"""
 
 
-def wav_fill() -> str:
-    return f"""WITH {frame_files(TWO_CHANNELS)},
-ends AS (SELECT DISTINCT sound_id, f, channel, n FROM file),
-pad AS (
-  SELECT sound_id, f, channel, unnest(range(n, ((n + 127) // 128) * 128)) AS j, 0::DOUBLE AS v
-  FROM ends),
-whole AS (
-  SELECT sound_id, f, channel, j, v FROM file UNION ALL SELECT sound_id, f, channel, j, v FROM pad)
-SELECT sound_id, j // 128 AS record_idx, channel, f * 6250 + (j // 128) * 2000 AS ms,
-  j % 128 AS i, {rnd('v', 9)} AS v FROM whole"""
+def wav_fill(samples: list[str], size: int, where: str = "true") -> str:
+    return f"""WITH {frame_files(samples)}, {filled(size)}
+SELECT sound_id, j // {size} AS record_idx, channel,
+  f * 900000 + (j // {size}) * {size} * 1000 // 64 AS ms,
+  j % {size} AS i, {rnd('v', 9)} AS v FROM whole WHERE {where}"""
 
 
-def wav_features() -> str:
-    keys = "sound_id, record_idx, channel"
-    keys_w = keys + ", window_idx"
-    return f"""WITH {frame_files(TWO_CHANNELS)},
+CHANNEL = "sound_id, record_idx, channel"
+CHANNEL_WINDOW = CHANNEL + ", window_idx"
+
+
+def wav_spectra() -> str:
+    """Calibrated spectra and levels of both channels of the recordings."""
+    return f"""WITH {frame_files(TWO_CHANNELS)}, {filled(128)},
 rec AS (
   SELECT sound_id, j // 128 AS record_idx, channel, j % 128 AS j,
-    v / power(10::DOUBLE, -2::DOUBLE / 20) AS x
-  FROM file WHERE j < n - n % 128),
-{cut('rec', keys, 'j', '128', 32, 16)},
-{dft('win', keys_w, 32, taper('hamming', 32))},
-{psd(keys_w, 32, density('hamming', 32, 64))},
-welch AS (SELECT {keys}, k, avg(p) AS p FROM psd GROUP BY {keys}, k),
-{cut('rec', keys, 'j', '128', 64, 64, 'win_t')},
-{dft('win_t', keys_w, 64, taper('hamming', 64), 'z_t')},
-{psd(keys_w, 64, density('hamming', 64, 64), 'z_t', 'psd_t')},
-{bands(64, 64, 6.4, 25.6)},
-tol AS (
-  SELECT {keys_w}, band, {db('sum(p)')} AS tol
-  FROM psd_t JOIN bands ON k >= lo_bin AND k < hi_bin GROUP BY {keys_w}, band)
+    v / power(10::DOUBLE, -2::DOUBLE / 20) AS x FROM whole),
+{cut('rec', CHANNEL, 'j', '128', 32, 16)},
+{dft('win', CHANNEL_WINDOW, 32, taper('hamming', 32))},
+{psd(CHANNEL_WINDOW, 32, density('hamming', 32, 64))},
+welch AS (SELECT {CHANNEL}, k, avg(p) AS p FROM psd GROUP BY {CHANNEL}, k),
+{cut('rec', CHANNEL, 'j', '128', 64, 64, 'win_t')},
+{dft('win_t', CHANNEL_WINDOW, 64, taper('hamming', 64), 'z_t')},
+{psd(CHANNEL_WINDOW, 64, density('hamming', 64, 64), 'z_t', 'psd_t')},
+{bands(64, 64, 6.4, 25.6)}, {levels(CHANNEL_WINDOW)}"""
+
+
+def wav_features() -> str:
+    keys = CHANNEL
+    return f"""{wav_spectra()}
 SELECT {keys}, 'welch' AS feature, k AS idx, {rnd('p')} AS v FROM welch
 UNION ALL SELECT {keys}, 'spl', 0, {rnd(db('sum(p)'))} FROM welch GROUP BY {keys}
-UNION ALL SELECT {keys}, 'tol', band, {rnd('avg(tol)')} FROM tol GROUP BY {keys}, band"""
+UNION ALL SELECT {keys}, 'tol', band, {rnd(heard('avg'))} FROM tol GROUP BY {keys}, band"""
+
+
+def every_feature(start: str, keys: str) -> str:
+    windows = keys + ", window_idx"
+    return f"""{start}
+SELECT 'fft' AS feature, {windows}, 2 * k AS idx, {rnd('re')} AS v FROM z
+UNION ALL SELECT 'fft', {windows}, 2 * k + 1, {rnd('im')} FROM z
+UNION ALL SELECT 'periodogram', {windows}, k, {rnd('p')} FROM psd
+UNION ALL SELECT 'welch', {keys}, -1, k, {rnd('p')} FROM welch
+UNION ALL SELECT 'spl', {keys}, -1, 0, {rnd(db('sum(p)'))} FROM welch GROUP BY {keys}
+UNION ALL SELECT 'tol', {keys}, -1, band, {rnd(heard('sum'))} FROM tol GROUP BY {keys}, band"""
+
+
+def pcm(bits: int, channels: int) -> str:
+    """The bytes of the pages as little-endian signed integers."""
+    size, top = bits // 8, 2 ** (bits - 1)
+    byte = "('0x' || substr(h, 2 * (s * {size} + {b}) + 1, 2))::BIGINT"
+    number = " + ".join(f"{256**b} * {byte.format(size=size, b=b)}" for b in range(size))
+    return f"""WITH raw AS (SELECT page_id, hex(encode(html)) AS h FROM pages),
+cells AS (
+  SELECT page_id, h, unnest(range(length(h) // 2 // {size * channels} * {channels})) AS s FROM raw),
+numbers AS (SELECT page_id, s, {number} AS n FROM cells)
+SELECT page_id, s % {channels} AS channel, s // {channels} AS i,
+  {rnd(f'(n - CASE WHEN n >= {top} THEN {2 * top} ELSE 0 END) / {top}::DOUBLE', 9)} AS v FROM numbers"""
+
+
+def range_errors() -> str:
+    return """WITH ranges AS (
+  SELECT o_orderkey, o_custkey % 80 + 50 AS nfft,
+    CASE WHEN o_orderkey % 5 > 0 THEN floor(o_totalprice % 40)::DOUBLE END AS low,
+    CASE WHEN o_orderkey % 3 > 0 THEN floor(o_totalprice % 37)::DOUBLE END AS high FROM orders),
+errors AS (
+  SELECT o_orderkey, CASE
+    WHEN nfft < 64 THEN 'Incorrect window size (' || nfft || ') for TOL (64.0)'
+    WHEN low < 1 OR low > coalesce(high, 32) THEN 'Incorrect low frequency (' || low
+      || ') for TOL (smaller than 1.0 or bigger than ' || coalesce(high, 32::DOUBLE) || ')'
+    WHEN high < coalesce(low, 1) OR high > 32 THEN 'Incorrect high frequency (' || high
+      || ') for TOL (higher than 32.0 or smaller than ' || coalesce(low, 1::DOUBLE) || ')'
+  END AS error FROM ranges)
+SELECT o_orderkey, error IS NULL AS accepted, error FROM errors"""
 
 
 def timeserie(tick: int, blocks: int) -> str:
@@ -256,9 +318,9 @@ def power_spectrum(name: str, kind: str) -> str:
 SELECT vec_id, k, {rnd('p', 9)} AS p FROM psd"""
 
 
-def tol_records(agg: str) -> str:
-    return f"""WITH {REC}, {lin_tol()}
-SELECT {R}, band, {rnd(f'{agg}(tol)')} AS tol FROM tol GROUP BY {R}, band"""
+def tol_records(agg: str, low: float = 6.4, high: float = 25.6) -> str:
+    return f"""WITH {REC}, {lin_tol(low=low, high=high)}
+SELECT {R}, band, {rnd(heard(agg))} AS tol FROM tol GROUP BY {R}, band"""
 
 
 def freq(low: float, span: float) -> str:
@@ -270,15 +332,10 @@ def band_of(expression: str) -> str:
 
 
 def all_features() -> str:
-    return f"""WITH {REC}, cal AS (
+    start = f"""WITH {REC}, cal AS (
   SELECT {R}, j, x / power(10::DOUBLE, -2::DOUBLE / 20) AS x FROM rec),
-{lin_welch(32, 16, 32, 'cal')}, {lin_tol('cal')}
-SELECT 'fft' AS feature, {RW}, 2 * k AS idx, {rnd('re')} AS v FROM z
-UNION ALL SELECT 'fft', {RW}, 2 * k + 1, {rnd('im')} FROM z
-UNION ALL SELECT 'periodogram', {RW}, k, {rnd('p')} FROM psd
-UNION ALL SELECT 'welch', {R}, -1, k, {rnd('p')} FROM welch
-UNION ALL SELECT 'spl', {R}, -1, 0, {rnd(db('sum(p)'))} FROM welch GROUP BY {R}
-UNION ALL SELECT 'tol', {R}, -1, band, {rnd('sum(tol)')} FROM tol GROUP BY {R}, band"""
+{lin_welch(32, 16, 32, 'cal')}, {lin_tol('cal')}"""
+    return every_feature(start, R)
 
 
 def paired_report() -> str:
@@ -318,6 +375,7 @@ VECTOR_RMSE = "sqrt(avg(power(x - (x * 1.01::DOUBLE + 0.001::DOUBLE), 2)))"
 PER_WINDOW_TOL = (
     f"WITH {REC}, {lin_tol()} SELECT {BY_BAND}, {rnd('tol')} AS tol FROM tol"
 )
+DEFAULT_TOL = f"WITH {REC}, {lin_tol(low=1, high=32)} SELECT {BY_BAND}, {rnd('tol')} AS tol FROM tol"
 
 _UNTYPED: dict[str, str] = {
     "welch_psd_events": welch_events(),
@@ -328,32 +386,34 @@ SELECT vec_id, k, {rnd('avg(p)', 9)} AS p FROM psd GROUP BY vec_id, k""",
     "frames_by_bucket": FRAMES,
     "frames_by_range": FRAMES,
     "wav_roundtrip": wav(TWO_CHANNELS, 128, "j < n - n % 128"),
-    "wav_records_fill": wav_fill(),
+    "wav_records_fill": wav_fill(TWO_CHANNELS, 128),
+    "wav_split_files": wav_fill(TWO_CHANNELS, 128),
+    "wav_file": wav_fill(TWO_CHANNELS, 128, "sound_id = '0_0.wav'"),
     "wav_records_8bit": wav(
         ["-1 + floor(l_quantity * 4) / 127.5::DOUBLE"], 128, "true"
     ),
-    "wav_records_24bit": wav(
-        ["floor(l_extendedprice * 64) / 8388608::DOUBLE"], 128, "j < n - n % 128"
-    ),
-    "wav_by_path": wav(TWO_CHANNELS, 64, "j < n - n % 64"),
+    "wav_records_24bit": wav_fill(["floor(l_extendedprice * 64) / 8388608::DOUBLE"], 128),
+    "wav_by_path": wav_fill(TWO_CHANNELS, 64),
     "wav_chunks": f"""WITH {frame_files(TWO_CHANNELS)}
 SELECT sound_id, (j - 7) // 50 AS record_idx, channel,
   (7 + (j - 7) // 50 * 50) * 1000 // 64 AS ms, (j - 7) % 50 AS i, {rnd('v', 9)} AS v
 FROM file WHERE j >= 7 AND j < 157""",
-    "wav_inspect": f"""WITH {LIN}
-SELECT l_suppkey || '_' || (frame // 400) || '.wav' AS sound_id, true AS ok, 64 AS fs,
-  1 AS channels, 24 AS bits, count(*) AS frames
-FROM lin GROUP BY l_suppkey, frame // 400""",
+    "wav_inspect": f"""WITH {frame_files(["0"])}
+SELECT sound_id, true AS ok, 64 AS fs, 1 AS channels, 24 AS bits, count(*) AS frames
+FROM file GROUP BY sound_id""",
     "wav_features": wav_features(),
     "wav_records_features": wav_features(),
     "decode_pcm": f"""SELECT page_id, 0 AS channel, i, {rnd('-1 + b / 127.5::DOUBLE', 9)} AS v
 FROM (
   SELECT page_id, unnest(range(octet_length(url::BLOB))) AS i,
     unnest([ascii(c) for c in string_split(url, '')]) AS b FROM pages)""",
+    "decode_pcm_16": pcm(16, 2),
+    "decode_pcm_24": pcm(24, 1),
+    "decode_pcm_32": pcm(32, 2),
     "timeserie": timeserie(1, 1),
     "timeserie_blocks": timeserie(1, 7),
     "timeserie_tick": timeserie(5, 3),
-    "vector_files": f"WITH {EMB} SELECT j AS i, {rnd('x')} AS v FROM emb",
+    "vector_files": f"WITH {EMB} SELECT vec_id, j AS i, {rnd('x')} AS v FROM emb",
     "sound_names": """SELECT
   'S' || l_suppkey || '_64_24_' || count(*) || '_64.0_1_vPSD_32_32_16_64.csv' AS file_name,
   'S' || l_suppkey AS sound_name, 64 AS sys_bits, 24 AS wav_bits, count(*) AS sample_number,
@@ -423,16 +483,20 @@ found AS (SELECT {band_of(freq(1, 31))} AS band FROM orders)
 SELECT band, {rnd('lo')} AS lo, {rnd('hi')} AS hi, lo_bin, hi_bin,
   (SELECT count(*) FROM found WHERE found.band = bands.band) AS n FROM bands""",
     "tol_freq_vector": f"""WITH {REC}, {lin_tol()}, mean AS (
-  SELECT {R}, band, avg(tol) AS tol FROM tol GROUP BY {R}, band),
+  SELECT {R}, band, {heard('avg')} AS tol FROM tol GROUP BY {R}, band),
 edges AS (SELECT band, lo, coalesce(lead(lo) OVER (ORDER BY band), hi) AS hi FROM bands)
 SELECT {R}, band, {rnd('lo')} AS lo, {rnd('hi')} AS hi, {rnd('tol')} AS tol
 FROM mean JOIN edges USING (band)""",
     "freq_to_band": f"WITH {bands(64, 64, 1, 32)} SELECT o_orderkey, {band_of(freq(1, 31))} AS band FROM orders",
     "band_to_freq": f"""WITH {bands(64, 64, 1, 32)},
-found AS (SELECT o_orderkey, {band_of(freq(1, 27))} AS band FROM orders)
-SELECT o_orderkey, band, {rnd('lo')} AS lo FROM found JOIN bands USING (band)""",
+found AS (SELECT o_orderkey, {band_of(freq(1, 31))} AS band FROM orders)
+SELECT o_orderkey, band, {rnd('lo')} AS lo FROM found LEFT JOIN bands USING (band)""",
+    "tol_parameters": range_errors(),
     "tol_per_window": PER_WINDOW_TOL,
     "tol_per_window_array": PER_WINDOW_TOL,
+    "tol_per_window_default": DEFAULT_TOL,
+    "tol_per_window_array_default": DEFAULT_TOL,
+    "record_tol_default": tol_records("avg", 1, 32),
     "record_tol": tol_records("avg"),
     "record_tol_sum": tol_records("sum"),
     "tol_workflow": tol_records("avg"),
@@ -447,6 +511,7 @@ SELECT o_orderkey, band, {rnd('lo')} AS lo FROM found JOIN bands USING (band)"""
 SELECT {R}, record_idx * 2000 AS ms, c AS channel, {rnd('10 * log10(e * (c + 1) * (c + 1))')} AS spl
 FROM spl, range(2) AS t(c)""",
     "all_features": all_features(),
+    "all_features_wav": every_feature(wav_spectra(), CHANNEL),
     "rmse_scalar": f"""SELECT l_orderkey, l_linenumber, l_suppkey,
   {rnd('sqrt(power(l_discount - l_tax, 2) / 2)')} AS rmse FROM lineitem""",
     "rmse_vectors": f"WITH {EMB} SELECT vec_id, {rnd(VECTOR_RMSE, 9)} AS rmse FROM emb GROUP BY vec_id",
@@ -465,19 +530,21 @@ INTEGERS = {
         stft_odd_nfft stft_embeddings stft_spectrum_norm fft_two_sided periodogram_even
         periodogram_odd power_spectrum_hann power_spectrum_blackman spectrogram_lineitem
         freq_vector""",
-    "i": """wav_roundtrip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
+    "i": """wav_split_files wav_file decode_pcm_16 decode_pcm_24 decode_pcm_32 wav_roundtrip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
         wav_chunks decode_pcm vector_files calibrate_arrays window_coefficients tapered_long""",
     "j": "fft_freq_vector",
     "n": "records_skip records_keep",
     "idx": """wav_features wav_records_features welch_spl_workflow welch_spl_padded welch_spl_stream
-        welch_spl_tol_workflow all_features""",
+        welch_spl_tol_workflow all_features all_features_wav""",
     "window_idx": """segment_tol stft_embeddings stft_spectrum_norm spectrogram_lineitem
-        tol_per_window tol_per_window_array all_features""",
+        tol_per_window tol_per_window_array tol_per_window_default tol_per_window_array_default
+        all_features all_features_wav""",
     "band": """tol_bands tol_freq_vector freq_to_band band_to_freq tol_per_window
-        tol_per_window_array record_tol record_tol_sum tol_workflow tol_workflow_sorted tol_sum""",
+        tol_per_window_array tol_per_window_default tol_per_window_array_default record_tol_default
+        record_tol record_tol_sum tol_workflow tol_workflow_sorted tol_sum""",
     "lo_bin": "tol_bands",
     "hi_bin": "tol_bands",
-    "channel": "shape_features",
+    "channel": "shape_features decode_pcm_16 decode_pcm_24 decode_pcm_32 all_features_wav",
 }
 
 

@@ -51,8 +51,11 @@ def write_recordings(
         filesystem.create_dir(root, recursive=True)
         for batch in batches:
             done = {"name": [], "file_idx": [], "frames": []}
-            for row in batch.to_pylist():
-                data = np.stack([np.asarray(row[n]) for n in names], axis=1).astype(np.int64)
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in (channel, "file_idx")}
+                # The samples as views of the batch, not as Python numbers.
+                values = [batch.column(n)[i].values.to_numpy(zero_copy_only=False) for n in names]
+                data = np.stack(values, axis=1).astype(np.int64)
                 buffer = io.BytesIO()
                 with wave.open(buffer, "wb") as out:
                     out.setnchannels(len(names))

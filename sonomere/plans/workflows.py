@@ -197,7 +197,7 @@ class AllFeatures:
     """Every feature of a recording as its own DataFrame.
 
     ``fft`` and ``periodogram`` hold one spectrum per window; ``tol`` (the summed variant) is
-    there for records of a second or more.
+    there for records of a second or more. ``together`` has them all in one row per record.
     """
 
     segment_duration: float
@@ -216,9 +216,49 @@ class AllFeatures:
             parts["tol"] = Tol(self.segment_duration, self.low, self.high, "sum")
         return parts
 
-    def window_kernels(self, fs: float, calibration: float) -> Kernels:
+    def kernels(self, fs: float, calibration: float) -> dict[str, tuple[Callable, str]]:
+        """Every kernel with the type of its result for one vector."""
         windowing = self.parts()["welch"].windowing(fs, calibration)
-        return {"fft": windowing.spectra, "periodogram": windowing.periodograms}
+        kernels = {"fft": (windowing.spectra, True), "periodogram": (windowing.periodograms, True)}
+        for workflow in self.parts().values():
+            kernels |= {n: (k, False) for n, k in workflow.kernels(fs, calibration).items()}
+        return kernels
+
+    def together(self, records: DataFrame, fs: float, calibration: float = 0.0) -> DataFrame:
+        """Records with all features as columns in place of samples: one Arrow crossing."""
+        signal, nested = _signal(records)
+        found = {
+            name: per_vector(kernel, nested, windows)(F.col(signal))
+            for name, (kernel, windows) in self.kernels(fs, calibration).items()
+        }
+        features = self.parts()["spl"].derived(records.withColumns(found), nested)
+        return features.drop(signal)
+
+    def together_of_recordings(
+        self,
+        spark: SparkSession,
+        uri: str,
+        starts: DataFrame | Iterable[tuple[str, datetime | str]],
+        fs: float,
+        channels: int,
+        bits: int,
+        last_record: LastRecord = "skip",
+        calibration: float = 0.0,
+    ) -> DataFrame:
+        """All features of the records of WAV files, computed while they are read once."""
+        kernels = {
+            name: (kernel, NESTED_VECTORS if windows else VECTORS)
+            for name, (kernel, windows) in self.kernels(fs, calibration).items()
+        }
+        read = read_wav_features(
+            spark, uri, starts, fs, channels, bits, self.segment_duration, kernels, last_record
+        )
+        return self.parts()["spl"].derived(read, True)
+
+    def _each(self, together: DataFrame) -> dict[str, DataFrame]:
+        """One DataFrame per feature; whoever selects one computes one."""
+        names = [n for n in ("fft", "periodogram", *self.parts()) if n in together.columns]
+        return {n: together.drop(*[other for other in names if other != n]) for n in names}
 
     def __call__(
         self,
@@ -233,29 +273,12 @@ class AllFeatures:
     ) -> dict[str, DataFrame]:
         """Features of one WAV file, which starts at ``start``."""
         starts = [(uri.rstrip("/").split("/")[-1], start)]
-        found = {}
-        for name, kernel in self.window_kernels(fs, calibration).items():
-            found[name] = read_wav_features(
-                spark, uri, starts, fs, channels, bits, self.segment_duration,
-                {name: (kernel, NESTED_VECTORS)}, last_record,
-            )
-        for name, workflow in self.parts().items():
-            features = workflow.of_recordings(
-                spark, uri, starts, fs, channels, bits, last_record, calibration=calibration
-            )
-            found[name] = features.drop(*[r for r in workflow.results if r != name])
-        return found
+        return self._each(self.together_of_recordings(
+            spark, uri, starts, fs, channels, bits, last_record, calibration
+        ))
 
     def of_records(
         self, records: DataFrame, fs: float, calibration: float = 0.0
     ) -> dict[str, DataFrame]:
         """The same of a table of records."""
-        signal, nested = _signal(records)
-        found = {}
-        for name, kernel in self.window_kernels(fs, calibration).items():
-            spectra = per_vector(kernel, nested, True)(F.col(signal))
-            found[name] = records.withColumn(name, spectra).drop(signal)
-        for name, workflow in self.parts().items():
-            features = workflow(records, fs, calibration=calibration)
-            found[name] = features.drop(*[r for r in workflow.results if r != name])
-        return found
+        return self._each(self.together(records, fs, calibration))

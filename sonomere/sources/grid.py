@@ -22,8 +22,11 @@ def with_coordinates(
     """Replace a grid index by its coordinate from a table ``(index, value)``.
 
     Coordinate tables have one row per position of a dimension; Spark broadcasts them when their
-    measured size allows.
+    measured size allows. A cell whose position has no coordinate is an error.
     """
     position, coordinate = coordinates.columns[:2]
     table = coordinates.select(F.col(position).alias(index), F.col(coordinate).alias(name))
-    return rows.join(table, index).drop(index)
+    missing = F.concat(F.lit(f"No {name} for position "), F.col(index).cast("string"))
+    found = F.when(F.col("__known"), F.col(name)).otherwise(F.raise_error(missing))
+    joined = rows.join(table.withColumn("__known", F.lit(True)), index, "left")
+    return joined.withColumn(name, found).drop(index, "__known")

@@ -19,8 +19,8 @@ from sonomere.sources.pcm import decode, open_file, read_header
 
 SPLIT_BYTES = 32 << 20
 TASK_BYTES = 128 << 20
-# Tasks that look at file names and sizes, and so the map side of the shuffle of byte ranges.
-LISTING_TASKS = 256
+# Files a task opens to audit them.
+AUDIT_FILES = 1000
 # Decoded samples of one Arrow batch.
 BATCH_SAMPLES = 1 << 20
 MAX_INT = 2**31 - 1
@@ -37,7 +37,7 @@ def list_wavs(spark: SparkSession, uri: str) -> DataFrame:
     Like all Spark file sources, leaves out files of zero bytes.
     """
     files = spark.read.format("binaryFile").load(uri).select("path", "length")
-    return files.coalesce(LISTING_TASKS).select(
+    return files.select(
         "path",
         F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "").alias("uri_path"),
         F.element_at(F.split("path", "/"), -1).alias("sound_id"),
@@ -69,7 +69,9 @@ def inspect_wavs(spark: SparkSession, uri: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns)
 
     files = list_wavs(spark, uri).select("path", "length")
-    return files.mapInArrow(audit, AUDIT_SCHEMA)
+    # Spark packs the listing by bytes; opening a file costs the same whatever its length.
+    n_tasks = max(spark.sparkContext.defaultParallelism, -(-files.count() // AUDIT_FILES))
+    return files.repartition(n_tasks).mapInArrow(audit, AUDIT_SCHEMA)
 
 
 def record_size_in_frames(fs: float, record_seconds: float) -> int:

@@ -8,8 +8,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-import __spark_entry__ as contract  # noqa: E402
 import check  # noqa: E402
+from sonomere.plans.catalogue import QUERIES  # noqa: E402
+from sonomere.plans.oracles import ORACLES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,12 +24,12 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, db, name):
-    result = contract.queries()[name](spark, FOLDER)
-    wanted = db.sql(contract.oracle_sql()[name])
+    result = QUERIES[name](spark, FOLDER)
+    wanted = db.sql(ORACLES[name])
     assert not check.type_differences(result, wanted)
     assert check.compare(result.toPandas(), wanted.df()) == "ok"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sonomere.functions import levels, spectral
 from sonomere.functions.bands import Bands
+from sonomere.operators.aggregates import tol_long
 from sonomere.functions.frequency import Interleaved, Spectrum
 from sonomere.plans.workflows import Tol
 
@@ -142,8 +143,8 @@ def test_band_tables(spark):
     bands = Bands(128, 128.0)
     rows = bands.table(spark).orderBy("band").collect()
     assert [(r.lo_bin, r.hi_bin) for r in rows] == bands.bins
-    per_band = {r.band: r["count"] for r in bands.bin_table(spark).groupBy("band").count().collect()}
-    assert per_band == {i: hi - lo for i, (lo, hi) in enumerate(bands.bins) if hi > lo}
+    counted = bands.bin_table(spark).groupBy("band").agg(F.count("k").alias("n"))
+    assert {r.band: r.n for r in counted.collect()} == {i: hi - lo for i, (lo, hi) in enumerate(bands.bins)}
 
 
 def test_short_records_have_no_tol():
@@ -172,3 +173,16 @@ def test_frequencies(spark):
     fails(spark, b.index_to_frequency(F.lit(1030)), "Incorrect index")
     with pytest.raises(ValueError, match="Incorrect frequency"):
         b.index_of(-1.0)
+
+
+def test_long_levels_have_every_band(spark):
+    """Fixed order of bins 0, 1, 2, ...; empty bands are at -Infinity, as in the array form."""
+    bands = Bands(64, 64.0)
+    psd = [float(i + 1) for i in range(33)]
+    rows = spark.createDataFrame([("a", k, p) for k, p in enumerate(psd)], "key string, k int, p double")
+    found = {r.band: r.tol for r in tol_long(rows, ["key"], bands).collect()}
+    array = spark.createDataFrame([(psd,)], "psd array<double>").select(bands.levels(F.col("psd"))).first()[0]
+    assert [found[i] for i in range(len(bands.bounds))] == array and float("-inf") in array
+    for wrong in (rows.filter("k < 10"), rows.union(rows), rows.withColumn("k", F.col("k") + 1)):
+        with pytest.raises(Exception, match="Incorrect PSD size"):
+            tol_long(wrong, ["key"], bands).collect()
