@@ -34,7 +34,6 @@ def op2_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         path,
         public_tokenizers.path("byte_bpe_50k.json"),
-        public_tokenizers.PATTERN,
         END_ID,
     )
     return token_files.read_token_files(

@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sonomere.llm import token_runs
 from sonomere.llm.batches import id_and_text, slices
-from sonomere.llm.caches import TwoGenerations
-from sonomere.llm.pretokens import splitter
 
 BLOCK_IDS = 1 << 19
 # Replacement rounds of a block, the least uses of a rule, and the share of symbols that a round
@@ -41,48 +40,40 @@ _COLUMNS = (
 
 
 class Encoder:
-    """Ids of a text by the ``tokenizers`` library, asked once per cached pre-token."""
+    """Ids of texts by the ``tokenizers`` library, asked once per pre-token in the worker's table."""
 
-    def __init__(self, vocabulary: str, pattern: str):
+    def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.split = splitter(pattern)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first_rule = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.cache = TwoGenerations(self._library)
+        (self.line_end,) = self._whole("\n")
+        self.table = token_runs.IdTable()
 
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def __call__(self, texts: list[str | None], end: bytes) -> list[bytes]:
-        split = [
-            None if not t or any(s in t for s in self.special) else self.split(t) for t in texts
-        ]
-        self._learn(split)
-        of = self.cache.__getitem__
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        plain = ["" if not t or any(s in t for s in self.special) else t for t in texts]
+        found = token_runs.encode(plain, self.table, self._pieces)
         return [
-            (b"".join(map(of, pieces)) if pieces else self._library(text or "")) + end
-            for text, pieces in zip(texts, split)
+            np.array(self._whole(text), np.uint32) if text and not p else ids
+            for text, p, ids in zip(texts, plain, found)
         ]
 
-    def _learn(self, split: list[list[str] | None]) -> None:
-        """Encode all new pre-tokens of some texts with few calls of the library.
-
-        Words go in as lines of one text: a line end is a pre-token of its own and has one id
-        that no word contains, so it marks where the next word's ids begin.
+    def _pieces(self, pieces: list[str], white: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new pre-tokens. All but white space go in as lines of one text: a line end is a
+        pre-token of its own with one id, which marks where the next piece's ids begin.
         """
-        cache, old = self.cache, self.cache.old
-        new = {p for pieces in split if pieces for p in pieces if p not in cache and p not in old}
-        words = [p for p in new if len(p) <= cache.longest and p.lstrip(" ").isalpha()]
-        found = np.array(self.tokenizer.encode("\n".join(words), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(found == self.line_end)
-        if len(cuts) != len(words) - 1:  # a letter that only one of the two pattern engines knows
-            return
-        edges = [0, *(cuts + 1).tolist(), len(found) + 1]
-        packed = found.tobytes()
-        for word, a, b in zip(words, edges, edges[1:]):
-            cache.put(word, packed[4 * a : 4 * (b - 1)])
+        if not white:
+            ids = np.array(self._whole("\n".join(pieces)), np.uint32)
+            marks = np.flatnonzero(ids == self.line_end)
+            # Else: a character that only one of the two pattern engines knows.
+            if len(marks) == len(pieces) - 1:
+                edges = np.concatenate([[-1], marks, [len(ids)]])
+                return np.delete(ids, marks), np.diff(edges) - 1
+        each = [self._whole(p) for p in pieces]
+        return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each])
 
 
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,7 +191,6 @@ def write_token_files(
     docs: DataFrame,
     path: str,
     vocabulary: str,
-    pattern: str,
     end_id: int,
     block_ids: int = BLOCK_IDS,
     doc_id: str = "doc_id",
@@ -217,19 +207,18 @@ def write_token_files(
     source = id_and_text(docs, doc_id, text)
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = _COLUMNS.format(kind=kind)
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary, pattern)
+        encoder = Encoder(vocabulary)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         ids, keys, held = [], [], 0
 
         def cut() -> pa.RecordBatch:
             nonlocal block, start, held
-            counts = [len(x) // 4 for x in ids]
-            body, rules, lengths = compress(
-                np.frombuffer(b"".join(ids), "<u4"), encoder.first_rule
-            )
+            counts = [len(x) + 1 for x in ids]
+            all_ids = np.concatenate([x for each in ids for x in (each, end)])
+            body, rules, lengths = compress(all_ids, encoder.first_rule)
             width = 2 if encoder.first_rule + len(rules) <= 1 << 16 else 4
             row = {
                 "shard": shard, "block": block, "start": start, "n_ids": sum(counts),
@@ -246,12 +235,12 @@ def write_token_files(
             arrow_schema = _arrow_schema(batch.schema.field(0).type)
             for part in slices(batch):
                 names = part.column(0).to_pylist()
-                for key, found in zip(names, encoder(part.column(1).to_pylist(), end)):
-                    if held and held + len(found) // 4 > block_ids:
+                for key, found in zip(names, encoder(part.column(1).to_pylist())):
+                    if keys and held + len(found) + 1 > block_ids:
                         yield cut()
                     ids.append(found)
                     keys.append(key)
-                    held += len(found) // 4
+                    held += len(found) + 1
         if keys:
             yield cut()
 

@@ -4,12 +4,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers as vocabularies
-import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sonomere.llm import token_files
+from sonomere.llm import token_files, token_runs
 from sonomere.storage import new_path
 from tests.llm.conftest import ODD, prose, table
 
@@ -40,7 +40,7 @@ def test_grammar_shortens():
 def check(spark, rows, **more):
     path = new_path(spark, "files")
     vocabulary = vocabularies.path("byte_bpe_50k.json")
-    token_files.write_token_files(table(spark, rows), path, vocabulary, vocabularies.PATTERN, 2, **more)
+    token_files.write_token_files(table(spark, rows), path, vocabulary, 2, **more)
     found = token_files.read_token_files(spark.read.parquet(path), token_files.crc32, "crc", "bigint")
     tokenizer, start, wanted = Tokenizer.from_file(vocabulary), 0, []
     for i, text, *_ in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1])):
@@ -62,9 +62,35 @@ def test_empty_table(spark, none):
     check(spark, [])
 
 
-@pytest.mark.parametrize("text", ["word" * 40, "ſt ﬁ ǅ ᾳ ½ⅷ", "a b c\x85d\x1fe", "'s 'S 'll_x__ 9²"])
-def test_pretokens(text):
-    vocabulary = vocabularies.path("byte_bpe_50k.json")
-    encoder = token_files.Encoder(vocabulary, vocabularies.PATTERN)
-    ids = Tokenizer.from_file(vocabulary).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(encoder([text], b"")[0], "<u4").tolist() == ids
+VOCABULARY = vocabularies.path("byte_bpe_50k.json")
+ENCODER = token_files.Encoder(VOCABULARY)
+LIBRARY = Tokenizer.from_file(VOCABULARY)
+
+
+@given(st.lists(st.one_of(
+    st.none(), st.text(max_size=40),
+    st.text(alphabet="'strevmld SL1²½ⅷ\n\t\r\x85\x1f\u3000_!é漢😀", max_size=40),
+), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_encoder_gives_the_library_ids(texts):
+    wanted = [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in ENCODER(texts)] == wanted
+
+
+@given(st.text(alphabet="'strevmld S1²\n\t\u3000_!é", max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_runs_follow_the_pattern(text):
+    assert token_runs.PATTERN == vocabularies.PATTERN
+    point = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    start, _ = token_runs.runs(point, np.array([0, len(point)]))
+    found = [text[a:b] for a, b in zip(start, [*start[1:], len(text)])]
+    assert found == regex.findall(vocabularies.PATTERN, text)
+
+
+def test_a_full_table_starts_anew():
+    encoder = token_files.Encoder(VOCABULARY)
+    encoder.table.entries = 50
+    texts = [prose(i, 40) for i in range(30)] + ["x" * 5000, "<|endoftext|> special"]
+    for at in range(0, len(texts), 2):
+        wanted = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts[at : at + 2]]
+        assert [x.tolist() for x in encoder(texts[at : at + 2])] == wanted
