@@ -178,8 +178,13 @@ class Keyed:
         if kind.startswith("given"):
             script = "cyrillic" if "а" <= value[0] <= "я" else "latin" if value[0] < "ʰ" else ""
             names = GIVEN.get((kind.removeprefix("given-"), script), [])
-            if attempt < len(names):
-                return names[(self.number(kind, int.from_bytes(value.encode(), "big")) + attempt) % len(names)].lower()
+            if names:
+                # One name more with every attempt, so that a list never runs out.
+                x, parts = self.number(tweak, int.from_bytes(value.encode(), "big")), []
+                for _ in range(attempt + 1):
+                    x, at = divmod(x, len(names))
+                    parts.append(names[at].lower())
+                return "-".join(parts)
         return self.shaped(tweak, value)
 
 
