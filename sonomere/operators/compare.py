@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sonomere.functions.literals import check
 
+# Error texts that callers match on.
 SIZES = "The given sequences' sizes don't match"
 KEYS = "The given records' keys don't match"
 CHANNELS = "The given records' number of channels don't match"
@@ -116,7 +117,7 @@ def rmse_results(
 
     ``col`` may be an array nested up to three deep (channels, windows, values), or a number.
     Both results must have the same keys, each once, and the same shape in every record. One
-    shuffle brings the two versions of a record together.
+    shuffle brings the two versions of a record together, another one counts the keys.
     """
     depth = _nesting(expected, col)
     if _nesting(actual, col) != depth:
@@ -124,8 +125,15 @@ def rmse_results(
     if depth == 0:
         return rmse_long(expected, actual, keys, col)
     cols = _shape(col, depth)
-    first = lambda v: F.first(v, ignorenulls=True)
-    pairs = _paired(_sides(expected, actual, keys, cols), keys, cols, first)
+    left = expected.select(*keys, F.lit(True).alias("e"), *[v.alias(f"e_{n}") for n, v in cols.items()])
+    right = actual.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("a"),
+        *[v.alias(f"a_{n}") for n, v in cols.items()],
+    )
+    # A hash join: the two versions of a record meet without sorting their values.
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    pairs = left.hint("shuffle_hash").join(right, same, "full")
+    counted = _paired(_sides(expected, actual, keys, {}), keys, {}, F.max).agg(*_key_checks())
 
     def uneven(name: str) -> Column:
         """Records whose two versions differ, or are not of one shape in themselves."""
@@ -135,14 +143,16 @@ def rmse_results(
     shapes = ("channels", "segments", "lengths")
     comparable = F.size("e_values") == F.size("a_values")
     distance = _squared_distance(F.col("e_values"), F.col("a_values"))
-    totals = pairs.agg(
-        *_key_checks(),
+    compared = pairs.agg(
         *[F.count_if(uneven(n)).alias(f"bad_{n}") for n in shapes],
         *[F.min(f"e_{n}").alias(f"min_{n}") for n in shapes],
         *[F.max(f"e_{n}").alias(f"max_{n}") for n in shapes],
         F.sum(F.when(comparable, distance)).alias("squares"),
         F.sum(F.when(comparable, F.size("e_values"))).alias("n"),
     )
+    # Two tables of one row.
+    both = counted.unionByName(compared, allowMissingColumns=True)
+    totals = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
     result = _key_errors()
     messages = (CHANNELS, SEGMENTS, LENGTHS if depth == 2 else SIZES)
     for name, message in zip(shapes, messages):
@@ -172,6 +182,8 @@ def assert_rmse(
     return value
 
 
+# Milliseconds whose different durations one task orders.
+BUCKET = 1000
 PERCENTILES = {25: 0.25, 50: 0.5, 75: 0.75, 90: 0.9, 95: 0.95, 99: 0.99}
 
 
@@ -182,8 +194,8 @@ def paired_run_report(
 
     Totals and their shares in whole percent, mean and population deviation, percentiles (the
     value at index ``ceil((n-1) p)``), how often each was faster and by how much. Durations are
-    counted per value before anything is ordered, so a group costs as many rows as it has
-    different durations, however many runs it has.
+    counted per value before anything is ordered, and then ordered in buckets of a second, so no
+    task orders all durations of a group.
     """
     group = list(group)
     if not group:
@@ -229,10 +241,20 @@ def paired_run_report(
         .groupBy(*group, "s.side", "s.v")
         .agg(F.count("*").alias("n"))
     )
-    ordered = Window.partitionBy(*group, "side").orderBy("v")
-    upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    all_runs = F.sum("n").over(Window.partitionBy(*group, "side"))
-    placed = counted.withColumn("upto", upto).withColumn("all_runs", all_runs)
+    # Durations are summed up inside buckets, and the buckets' totals before them.
+    counted = counted.withColumn("bucket", F.floor(F.col("v") / BUCKET))
+    inside = Window.partitionBy(*group, "side", "bucket").orderBy("v")
+    upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    side = Window.partitionBy(*group, "side")
+    before = F.sum("m").over(side.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    buckets = counted.groupBy(*group, "side", "bucket").agg(F.sum("n").alias("m")).select(
+        *[F.col(g).alias(f"__{g}") for g in group], F.col("side").alias("__side"),
+        F.col("bucket").alias("__bucket"),
+        F.coalesce(before, F.lit(0)).alias("before"), F.sum("m").over(side).alias("all_runs"),
+    )
+    there = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*group, "side", "bucket")]
+    placed = counted.join(buckets, there).drop(*[f"__{g}" for g in group])
+    placed = placed.withColumn("upto", F.col("before") + upto)
     at = {p: F.ceil((F.col("all_runs") - 1) * F.lit(f)) for p, f in PERCENTILES.items()}
     reached = [
         F.min(F.when((F.col("side") == s) & (F.col("upto") > at[p]), F.col("v"))).alias(f"{s}_p{p}")

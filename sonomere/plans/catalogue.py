@@ -18,7 +18,7 @@ from sonomere.functions.literals import elements
 from sonomere.functions.spectral import Windowing
 from sonomere.functions.tapers import Taper, blackman, hamming, hann
 from sonomere.operators import aggregates, compare, frames, shape, windows
-from sonomere.plans.recordings import write_recordings
+from sonomere.plans.recordings import damage_recordings, write_recordings
 from sonomere.plans.workflows import AllFeatures, Tol, WelchSpl, WelchSplTol, calibrate_records
 from sonomere.sources import grid, series, vectors, wav
 from sonomere.sources.pcm import decode_pcm
@@ -167,6 +167,35 @@ def wav_inspect(spark, sf):
     )
 
 
+def wav_damaged(spark, sf):
+    """Audit of whole and damaged copies of the recordings."""
+    folder, made, _ = _recordings(spark, sf, 16)
+    return wav.inspect_wavs(spark, damage_recordings(spark, folder, made)).select(
+        F.element_at(F.split("path", "/"), -1).alias("sound_id"),
+        "ok", "error", "fs", "channels", "bits", "frames",
+    )
+
+
+def wav_declarations(spark, sf):
+    """What readers told a wrong format say of the recordings and their damaged copies."""
+    folder, made, _ = _recordings(spark, sf, 16)
+    damaged = damage_recordings(spark, folder, made)
+    audit = wav.inspect_wavs(spark, damaged).withColumn("path", F.element_at(F.split("path", "/"), -1))
+    out = None
+    for declared in ((FS, 2, 16), (48.0, 2, 16), (FS, 1, 16), (FS, 2, 24)):
+        rows = wav.declaration_errors(audit, *declared).select(
+            F.lit(" ".join(map(str, declared))).alias("declared"), F.col("path").alias("sound_id"), "error"
+        )
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+def wav_duplicate_names(spark, sf):
+    """File names that a list of start dates, made from all line items, has more than once."""
+    name = F.concat(F.col("l_suppkey").cast("string"), F.lit("_"), F.year("l_shipdate"), F.lit(".wav"))
+    return wav.duplicate_names(table(spark, sf, "lineitem").select(name.alias("name")))
+
+
 def _channel_rows(features):
     """Long form of WF-3's features of multi-channel records."""
     per_channel = F.explode(
@@ -230,14 +259,25 @@ def decode_html(bits, channels):
 
 def timeserie(tick, blocks):
     def query(spark, sf):
-        """As many ticks as there are events, from the first event on."""
+        """As many ticks as there are events, from the first event on, with the events in each."""
         shown = "yyyy-MM-dd HH:mm:ss"
-        span = table(spark, sf, "events").agg(
+        events = table(spark, sf, "events").select("ts", "value")
+        span = events.agg(
             F.date_format(F.min("ts"), shown).alias("start"), F.count("*").alias("n")
         ).first()
         start, step = datetime.fromisoformat(span["start"]), timedelta(seconds=tick)
         made = series.make_timeserie(spark, start, start + step * span["n"], step, num_blocks=blocks)
-        return made.select(F.date_format("ts", shown).alias("ts"), "val")
+        origin = F.unix_seconds(F.lit(start).cast("timestamp"))
+        since = F.unix_seconds(F.col("ts").cast("timestamp")) - origin
+        held = events.groupBy((F.floor(since / tick) * tick + origin).alias("__second")).agg(
+            F.count("*").alias("n_events"), F.sum("value").alias("total")
+        )
+        rows = made.withColumn("__second", F.unix_seconds("ts")).join(held, "__second", "left")
+        rows = rows.select(
+            F.date_format("ts", shown).alias("ts"), "val",
+            F.coalesce("n_events", F.lit(0)).alias("n_events"), "total",
+        )
+        return rounded(rows, "total")
 
     return query
 
@@ -864,6 +904,9 @@ QUERIES: dict[str, Query] = {
     "wav_split_files": wav_records(16, "fill", split_bytes=4096),
     "wav_chunks": wav_chunks,
     "wav_inspect": wav_inspect,
+    "wav_damaged": wav_damaged,
+    "wav_declarations": wav_declarations,
+    "wav_duplicate_names": wav_duplicate_names,
     "wav_features": wav_features,
     "wav_records_features": wav_records_features,
     "decode_pcm": decode_blobs,

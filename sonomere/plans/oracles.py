@@ -228,6 +228,35 @@ UNION ALL SELECT 'spl', {keys}, -1, 0, {rnd(db('sum(p)'))} FROM welch GROUP BY {
 UNION ALL SELECT 'tol', {keys}, -1, band, {rnd(heard('sum'))} FROM tol GROUP BY {keys}, band"""
 
 
+def damaged() -> str:
+    """The audit of the copies of the two-channel recordings."""
+    return f"""{frame_files(TWO_CHANNELS)},
+sizes AS (SELECT sound_id, count(*) AS n FROM file WHERE channel = 0 GROUP BY sound_id),
+kinds(kind, error, known, lost) AS (VALUES
+  ('whole', NULL, true, 0),
+  ('rifx', 'Input file is big-endian (RIFX), which is not supported', false, 0),
+  ('text', 'Input file is not wav', false, 0),
+  ('float', 'Input file is not integer-PCM formatted', false, 0),
+  ('short', 'Input file length doesn''t match computed one - probably corrupted', true, 1)),
+audit AS (
+  SELECT kind || '_' || sound_id AS sound_id, error IS NULL AS ok, error,
+    CASE WHEN known THEN 64 ELSE 0 END AS fs, CASE WHEN known THEN 2 ELSE 0 END AS channels,
+    CASE WHEN known THEN 16 ELSE 0 END AS bits, CASE WHEN known THEN n - lost ELSE 0 END AS frames
+  FROM sizes, kinds)"""
+
+
+def declarations() -> str:
+    refused = "doesn''t match configured one"
+    return f"""WITH {damaged()},
+declared(declared, wrong) AS (VALUES
+  ('64.0 2 16', NULL),
+  ('48.0 2 16', 'sample rate (64.0) {refused} (48.0)'),
+  ('64.0 1 16', 'number of channels (2) {refused} (1)'),
+  ('64.0 2 24', 'sample size in bits (16) {refused} (24)'))
+SELECT declared, sound_id, coalesce(error || ': ' || sound_id, 'File ' || sound_id || ': ' || wrong) AS error
+FROM audit, declared"""
+
+
 def pcm(bits: int, channels: int) -> str:
     """The bytes of the pages as little-endian signed integers."""
     size, top = bits // 8, 2 ** (bits - 1)
@@ -260,9 +289,15 @@ SELECT o_orderkey, error IS NULL AS accepted, error FROM errors"""
 def timeserie(tick: int, blocks: int) -> str:
     return f"""WITH span AS (
   SELECT date_trunc('second', min(ts)) AS origin, count(*) AS n FROM events),
-ticks AS (SELECT origin, n // {blocks} AS per_block, unnest(range(n)) AS id FROM span)
+ticks AS (SELECT origin, n // {blocks} AS per_block, unnest(range(n)) AS id FROM span),
+held AS (
+  SELECT date_diff('second', origin, date_trunc('second', ts)) // {tick} AS id,
+    count(*) AS n_events, {rnd('sum(value)')} AS total
+  FROM events, (SELECT origin FROM span) GROUP BY 1)
 SELECT strftime(origin + to_seconds(id * {tick}), '%Y-%m-%d %H:%M:%S') AS ts,
-  (id - least(id // per_block, {blocks - 1}) * per_block)::DOUBLE AS val FROM ticks"""
+  (id - least(id // per_block, {blocks - 1}) * per_block)::DOUBLE AS val,
+  coalesce(n_events, 0) AS n_events, total
+FROM ticks LEFT JOIN held USING (id)"""
 
 
 def tapered(select: str, tail: str = "") -> str:
@@ -401,6 +436,10 @@ FROM file WHERE j >= 7 AND j < 157""",
     "wav_inspect": f"""WITH {frame_files(["0"])}
 SELECT sound_id, true AS ok, 64 AS fs, 1 AS channels, 24 AS bits, count(*) AS frames
 FROM file GROUP BY sound_id""",
+    "wav_damaged": f"WITH {damaged()} SELECT * FROM audit",
+    "wav_declarations": declarations(),
+    "wav_duplicate_names": """SELECT l_suppkey || '_' || year(l_shipdate) || '.wav' AS name, count(*) AS n
+FROM lineitem GROUP BY 1 HAVING count(*) > 1""",
     "wav_features": wav_features(),
     "wav_records_features": wav_features(),
     "decode_pcm": f"""SELECT page_id, 0 AS channel, i, {rnd('-1 + b / 127.5::DOUBLE', 9)} AS v

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonomere.operators.frames import cut_records
@@ -83,3 +83,37 @@ def write_recordings(
     return folder, frames.sparkSession.read.parquet(listing).withColumn(
         "start", F.timestamp_seconds(F.col("file_idx") * frames_per_file / F.lit(fs))
     )
+
+
+# Ways to damage a file, by the name its copy begins with.
+DAMAGES = {
+    "whole": lambda data: data,
+    "rifx": lambda data: b"RIFX" + data[4:],
+    "text": lambda data: b"text" + data[4:],
+    "float": lambda data: data[:20] + b"\x03\x00" + data[22:],
+    "short": lambda data: data[:-4],
+}
+
+
+def damage_recordings(spark: SparkSession, folder: str, made: DataFrame) -> str:
+    """A folder with one copy of every recording per kind of damage, named ``<kind>_<name>``."""
+    target = new_path(spark, "damaged")
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, source = split_uri(folder)
+        _, root = split_uri(target)
+        filesystem.create_dir(root, recursive=True)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with filesystem.open_input_file(f"{source}/{name}") as file:
+                    data = file.read()
+                for kind, damage in DAMAGES.items():
+                    partial = f"{root}/.{kind}_{name}.{uuid.uuid4().hex}"
+                    with filesystem.open_output_stream(partial) as out:
+                        out.write(damage(data))
+                    filesystem.move(partial, f"{root}/{kind}_{name}")
+            yield batch
+
+    copied = made.select("name").mapInArrow(copy, "name string")
+    copied.write.parquet(new_path(spark, "damaged-list"))
+    return target

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonomere.functions.arrow_vectors import map_nested
@@ -74,6 +74,32 @@ def inspect_wavs(spark: SparkSession, uri: str) -> DataFrame:
     return files.repartition(n_tasks).mapInArrow(audit, AUDIT_SCHEMA)
 
 
+def declaration_errors(audit: DataFrame, fs: float, channels: int, bits: int) -> DataFrame:
+    """``(path, error)`` of every audited file: why a reader told that format would refuse it, or
+    NULL.
+    """
+    def differs(what: str, found: Column, wanted) -> Column:
+        message = F.concat(
+            F.lit("File "), F.col("path"), F.lit(f": {what} ("), found.cast("string"),
+            F.lit(f") doesn't match configured one ({wanted})"),
+        )
+        return F.when(found != F.lit(wanted), message)
+
+    broken = F.when(F.col("error").isNotNull(), F.concat("error", F.lit(": "), "path"))
+    error = F.coalesce(
+        broken,
+        differs("sample rate", F.col("fs").cast("double"), float(fs)),
+        differs("number of channels", F.col("channels"), channels),
+        differs("sample size in bits", F.col("bits"), bits),
+    )
+    return audit.select("path", error.alias("error"))
+
+
+def duplicate_names(starts: DataFrame) -> DataFrame:
+    """``(name, n)`` of the names that a list of start dates has more than once."""
+    return starts.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
+
+
 def record_size_in_frames(fs: float, record_seconds: float) -> int:
     size = float(fs) * float(record_seconds)
     whole = round(size)
@@ -97,7 +123,7 @@ def start_table(
         table = starts.select(
             F.col(name).alias("name"), F.unix_millis(F.col(start).cast("timestamp")).alias("start_ms")
         )
-        if table.groupBy("name").count().filter("count > 1").limit(1).count():
+        if not duplicate_names(table).isEmpty():
             raise ValueError(duplicates)
         return table
     rows = [(name, epoch_ms(start)) for name, start in starts]

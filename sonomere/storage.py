@@ -2,10 +2,14 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: list[str] = []
+# Paths given out and not released yet.
+_paths: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,7 +27,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
@@ -31,3 +37,24 @@ def written(df: DataFrame, what: str) -> DataFrame:
     path = new_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables written so far. Results that read them must have been written or
+    collected before: they are lazy, and only their owner knows when they are no longer needed.
+    """
+    context = spark.sparkContext
+    configuration = context._jsc.hadoopConfiguration()
+    while len(_paths) > since:
+        path = context._jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        path.getFileSystem(configuration).delete(path, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end of the block."""
+    since = len(_paths)
+    try:
+        yield
+    finally:
+        release(spark, since)

@@ -1,8 +1,11 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from sonomere import storage
+from sonomere.operators.frames import number_frames
 
 
 def session(master, conf=None, context=None):
@@ -31,3 +34,14 @@ def test_written_tables_are_read_back(spark):
     assert df.count() == 5
     assert all(folder in path for path in df.inputFiles())
     assert storage.new_path(spark, "x") != storage.new_path(spark, "x")
+
+
+def test_a_block_leaves_no_folder_behind(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    kept = storage.written(spark.range(3), "kept")
+    before = sorted(folder.iterdir())
+    with storage.temporary_tables(spark):
+        numbered = number_frames(spark.range(100).withColumn("c", F.lit(1)), ["c"], ["id"])
+        assert numbered.agg(F.max("frame")).first()[0] == 99
+        assert sorted(folder.iterdir()) != before
+    assert sorted(folder.iterdir()) == before and kept.count() == 3
