@@ -13,7 +13,7 @@ from sonomere.storage import new_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # The least share of a text's words that its language must have.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.4
 # Documents with this Jaccard similarity of word shingles are near copies.
 NEAR_PERCENT = 80
 

@@ -20,7 +20,7 @@ def test_run_against_plain_stages(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     model = language_id.learn(documents, ~language_id.held_out())
-    main = {r.doc_id for r in language_id.identify(documents, model).collect() if r.score >= 0.5}
+    main = {r.doc_id for r in language_id.identify(documents, model).collect() if r.score >= 0.4}
     rows = [(r.doc_id, r.text, r.lang) for r in documents.collect() if r.doc_id in main]
     cut = plain(rows, 3, 200)
     rows = [(i, t, "") for i, t, _, lost in cut if not lost or words_of(t)]
