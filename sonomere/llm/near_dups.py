@@ -306,9 +306,9 @@ def near_duplicates(
     found = written(components(links), "components")
     members = pairing.unsettled(buckets, found)
     if not members.isEmpty():
-        inside = members.select(F.col("id").alias("doc_id")).distinct()
+        inside = members.select(F.col("id").alias("doc_id"))
         elements = _elements(candidates.join(inside, "doc_id", "left_semi"), shape)
-        more = _links(pairing.across(members, elements, percent), candidates, shape, percent)
+        more = _links(pairing.across(members, elements, 10 * percent), candidates, shape, percent)
         known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = components(known.union(more))
 

@@ -4,7 +4,7 @@ A bucket is all rows ``(key, id)`` of one key. Its members are first compared wi
 links found make components, and members of one component need no comparison any more.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonomere.storage import written
@@ -32,44 +32,54 @@ def stars(buckets: DataFrame) -> DataFrame:
 
 
 def unsettled(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """``(key, id, component)`` of buckets whose members, other than the pivot, lie in different
+    """``(id, component)`` of the members of buckets that lie, without the pivot, in different
     components of ``found(id, component)``. The pivot has met them all.
     """
     placed = buckets.filter("id <> pivot").select("key", "id").join(found, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return written(placed.join(mixed.filter("x <> y").select("key"), "key", "left_semi"), "unsettled")
+    placed = placed.join(mixed.filter("x <> y").select("key"), "key", "left_semi")
+    return written(placed.select("id", "component").distinct(), "unsettled")
 
 
-def reaches(a: Column, b: Column, n_a: Column, n_b: Column, percent: Column) -> Column:
-    """Sets of ``n_a`` and ``n_b`` members, of which ``a`` and ``b`` occur in some other set, can
-    have that similarity.
-    """
-    common = F.least(a, b)
-    return common * 100 >= (n_a + n_b - common) * percent
+def _at_least(share: int, whole: int, n: Column) -> Column:
+    """The least integer not below ``share / whole * n``, in integers."""
+    return ((n * share + (whole - 1)) / whole).cast("bigint")
 
 
-def across(members: DataFrame, elements: DataFrame, percent: float) -> DataFrame:
-    """Pairs ``(a, b)`` of unsettled members in different components that can be linked.
+def across(members: DataFrame, elements: DataFrame, per_mille: int) -> DataFrame:
+    """Pairs ``(a, b)`` of members in different components that can have that similarity.
 
-    ``elements(id, element)`` has the sets of all members. An element that only one of them has
-    can't be common to a pair. Copies that are too far from their original to be linked with it
-    have many such elements of their own, so that the bound rules out nearly all pairs among
-    them, and none that reaches the similarity.
+    ``elements(id, element)`` has the sets of all members, ordered here by how rare an element is
+    among them. Sets of n and m members, n >= m, that reach the similarity t have at least
+    t / (1 + t) * (n + m) elements in common, so the first common one is among the first few of
+    each: the smaller set is found by its first m - 2t / (1 + t) * m + 1 elements, the larger one
+    by its first n - t * n + 1, and what is left after that element, and after the elements that
+    no other set has, must suffice. All of this is exact. Copies that are too far from their
+    original differ from each other in rare elements, which come first, so they rarely meet.
     """
-    owners = elements.groupBy("element").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-    private = owners.filter("n = 1").groupBy("id").agg(F.count("*").alias("own"))
-    size = elements.groupBy("id").agg(F.count("*").alias("n")).join(private, "id", "left")
-    size = size.select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
-    # The best partner has no element of its own; a member that even that one can't reach is out.
-    best = reaches(F.col("common"), F.col("common"), F.col("n"), F.col("common"), F.lit(percent))
-    placed = written(members.join(size, "id").filter(best), "members")
-    side = lambda i: placed.select(
-        "key", F.col("id").alias(i), F.col("component").alias(f"component_{i}"),
-        F.col("n").alias(f"n_{i}"), F.col("common").alias(f"common_{i}"),
+    counts = elements.groupBy("element").agg(F.count("*").alias("df"))
+    by_rarity = Window.partitionBy("id").orderBy("df", "element")
+    whole = Window.partitionBy("id")
+    ranked = elements.join(counts, "element").select(
+        "id", "element", F.row_number().over(by_rarity).cast("bigint").alias("rank"),
+        F.count("*").over(whole).alias("n"), F.count_if(F.col("df") > 1).over(whole).alias("shared"),
     )
-    possible = (F.col("component_a") < F.col("component_b")) & reaches(
-        F.col("common_a"), F.col("common_b"), F.col("n_a"), F.col("n_b"), F.lit(percent)
+    longest = F.col("n") - _at_least(per_mille, 1000, F.col("n")) + 1
+    ranked = ranked.filter(F.col("rank") <= longest).join(members, "id")
+    ranked = written(ranked, "prefixes")
+    shorter = F.col("n") - _at_least(2 * per_mille, 1000 + per_mille, F.col("n")) + 1
+    smaller, larger = ranked.filter(F.col("rank") <= shorter).alias("s"), ranked.alias("l")
+
+    common = _at_least(per_mille, 1000 + per_mille, F.col("s.n") + F.col("l.n"))
+    left = 1 + F.least(F.col("s.n") - F.col("s.rank"), F.col("l.n") - F.col("l.rank"))
+    possible = (
+        (F.col("s.component") != F.col("l.component"))
+        & (F.struct("s.n", "s.id") < F.struct("l.n", "l.id"))
+        & (left >= common)
+        & (F.least("s.shared", "l.shared") >= common)
     )
-    pairs = side("a").join(side("b"), "key").filter(possible)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = smaller.join(larger, (F.col("s.element") == F.col("l.element")) & possible)
+    return pairs.select(
+        F.least("s.id", "l.id").alias("a"), F.greatest("s.id", "l.id").alias("b")
+    ).distinct()

@@ -302,9 +302,9 @@ def repeated_paragraphs(
     found = written(found, "components")
     members = pairing.unsettled(buckets, found)
     if not members.isEmpty():
-        inside = members.select(F.col("id").alias("name")).distinct()
+        inside = members.select(F.col("id").alias("name"))
         elements = _elements(texts.join(inside, "name", "left_semi"), words)
-        pairs = pairing.across(members, elements, 100 * similarity)
+        pairs = pairing.across(members, elements, math.floor(1000 * similarity + 1e-9))
         more = _confirmed(pairs, texts, words, similarity)
         known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = written(components(known.union(more)), "components")
