@@ -14,8 +14,10 @@ from sonomere.storage import new_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # The least share of a text's words that its language must have.
 LEAST_SHARE = 0.4
-# Documents with this Jaccard similarity of word shingles are near copies.
+# Documents with this Jaccard similarity of word shingles are near copies. These bands miss three
+# in a million pairs at it.
 NEAR_PERCENT = 80
+NEAR_SHAPE = near_dups.Shape(rows=6, bands=42)
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least id."""
-    found = near_dups.near_duplicates(docs, percent=NEAR_PERCENT)
+    found = near_dups.near_duplicates(docs, percent=NEAR_PERCENT, shape=NEAR_SHAPE)
     return _without(docs, found.filter("NOT kept"))
 
 
