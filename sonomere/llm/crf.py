@@ -121,6 +121,13 @@ class Features:
         sums[self.offsets[:-1] == self.offsets[1:]] = 0
         return sums
 
+    @staticmethod
+    def joined(parts: list["Features"]) -> "Features":
+        before = np.cumsum([0] + [len(p.index) for p in parts])
+        offsets = [p.offsets[:-1] + b for p, b in zip(parts, before)]
+        index = [p.index for p in parts] or [np.empty(0, np.int32)]
+        return Features(np.concatenate(index), np.concatenate([*offsets, before[-1:]]))
+
     def take(self, which: np.ndarray) -> "Features":
         size = (self.offsets[1:] - self.offsets[:-1])[which]
         offsets = np.concatenate([[0], np.cumsum(size)])
@@ -145,8 +152,13 @@ def train(
     batch: int = 64,
     rate: float = 0.2,
     seed: int = 7,
+    position: np.ndarray | None = None,
 ) -> Model:
-    """Weights that maximise the likelihood of labelled sequences, by AdaGrad over mini-batches."""
+    """Weights that maximise the likelihood of labelled sequences, by AdaGrad over mini-batches.
+
+    ``position`` says which features each element of the sequences has, if not those in its place.
+    """
+    position = np.arange(len(label)) if position is None else position
     n = len(labels)
     weights = np.zeros((n_features, n), np.float32)
     moved = np.full((n_features, n), 1e-6, np.float32)
@@ -159,7 +171,7 @@ def train(
             size = np.diff(edges)[some]
             cut = np.concatenate([[0], np.cumsum(size)])
             which = np.repeat(edges[:-1][some], size) + np.arange(cut[-1]) - np.repeat(cut[:-1], size)
-            mine, truth = features.take(which), label[which]
+            mine, truth = features.take(position[which]), label[which]
             emission = mine.emissions(weights)
             wrong = -posteriors(emission, cut, transition)
             follows = np.ones(len(which), bool)

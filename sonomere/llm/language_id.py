@@ -91,7 +91,14 @@ def fit(sample: pa.Table, seed: int = 7) -> crf.Model | None:
     labels = sorted(set(sample.column("lang").to_pylist()))
     if not labels:
         return None
-    found, row, _ = features(sample.column("text").combine_chunks())
+    parts, rows, n_rows = [], [], 0
+    for batch in sample.to_batches():
+        for part in slices(batch, sample.column_names.index("text"), _SLICE // 2):
+            found, row, _ = features(part.column("text"))
+            parts.append(found)
+            rows.append(row + n_rows)
+            n_rows += part.num_rows
+    found, row = crf.Features.joined(parts), np.concatenate(rows)
     number = {name: i for i, name in enumerate(labels)}
     label = np.array([number[x] for x in sample.column("lang").to_pylist()])[row]
     rng = np.random.default_rng(seed)
@@ -109,7 +116,7 @@ def fit(sample: pa.Table, seed: int = 7) -> crf.Model | None:
     size = np.diff(cuts)[order]
     at = np.repeat(cuts[:-1][order], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     edges = np.append(np.arange(0, len(at), SEQUENCE), len(at))
-    return crf.train(found.take(at), label[at], edges, labels, 1 << _BITS, seed=seed)
+    return crf.train(found, label[at], edges, labels, 1 << _BITS, seed=seed, position=at)
 
 
 def learn(
