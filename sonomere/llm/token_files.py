@@ -15,6 +15,7 @@ All integers are little-endian.
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,12 @@ class Encoder:
         return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each])
 
 
+@cache
+def worker_encoder(vocabulary: str) -> Encoder:
+    """The encoder of this worker process: its table serves all tasks that run there."""
+    return Encoder(vocabulary)
+
+
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: ``(body, rules, lengths)``.
 
@@ -210,7 +217,7 @@ def write_token_files(
     end = np.array([end_id], np.uint32)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = worker_encoder(vocabulary)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         ids, keys, held = [], [], 0
 
