@@ -23,10 +23,12 @@ RECALL = 0.9995
 # Words of the shortest passage, and of the shortest sentence that stands for itself.
 LEAST_WORDS = 20
 SENTENCE_WORDS = 8
+# Of so many passages of the least size in a row, one at least is a unit.
+SPREAD = 15
 
 _LINE_END = np.arange(256) == 0x0A
-# The ASCII characters that end a sentence.
-_SENTENCE_END = np.isin(np.arange(256), [ord(c) for c in ".!?"])
+# The characters that end a sentence.
+_SENTENCE_ENDS = [c.encode() for c in ".!?।॥。！？｡؟۔"]
 
 
 def tune(similarity: float, recall: float = RECALL, rows: int = 4) -> int:
@@ -54,13 +56,49 @@ def _band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
+def _ends_sentence(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For every word, whether its last character ends a sentence."""
+    found = np.zeros(len(end), bool)
+    for mark in _SENTENCE_ENDS:
+        same = end - start >= len(mark)
+        for j, byte in enumerate(reversed(mark)):
+            same[same] = data[end[same] - 1 - j] == byte
+        found |= same
+    return found
+
+
+def _passages_at(word: np.ndarray, row: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and name of some passages of ``least`` words, chosen by their words alone.
+
+    Winnowing: the least name of any ``SPREAD`` passages in a row of a text, so texts that share
+    ``least + SPREAD - 1`` words in a row share a passage in them, wherever they stand.
+    """
+    first = np.arange(max(len(word) - least + 1, 0))
+    first = first[row[first] == row[first + least - 1]]
+    # Lines and sentences are not to share names with these, which may lie inside them.
+    name = mix(~sequence_hashes(word, first, first + least))
+    start = np.flatnonzero(np.append(True, row[first][1:] != row[first][:-1]))[: len(first)]
+    size = np.diff(np.append(start, len(first)))
+    group = np.repeat(np.arange(len(start)), size)
+    last = (start + np.maximum(size - SPREAD, 0))[group]
+    at = np.arange(len(first))
+    least_at = at.copy()
+    for j in range(1, SPREAD):
+        other = np.minimum(at + j, (start + size - 1)[group])
+        least_at = np.where(name[other] < name[least_at], other, least_at)
+    chosen = np.unique(least_at[at <= last])
+    return first[chosen], name[chosen]
+
+
 @dataclass
 class Units:
-    """Paragraphs of a slice of texts: whole lines (part 0) and, inside lines, sentences (1, 2, ...).
+    """Paragraphs of a slice of texts: whole lines (part 0), inside lines sentences (1, 2, ...), and
+    passages of the least size (-1 and less: the word of the line they begin with, from 1).
 
     Passages are often pasted into the middle of a line; its sentences still agree. A sentence
     with fewer than ``SENTENCE_WORDS`` words is joined with the next one, so the cuts in a passage
-    agree again after its first long sentence, whatever stands before it.
+    agree again after its first long sentence, whatever stands before it. Passages need no
+    sentence ends; they may go on over line ends.
     """
 
     row: np.ndarray
@@ -68,28 +106,36 @@ class Units:
     part: np.ndarray
     first: np.ndarray  # words
     stop: np.ndarray
+    before: np.ndarray  # words of the text before it
     name: np.ndarray
     word: np.ndarray
     word_start: np.ndarray  # bytes
     word_end: np.ndarray
 
     @staticmethod
-    def of(texts: pa.Array, least: int) -> "Units":
+    def of(texts: pa.Array, least: int, passages: bool = False) -> "Units":
         data, offsets = flat(texts)
-        start, _, row = spans(data, offsets, _LINE_END)
+        start, _, text = spans(data, offsets, _LINE_END)
         # Lines are numbered by the line ends before them in their text.
         ends = np.concatenate([[0], np.cumsum(data == 0x0A)])
-        line = ends[start] - ends[offsets[row]]
-        a, b, _ = spans(data, offsets)
+        line = ends[start] - ends[offsets[text]]
+        a, b, row = spans(data, offsets)
         word = hashes(data, a, b)
-        first = np.searchsorted(a, start)
+        begin = first = np.searchsorted(a, start)
         stop = np.append(first[1:], len(a))
-        units = _sentences(first, stop, np.flatnonzero(_SENTENCE_END[data[b - 1]]) + 1)
+        units = _sentences(first, stop, np.flatnonzero(_ends_sentence(data, a, b)) + 1)
         of, part, first, stop = (np.array(x, np.int64) for x in units)
         long = stop - first >= np.where(part == 0, least, SENTENCE_WORDS)
         of, part, first, stop = of[long], part[long], first[long], stop[long]
         name = sequence_hashes(word, first, stop)
-        return Units(row[of], line[of], part, first, stop, name, word, a, b)
+        if passages:
+            at, other = _passages_at(word, row, least)
+            inside = np.searchsorted(begin, at, "right") - 1
+            of, part = np.append(of, inside), np.append(part, begin[inside] - at - 1)
+            first, stop = np.append(first, at), np.append(stop, at + least)
+            name = np.append(name, other)
+        before = first - np.searchsorted(row, text[of])
+        return Units(text[of], line[of], part, first, stop, before, name, word, a, b)
 
 
 def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray):
@@ -112,34 +158,36 @@ def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray):
 
 
 def _paragraphs(docs: DataFrame, least: int) -> DataFrame:
-    """``(doc_id, line, part, n_words, name)`` of every paragraph; ``name`` stands for its words."""
+    """``(doc_id, line, part, start, n_words, name)`` of every paragraph; ``name`` stands for its
+    words, ``start`` counts the words of the text before it.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
-                units = Units.of(piece.column(1), least)
+                units = Units.of(piece.column(1), least, passages=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(pa.array(units.row)),
                         pa.array(units.line, pa.int32()),
                         pa.array(units.part, pa.int32()),
+                        pa.array(units.before, pa.int32()),
                         pa.array(units.stop - units.first, pa.int32()),
                         pa.array(units.name.view(np.int64)),
                     ],
-                    ["doc_id", "line", "part", "n_words", "name"],
+                    ["doc_id", "line", "part", "start", "n_words", "name"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
-        run, f"doc_id {kind}, line int, part int, n_words int, name bigint"
+        run, f"doc_id {kind}, line int, part int, start int, n_words int, name bigint"
     )
 
 
 def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFrame:
-    """``(key, name)`` per band, once per slice: copies are one row before the shuffle.
-
-    A line has all bands, to be found despite edits. A sentence has the first alone: it is there
-    for passages pasted word for word, whose sentences agree in every band.
+    """``(key, name)`` per band of every line and sentence, once per slice: copies are one row
+    before the shuffle. Passages of the least size are there for copies word for word, which agree
+    in their name.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,19 +195,12 @@ def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFra
             for piece in slices(batch):
                 units = Units.of(piece.column(1), least)
                 names, at = np.unique(units.name, return_index=True)
-                found = []
-                for sentence, n in ((False, bands), (True, 1)):
-                    mine = (units.part[at] > 0) == sentence
-                    some = at[mine]
-                    if not len(some):
-                        continue
-                    h, edges = _unit_shingles(units, some, k)
-                    keys = _band_keys(_signatures(h, edges, rows * n), rows)
-                    found.append((keys.ravel(), np.repeat(names[mine], n)))
-                if found:
-                    key, name = (np.concatenate(x).view(np.int64) for x in zip(*found))
+                if len(names):
+                    h, edges = _unit_shingles(units, at, k)
+                    keys = _band_keys(_signatures(h, edges, rows * bands), rows)
+                    name = np.repeat(names, bands).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array(name)], ["key", "name"]
+                        [pa.array(keys.ravel().view(np.int64)), pa.array(name)], ["key", "name"]
                     )
 
     return docs.mapInArrow(run, "key bigint, name bigint")
@@ -272,10 +313,13 @@ def repeated_paragraphs(
     has a near copy.
 
     Paragraphs are lines of at least ``least_words`` words (``part`` 0) and the sentences inside
-    lines (``part`` from 1). Two are linked if the Jaccard similarity of their distinct word
+    lines (``part`` from 1). Passages of ``least_words`` words (``part`` -n, from the nth word of the
+    line on, also over line ends) are chosen so that texts with ``least_words + SPREAD - 1`` equal
+    words in a row share one; they are linked if they are equal, need no sentence ends, and overlap
+    each other and the sentences: what goes is all that some removed row covers. Two are linked if the Jaccard similarity of their distinct word
     shingles is at least ``similarity``; a component is everything reachable over links. Its first
-    place, by (doc_id, line, part), stays; the others are ``removed``. The bands of lines are tuned
-    so that a pair at the threshold meets with the chance ``recall``; every meeting is checked on
+    place, by (doc_id, line, part), stays, with all that overlaps it; the others are ``removed``. The
+    bands of lines and sentences are tuned so that a pair at the threshold meets with the chance ``recall``; every meeting is checked on
     the full sets. Repeated sentences are given where they make up a passage of ``least_words``
     words in a row, in lines that are not removed as a whole.
 
@@ -317,21 +361,33 @@ def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> Data
     nodes = nodes.select("name", F.coalesce("component", "name").alias("component"))
     place = F.struct("doc_id", "line", "part")
     repeated = written(paragraphs.join(nodes, "name").drop("name"), "repeated")
-    first = repeated.groupBy("component").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.filter("first <> last").select("component", "first")
+    first = repeated.groupBy("component").agg(
+        F.min(F.struct("doc_id", "line", "part", "start", "n_words")).alias("first"),
+        F.max(place).alias("last"),
+    )
+    other = F.struct("first.doc_id", "first.line", "first.part")
+    first = first.filter(other != F.col("last")).select("component", "first")
+    # A sentence may be like the line it stands in, a passage like the one that begins in it.
+    overlap = (F.col("doc_id") == F.col("first.doc_id")) & F.expr(
+        "start < first.start + first.n_words AND first.start < start + n_words"
+    )
     placed = repeated.join(first, "component").select(
-        "doc_id", "line", "part", "n_words", "component",
-        F.col("first.doc_id").alias("first_doc_id"), (place != F.col("first")).alias("removed"),
+        "doc_id", "line", "part", "start", "n_words", "component",
+        F.col("first.doc_id").alias("first_doc_id"), ((place != other) & ~overlap).alias("removed"),
     )
+    copied = placed.filter("removed").select("component").distinct()
+    placed = placed.join(copied, "component", "left_semi")
     line = Window.partitionBy("doc_id", "line")
     whole = F.max(F.when(F.col("part") == 0, F.col("removed")).otherwise(False)).over(line)
+    end = F.max(F.when(F.col("part") == 0, F.expr("start + n_words"))).over(line)
     # Sentences in a row with the same verdict: part less their rank is constant.
-    rank = F.row_number().over(Window.partitionBy("doc_id", "line", "removed", F.col("part") == 0).orderBy("part"))
-    ranked = placed.withColumn("whole", whole).withColumn("run", F.col("part") - rank)
-    run = Window.partitionBy("doc_id", "line", "removed", F.col("part") == 0, "run")
-    summed = ranked.withColumn("in_run", F.sum("n_words").over(run))
-    kept = (F.col("part") == 0) | (~F.col("whole") & (F.col("in_run") >= least_words))
-    return summed.filter(kept).drop("whole", "run", "in_run")
+    kind = [*("doc_id", "line", "removed"), F.signum("part")]
+    rank = F.row_number().over(Window.partitionBy(*kind).orderBy("part"))
+    ranked = placed.withColumn("whole", whole & (F.expr("start + n_words") <= end))
+    ranked = ranked.withColumn("run", F.col("part") - rank)
+    summed = ranked.withColumn("in_run", F.sum("n_words").over(Window.partitionBy(*kind, "run")))
+    kept = (F.col("part") == 0) | (~F.col("whole") & ((F.col("part") < 0) | (F.col("in_run") >= least_words)))
+    return summed.filter(kept).drop("whole", "run", "in_run", "start")
 
 
 def _elements(texts: DataFrame, k: int) -> DataFrame:

@@ -65,6 +65,62 @@ def test_passages_inside_lines(spark):
     assert n >= 0.6 * len(passage.split())
 
 
+def covered(found, rows):
+    """Per document the numbers of the words that removed paragraphs cover."""
+    out = {i: set() for i, *_ in rows}
+    firsts = {}
+    for i, text, *_ in rows:
+        n = 0
+        for line, x in enumerate(text.split("\n")):
+            firsts[i, line] = n
+            n += len(words_of(x))
+    for r in found:
+        if r.removed and r.part <= 0:
+            a = firsts[r.doc_id, r.line] + (-r.part - 1 if r.part else 0)
+            out[r.doc_id].update(range(a, a + r.n_words))
+    return out
+
+
+def test_passages_without_sentence_ends(spark):
+    passage = prose(1, 60).replace(".", "")
+    rows = [(i, f"{prose(i + 9, 30 + i)} {passage} {prose(100 + i, 25)}".replace(".", ""), "en") for i in range(12)]
+    rows += [(100 + i, prose(300 + i, 80), "en") for i in range(20)]
+    found = paragraph_dedup.repeated_paragraphs(table(spark, rows)).collect()
+    assert {r.doc_id for r in found if r.removed} == set(range(1, 12))
+    for i, words in covered(found, rows).items():
+        inside = set(range(30 + i, 90 + i)) if 0 < i < 12 else set()
+        assert words <= inside and len(words) >= len(inside) - 2 * paragraph_dedup.SPREAD
+
+
+def test_edited_sentences_inside_lines(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(40):
+        words = [prose(1000 + 50 * i + j, 1).strip(".,") for j in range(45)]
+        # One word near the end differs: 41 shingles, of which 36 or more agree.
+        copy = words[:-3] + ["other"] + words[-2:]
+        for n, x in ((i, words), (100 + i, copy)):
+            host = [sentences(rng.random(), 2) for _ in range(2)]
+            rows.append((n, f"{host[0]} {' '.join(x)}. {host[1]}", "en"))
+    found = paragraph_dedup.repeated_paragraphs(table(spark, rows)).collect()
+    assert {r.doc_id for r in found if r.removed and r.part > 0} == set(range(100, 140))
+
+
+def test_full_stops_of_other_scripts():
+    import pyarrow as pa
+
+    for mark in ".!?।॥。！？":
+        text = " ".join(f"w{i}" + mark * (i in (9, 21)) for i in range(32))
+        units = paragraph_dedup.Units.of(pa.array([text]), 20)
+        assert list(zip(units.first, units.stop)) == [(0, 32), (0, 10), (10, 22), (22, 32)]
+
+
+def test_a_line_does_not_remove_its_own_sentence(spark):
+    long = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, f"{prose(i, 8).replace('.', '')}. {long} {i}.", "en") for i in (1,)]
+    assert paragraph_dedup.repeated_paragraphs(table(spark, rows)).count() == 0
+
+
 def test_odd_documents(odd, none):
     found = paragraph_dedup.repeated_paragraphs(odd).collect()
     # One long line and the same with one more word.
