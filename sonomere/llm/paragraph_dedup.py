@@ -123,10 +123,12 @@ class Units:
         word = hashes(data, a, b)
         begin = first = np.searchsorted(a, start)
         stop = np.append(first[1:], len(a))
-        units = _sentences(first, stop, np.flatnonzero(_ends_sentence(data, a, b)) + 1)
+        units = _sentences(first, stop, np.flatnonzero(_ends_sentence(data, a, b)) + 1, least)
         of, part, first, stop = (np.array(x, np.int64) for x in units)
         long = stop - first >= np.where(part == 0, least, SENTENCE_WORDS)
         of, part, first, stop = of[long], part[long], first[long], stop[long]
+        more = _short_lines(text, begin, np.append(begin[1:], len(a)), word, least)
+        of, part, first, stop = (np.append(x, y) for x, y in zip((of, part, first, stop), more))
         name = sequence_hashes(word, first, stop)
         if passages:
             at, other = _passages_at(word, row, least)
@@ -138,8 +140,36 @@ class Units:
         return Units(text[of], line[of], part, first, stop, before, name, word, a, b)
 
 
-def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray):
-    """``(line, part, first word, stop)`` of all lines and, for lines of several, their sentences."""
+def _short_lines(text: np.ndarray, first: np.ndarray, stop: np.ndarray, word: np.ndarray, least: int):
+    """``(line, part, first word, stop)`` of paragraphs of lines under ``least`` words in a row.
+
+    One ends with the first line that brings it to ``least`` words and whose hash is divisible by
+    four, so the ends in a copy agree again after its first paragraphs.
+    """
+    out = [], [], [], []
+    ends = (sequence_hashes(word, first, stop) % np.uint64(4) == 0).tolist()
+    text, a, b = text.tolist(), first.tolist(), stop.tolist()
+    begin = None
+    for i in range(len(a)):
+        if b[i] - a[i] >= least:
+            begin = None
+            continue
+        if begin is None:
+            begin = i
+        last = i + 1 == len(a) or text[i + 1] != text[i] or b[i + 1] - a[i + 1] >= least
+        if last or ends[i] and b[i] - a[begin] >= least:
+            if b[i] - a[begin] >= least:
+                for x, value in zip(out, (begin, 0, a[begin], b[i])):
+                    x.append(value)
+            begin = None
+    return tuple(np.array(x, np.int64) for x in out)
+
+
+def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray, least: int):
+    """``(line, part, first word, stop)`` of all lines and, for lines of several, their sentences.
+
+    A line under ``least`` words without an inner end is a sentence itself.
+    """
     out = [], [], [], []
     low = np.searchsorted(cuts, first, "right").tolist()
     high = np.searchsorted(cuts, stop, "left").tolist()
@@ -148,8 +178,8 @@ def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray):
         for x, value in zip(out, (i, 0, a, b)):
             x.append(value)
         begin, part = a, 0
-        for cut in [*cuts[low[i] : high[i]], b] if low[i] < high[i] else ():
-            if cut - a >= SENTENCE_WORDS and (a, cut) != (begin, b):
+        for cut in [*cuts[low[i] : high[i]], b] if low[i] < high[i] or b - a < least else ():
+            if cut - a >= SENTENCE_WORDS and ((a, cut) != (begin, b) or b - begin < least):
                 part += 1
                 for x, value in zip(out, (i, part, a, cut)):
                     x.append(value)
@@ -312,8 +342,9 @@ def repeated_paragraphs(
     """``(doc_id, line, part, n_words, component, first_doc_id, removed)`` of every paragraph that
     has a near copy.
 
-    Paragraphs are lines of at least ``least_words`` words (``part`` 0) and the sentences inside
-    lines (``part`` from 1). Passages of ``least_words`` words (``part`` -n, from the nth word of the
+    Paragraphs are lines of at least ``least_words`` words, runs of shorter lines with as many
+    together (``part`` 0, ``n_words`` from the start of the line on) and the sentences inside lines
+    (``part`` from 1). Passages of ``least_words`` words (``part`` -n, from the nth word of the
     line on, also over line ends) are chosen so that texts with ``least_words + SPREAD - 1`` equal
     words in a row share one; they are linked if they are equal, need no sentence ends, and overlap
     each other and the sentences: what goes is all that some removed row covers. Two are linked if the Jaccard similarity of their distinct word
@@ -321,7 +352,7 @@ def repeated_paragraphs(
     place, by (doc_id, line, part), stays, with all that overlaps it; the others are ``removed``. The
     bands of lines and sentences are tuned so that a pair at the threshold meets with the chance ``recall``; every meeting is checked on
     the full sets. Repeated sentences are given where they make up a passage of ``least_words``
-    words in a row, in lines that are not removed as a whole.
+    words in a row, also over line ends, where they are not in a line that is removed as a whole.
 
     Equal paragraphs are one node, named by 64 bits of their hash. Nodes of a bucket are compared
     with its pivot, and with each other where that leaves several components (see ``pairing``).
@@ -380,11 +411,13 @@ def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> Data
     line = Window.partitionBy("doc_id", "line")
     whole = F.max(F.when(F.col("part") == 0, F.col("removed")).otherwise(False)).over(line)
     end = F.max(F.when(F.col("part") == 0, F.expr("start + n_words"))).over(line)
-    # Sentences in a row with the same verdict: part less their rank is constant.
-    kind = [*("doc_id", "line", "removed"), F.signum("part")]
-    rank = F.row_number().over(Window.partitionBy(*kind).orderBy("part"))
+    # Sentences in a row with the same verdict, also over line ends: the words before each less
+    # the words of those before it in the list are constant.
+    kind = ["doc_id", "removed", F.signum("part")]
+    before = Window.partitionBy(*kind).orderBy("start", "part").rowsBetween(Window.unboundedPreceding, -1)
+    listed = F.coalesce(F.sum("n_words").over(before), F.lit(0))
     ranked = placed.withColumn("whole", whole & (F.expr("start + n_words") <= end))
-    ranked = ranked.withColumn("run", F.col("part") - rank)
+    ranked = ranked.withColumn("run", F.col("start") - listed)
     summed = ranked.withColumn("in_run", F.sum("n_words").over(Window.partitionBy(*kind, "run")))
     kept = (F.col("part") == 0) | (~F.col("whole") & ((F.col("part") < 0) | (F.col("in_run") >= least_words)))
     return summed.filter(kept).drop("whole", "run", "in_run", "start")

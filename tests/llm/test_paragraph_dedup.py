@@ -106,6 +106,39 @@ def test_edited_sentences_inside_lines(spark):
     assert {r.doc_id for r in found if r.removed and r.part > 0} == set(range(100, 140))
 
 
+def test_short_lines(spark):
+    def verse(seed, n):
+        return [prose(seed + j, 9).replace(".", "") for j in range(n)]
+
+    rows = []
+    for i in range(8):
+        # Word for word in 0 to 3; from 4 on every line but each sixth has its last word changed.
+        poem = verse(7, 30)
+        if i >= 4:
+            poem = [x if j % 6 else x.rsplit(" ", 1)[0] + f" w{i}x{j}" for j, x in enumerate(poem)]
+        rows.append((i, "\n".join([*verse(1000 + 50 * i, i), *poem, *verse(5000 + 50 * i, 3)]), "en"))
+    rows += [(100 + i, "\n".join(verse(9000 + 50 * i, 20)), "en") for i in range(10)]
+    found = paragraph_dedup.repeated_paragraphs(table(spark, rows)).collect()
+    assert {r.doc_id for r in found if r.removed} == set(range(1, 8))
+    gone = covered(found, rows)
+    for i in range(1, 4):
+        inside = set(range(9 * i, 9 * (i + 30)))
+        assert gone[i] <= inside and len(gone[i]) >= len(inside) - 2 * paragraph_dedup.SPREAD
+    sums = {i: sum(r.n_words for r in found if r.doc_id == i and r.removed and r.part > 0) for i in (5, 6, 7)}
+    assert all(n >= 20 for n in sums.values())
+
+
+def test_paragraphs_of_short_lines_agree_in_copies():
+    import pyarrow as pa
+
+    poem = [prose(j, 6) for j in range(80)]
+    cuts = []
+    for host in (["a b"], ["some other line", "and one more of them"]):
+        units = paragraph_dedup.Units.of(pa.array(["\n".join([*host, *poem])]), 20)
+        cuts.append({int(x) for x in units.name[units.part == 0]})
+    assert len(cuts[0] & cuts[1]) >= 0.7 * len(cuts[0]) and len(cuts[0]) > 5
+
+
 def test_full_stops_of_other_scripts():
     import pyarrow as pa
 
