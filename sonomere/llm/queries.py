@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonomere.llm import (
-    byte_bpe, decontamination, language_id, line_dedup, near_dups, paragraph_dedup, quality,
-    surrogates, token_counts, token_files,
+    byte_bpe, decontamination, language_id, line_dedup, near_dups, paragraph_dedup, periodic_runs,
+    quality, surrogates, token_counts, token_files,
 )
 from sonomere.storage import new_path
 
@@ -94,6 +94,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def periodic_digests(documents: DataFrame) -> DataFrame:
+    """The runs of documents with planted ones, as counts and digests."""
+    found = periodic_runs.find_periodic_runs(periodic_runs.with_planted_runs(documents))
+    top = periodic_runs.longest(F.col("runs"))
+    length, period = -top["less"], top["period"]
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), top["start"].alias("start"),
+        length.alias("length"), period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents."""
+    return periodic_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -107,5 +126,6 @@ QUERIES = {
         op8_surrogates,
         op9_line_winnowing,
         op10_token_counts,
+        op13_periodic_runs,
     )
 }
