@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonomere.llm import (
-    byte_bpe, decontamination, language_id, line_dedup, near_dups, paragraph_dedup, periodic_runs,
-    quality, surrogates, token_counts, token_files,
+    byte_bpe, decontamination, language_id, line_dedup, merkle, near_dups, paragraph_dedup,
+    periodic_runs, quality, surrogates, token_counts, token_files, warc,
 )
 from sonomere.storage import new_path
 
@@ -94,6 +94,42 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def archived_pages(pages: DataFrame, folder: str) -> DataFrame:
+    """Pages written to web archives under ``folder`` and read back."""
+    payload = F.encode("html", "UTF-8").alias("payload")
+    marked = warc.with_first_of_equals(pages.select("page_id", "url", payload))
+    records = warc.read_archives(warc.write_archives(marked, folder))
+    kind = pages.schema["page_id"].dataType.simpleString()
+    page = lambda urn: F.nullif(F.substring_index(urn, ":", -1), F.lit("")).cast(kind)
+    return records.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, archived and read back."""
+    return archived_pages(table(spark, sf_dir, "pages"), new_path(spark, "archives"))
+
+
+# What a leaf holds of a document, and the checksums whose documents are tampered with.
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+TAMPERED = 7
+
+
+def audited_documents(documents: DataFrame) -> DataFrame:
+    """The manifest of documents, held against a copy of which every seventh was tampered with."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    changed = F.when(checksum % TAMPERED == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    claimed = [changed if c == "n_chars" else F.col(c) for c in LEAF_COLUMNS]
+    return merkle.merkle_manifest(documents, LEAF_COLUMNS, "lang", "doc_id", claimed).drop("path")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their proofs and what an audit of a tampered copy says."""
+    return audited_documents(table(spark, sf_dir, "documents"))
+
+
 def periodic_digests(documents: DataFrame) -> DataFrame:
     """The runs of documents with planted ones, as counts and digests."""
     found = periodic_runs.find_periodic_runs(periodic_runs.with_planted_runs(documents))
@@ -126,6 +162,8 @@ QUERIES = {
         op8_surrogates,
         op9_line_winnowing,
         op10_token_counts,
+        op11_warc,
+        op12_merkle_manifest,
         op13_periodic_runs,
     )
 }
