@@ -266,3 +266,40 @@ def paired_run_report(
     right = percentiles.withColumnsRenamed({g: f"__{g}" for g in group})
     same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
     return summary.join(right, same).drop(*[f"__{g}" for g in group])
+
+
+def keyed_difference(
+    expected: DataFrame, found: DataFrame, keys: Sequence[str], digits: int | None = None
+) -> DataFrame:
+    """``(*keys, same, changed, missing, extra)``: how the rows of each key differ in two results.
+
+    Rows are compared as they are, with their duplicates, null equal to null, NaN to NaN and -0.0 to
+    0.0; ``digits`` rounds doubles first. Of the rows that only one result has, as many as the other
+    has too under that key are ``changed``; the rest is ``missing`` or ``extra``. Columns go by name
+    and must be the same in both. Keys with only equal rows are given too.
+
+    One signed count per distinct row takes the place of set operations in both directions, so both
+    results are read and shuffled once.
+    """
+    if sorted(expected.columns) != sorted(found.columns):
+        raise ValueError(f"Columns differ: {sorted(expected.columns)} and {sorted(found.columns)}")
+    doubles = [n for n, t in expected.dtypes if t in ("double", "float")]
+
+    def normal(df: DataFrame, sides: tuple[int, int]) -> DataFrame:
+        df = df.withColumns({
+            c: (F.col(c) if digits is None else F.round(c, digits)) + F.lit(0.0) for c in doubles
+        })
+        return df.select(*expected.columns, *[F.lit(n).alias(s) for n, s in zip(sides, ("__e", "__f"))])
+
+    both = normal(expected, (1, 0)).unionByName(normal(found, (0, 1)))
+    rows = both.groupBy(*expected.columns).agg(F.sum("__e").alias("__e"), F.sum("__f").alias("__f"))
+    per_key = rows.groupBy(*keys).agg(
+        F.sum(F.least("__e", "__f")).alias("same"),
+        F.sum(F.greatest(F.col("__e") - F.col("__f"), F.lit(0))).alias("__e"),
+        F.sum(F.greatest(F.col("__f") - F.col("__e"), F.lit(0))).alias("__f"),
+    )
+    changed = F.least("__e", "__f")
+    return per_key.select(
+        *keys, "same", changed.alias("changed"), (F.col("__e") - changed).alias("missing"),
+        (F.col("__f") - changed).alias("extra"),
+    )

@@ -1,7 +1,8 @@
 """Features of records as they arrive.
 
 Records are independent of each other, so every workflow runs on a stream as it does on a table:
-stateless, in append mode, without watermarks.
+stateless, in append mode, without watermarks. Streams of samples become records in ``samples``;
+``levels`` sums levels up over windows of time.
 """
 
 from collections.abc import Callable
@@ -24,9 +25,13 @@ def write_features(
     checkpoint: str,
 ) -> StreamingQuery:
     """Append the features of arriving records to Parquet files, then stop when none are left."""
-    features = workflow(records, fs)
+    return write_stream(workflow(records, fs), path, checkpoint)
+
+
+def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of a stream to Parquet files, then stop when none are left."""
     return (
-        features.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -9,10 +9,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import check  # noqa: E402
-from sonomere.plans.catalogue import QUERIES  # noqa: E402
-from sonomere.plans.oracles import ORACLES  # noqa: E402
+from sonomere.plans import catalogue, oracles, timelines  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
+QUERIES = {**catalogue.QUERIES, **timelines.QUERIES}
+ORACLES = {**oracles.ORACLES, **timelines.ORACLES}
 
 
 @pytest.fixture(scope="module")
