@@ -75,16 +75,28 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 _LOWER = np.arange(256)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _LOWERED = _BYTE[_LOWER]
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+class _PowerTables:
+    """Powers of the step and of its inverse, as many as were needed so far. They grow where they
+    are used and do not travel: a closure that is sent to a worker takes an empty one.
+    """
+
+    def __init__(self):
+        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def __reduce__(self):
+        return _PowerTables, ()
+
+    def __call__(self, size: int) -> list[np.ndarray]:
+        if len(self.tables[0]) < size:
+            for i, base in enumerate((_STEP, _BACK)):
+                steps = np.full(size, base, np.uint64)
+                steps[0] = 1
+                self.tables[i] = np.multiply.accumulate(steps)
+        return self.tables
 
 
-def _power_tables(size: int) -> list[np.ndarray]:
-    if len(_powers[0]) < size:
-        for i, base in enumerate((_STEP, _BACK)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers
+_power_tables = _PowerTables()
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:

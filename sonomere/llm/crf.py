@@ -4,9 +4,13 @@ Sequences lie one after another in flat arrays; ``edges`` has where each begins
 An emission row holds one score per label.
 """
 
+import pickle
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 BLOCK = 128
 
@@ -141,6 +145,32 @@ class Model:
     weights: np.ndarray
     transition: np.ndarray
 
+    @staticmethod
+    def sent(docs: DataFrame, model: "Model | None"):
+        """A broadcast of the parts of a model. Workers need not have this class to read it."""
+        parts = None if model is None else (model.labels, model.weights, model.transition)
+        return docs.sparkSession.sparkContext.broadcast(parts)
+
+    @staticmethod
+    def of(parts: tuple | None) -> "Model | None":
+        return None if parts is None else Model(*parts)
+
+
+def fit_in_a_task(sample: DataFrame, fit: Callable[[pa.Table], Model | None]) -> Model | None:
+    """``fit`` on a sample whose size its maker has bounded, by one task. The driver sees the model
+    alone; neither the texts nor what training takes stay in its memory.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        model = fit(pa.Table.from_batches(parts)) if parts else None
+        if model is not None:
+            data = pickle.dumps((model.labels, model.weights, model.transition))
+            yield pa.RecordBatch.from_pydict({"model": pa.array([data], pa.binary())})
+
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return None if row is None else Model(*pickle.loads(row.model))
+
 
 def train(
     features: Features,

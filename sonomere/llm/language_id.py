@@ -132,7 +132,7 @@ def learn(
         F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"),
         F.col(text).cast("string").alias("text"),
     )
-    return fit(training_sample(source, per_language).select("lang", "text").toArrow())
+    return crf.fit_in_a_task(training_sample(source, per_language).select("lang", "text"), fit)
 
 
 def _labelled(model: crf.Model | None, texts: pa.Array):
@@ -165,10 +165,10 @@ def identify(
     labelled each; an empty table gives an empty one; other columns are ignored.
     """
     source = id_and_text(docs, doc_id, text)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = crf.Model.sent(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = crf.Model.of(sent.value)
         for batch in batches:
             for part in slices(batch, size=_SLICE):
                 share, known, n_words = _labelled(model, part.column(1))
@@ -199,10 +199,10 @@ def with_main_language(
     Null texts and texts without a letter go. Without a model, every text with a letter stays.
     """
     at = docs.columns.index(text)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = crf.Model.sent(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = crf.Model.of(sent.value)
         for batch in batches:
             for part in slices(batch, at, _SLICE):
                 share, known, _ = _labelled(model, part.column(at))

@@ -1,4 +1,8 @@
-"""Quality rules: exact counts per text, and a conditional random field that labels its lines."""
+"""Quality rules: exact counts per text, and a conditional random field that labels its lines.
+
+Labels change inside a text: a good one may have a menu or a licence in it, a bad one may have a
+sentence. Only the quality of whole texts is known, so the labels of lines are learnt with the model.
+"""
 
 from collections.abc import Iterable, Iterator
 
@@ -19,9 +23,17 @@ LONGEST_TRAINING_TEXT = 100_000
 LEAST_CONTENT = 0.5
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
+# Training: rounds at most, the share of labels that may still move, the least share of content in a
+# good text and the most in a bad one, the share of symbols, and of words said twice, in a line that
+# is boilerplate to begin with, and lines put into a text at most.
+ROUNDS, EPOCHS = 6, 12
+STABLE = 0.002
+GOOD_CONTENT, BAD_CONTENT = 0.75, 0.25
+SYMBOLS, STUTTER = 0.05, 0.3
+STRETCH = 3
 REPEAT_WORDS = 8
 
-_BITS = 12
+_BITS = 13
 _LINE_END = np.arange(256) == 0x0A
 # The characters counted as symbols.
 _SYMBOL = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>"])
@@ -49,14 +61,26 @@ class Lines:
         self.start, self.end, self.row, self.n_words = start[kept], end[kept], row[kept], count[kept]
         self.first_word = np.searchsorted(self.word_start, self.start)
         self.edges = np.searchsorted(self.row, np.arange(self.n_rows + 1))
-        line = hashes(self.data, self.start, self.end, lower=False)
-        self.repeated = _later_copies(mix(line + mix(self.row.astype(np.uint64))))
+        self.hash = hashes(self.data, self.start, self.end, lower=False)
+        self.repeated = _later_copies(mix(self.hash + mix(self.row.astype(np.uint64))))
         self.word_hash = hashes(self.data, self.word_start, self.word_end)
+        # Words of each line that are the word before.
+        same = np.zeros(len(self.word_hash) + 1, np.int64)
+        same[2:] = np.cumsum(self.word_hash[1:] == self.word_hash[:-1])
+        self.stutters = same[self.first_word + self.n_words] - same[np.minimum(self.first_word + 1, len(same) - 1)]
 
     def count(self, kind: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0], np.cumsum(kind[self.data])])
         return sums[end] - sums[start]
 
+    def looks_like_boilerplate(self) -> np.ndarray:
+        """Lines of links, symbols or repeated words, and lines that the text has before."""
+        symbols = self.count(_SYMBOL, self.start, self.end)
+        letters = self.count(_KINDS["letter"], self.start, self.end)
+        size = self.end - self.start
+        stutter = self.stutters > STUTTER * self.n_words
+        return self.repeated | stutter | (symbols > SYMBOLS * size) | (2 * letters < size)
+
     def features(self) -> crf.Features:
         """What each line looks like: sizes and shares in steps, its first and last word."""
         start, end, words = self.start, self.end, self.n_words
@@ -79,6 +103,7 @@ class Lines:
             np.minimum(np.arange(len(start)) - self.edges[self.row], 3),
             self.word_hash[self.first_word],
             self.word_hash[self.first_word + words - 1],
+            step(self.stutters / words),
         ]
         slot = [
             mix(np.asarray(v).astype(np.uint64) * np.uint64(64) + np.uint64(i)) >> np.uint64(64 - _BITS)
@@ -144,17 +169,88 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_quality: int) -> Dat
     return usable.join(F.broadcast(chosen), "doc_id").select("quality", "text")
 
 
-def fit(sample: pa.Table, seed: int = 7) -> crf.Model | None:
-    """A line model from texts of known quality: the lines of a good text are content, those of
-    a bad one boilerplate. Without texts of both kinds there is nothing to learn.
+def fit(sample: pa.Table, seed: int = 7, rounds: int = ROUNDS) -> crf.Model | None:
+    """A line model from texts of known quality, by constrained expectation and maximisation.
+
+    No line has a label. They begin with what the line alone tells (``_evidence``); then a model is
+    learnt from the labels, and labels anew from its posteriors, until they stay. The quality of a
+    text says nothing of any one of its lines. It bounds the share of the words in content lines:
+    at least ``GOOD_CONTENT`` of a good text, at most ``BAD_CONTENT`` of a bad one. Where the bound
+    is broken, the lines nearest to the other label change. Texts that occur more than once count
+    once. Without texts of both kinds there is nothing to learn.
     """
     sample = sample.sort_by([("quality", "ascending"), ("text", "ascending")])
-    quality = sample.column("quality").to_numpy()
-    if len(set(quality.tolist())) < 2:
+    if len(set(sample.column("quality").to_pylist())) < 2:
         return None
-    lines = Lines(sample.column("text").combine_chunks())
-    label = quality.astype(np.int64)[lines.row]
-    return crf.train(lines.features(), label, lines.edges, LABELS, 1 << _BITS, epochs=12, seed=seed)
+    sample = sample.group_by("text", use_threads=False).aggregate([("quality", "min")])
+    sample = sample.rename_columns(["text", "quality"])
+    found, rows, n_words, hints, n_rows = [], [], [], [], 0
+    for batch in sample.to_batches():
+        for part in slices(batch, 0):
+            lines = Lines(part.column(0))
+            found.append(lines.features())
+            rows.append(lines.row + n_rows)
+            n_words.append(lines.n_words)
+            hints.append(lines.looks_like_boilerplate())
+            n_rows += part.num_rows
+    row, n_words, hint = (np.concatenate(x) for x in (rows, n_words, hints))
+    features = crf.Features.joined(found)
+    edges = np.searchsorted(row, np.arange(n_rows + 1))
+    good = sample.column("quality").to_numpy() == 1
+    label = _bounded(np.where(hint, 0.1, 0.9), n_words, edges, good)
+    model, rng = None, np.random.default_rng(seed)
+    for _ in range(rounds):
+        at, cut = _switched(label, edges, rng)
+        model = crf.train(
+            features, label[at], cut, LABELS, 1 << _BITS, epochs=EPOCHS, seed=seed, position=at
+        )
+        chance = crf.posteriors(features.emissions(model.weights), edges, model.transition)
+        again = _bounded(chance[:, CONTENT], n_words, edges, good)
+        moved = np.count_nonzero(again != label)
+        label = again
+        if moved <= STABLE * len(label):
+            break
+    return model
+
+
+def _switched(label: np.ndarray, edges: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences of lines ``(line, edges)``: every text with a stretch put into it of lines that are
+    labelled otherwise than most of its own, from anywhere in the sample. Few texts of a sample
+    change their label; a menu stands in any.
+    """
+    pools = [np.flatnonzero(label == k) for k in (BOILERPLATE, CONTENT)]
+    at, size = [], []
+    for i in range(len(edges) - 1):
+        own = np.arange(edges[i], edges[i + 1])
+        other = pools[int(2 * label[own].sum() < len(own))]
+        if len(own) and len(other):
+            first, n = rng.integers(len(other)), rng.integers(1, STRETCH + 1)
+            place = rng.integers(len(own) + 1)
+            own = np.concatenate([own[:place], other[first : first + n], own[place:]])
+        at.append(own)
+        size.append(len(own))
+    return np.concatenate(at), np.concatenate([[0], np.cumsum(size)])
+
+
+def _bounded(content: np.ndarray, n_words: np.ndarray, edges: np.ndarray, good: np.ndarray):
+    """Labels from the chance of content, under the bound that each text's quality sets."""
+    label = (content >= 0.5).astype(np.int64)
+    for i in range(len(edges) - 1):
+        at = np.arange(edges[i], edges[i + 1])
+        total, have = n_words[at].sum(), n_words[at[label[at] == CONTENT]].sum()
+        if good[i] and have < GOOD_CONTENT * total:
+            turned = at[label[at] == BOILERPLATE]
+            turned = turned[np.argsort(-content[turned], kind="stable")]
+            need = GOOD_CONTENT * total - have
+        elif not good[i] and have > BAD_CONTENT * total:
+            turned = at[label[at] == CONTENT]
+            turned = turned[np.argsort(content[turned], kind="stable")]
+            need = have - BAD_CONTENT * total
+        else:
+            continue
+        n = int(np.searchsorted(np.cumsum(n_words[turned]), need)) + 1
+        label[turned[:n]] ^= 1
+    return label
 
 
 def learn(
@@ -162,7 +258,7 @@ def learn(
     doc_id: str = "doc_id", text: str = "text",
 ) -> crf.Model | None:
     """Learn from a bounded sample of the labelled documents, ``per_quality`` of each kind."""
-    return fit(training_sample(id_and_text(docs, doc_id, text), labels, per_quality).toArrow())
+    return crf.fit_in_a_task(training_sample(id_and_text(docs, doc_id, text), labels, per_quality), fit)
 
 
 def judge(
@@ -185,10 +281,10 @@ def judge(
     empty one; other columns are ignored.
     """
     source = id_and_text(docs, doc_id, text)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = crf.Model.sent(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = crf.Model.of(sent.value)
         for batch in batches:
             for part in slices(batch):
                 lines = Lines(part.column(1))
