@@ -6,16 +6,19 @@ As in ``catalogue``, with the same queries in SQL beside them.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonomere.functions import sql
 from sonomere.functions.bands import Bands
 from sonomere.functions.levels import to_db
 from sonomere.functions.spectral import Windowing
-from sonomere.operators import aggregates, compare, summaries, temporal, windows
+from sonomere.operators import aggregates, compare, long_fft, summaries, temporal, windows
 from sonomere.plans import oracles
 from sonomere.plans.catalogue import (
-    FS, FULL_SCALE, HIGH, LOW, RECORD, RECORDERS, Query, _feature_rows, _flat_spl, _shown, _tol_spectra, lin,
+    FS, FULL_SCALE, HIGH, LOW, RECORD, RECORDERS, Query, _feature_rows, _flat_spl, _shown, _tol_spectra, evt, lin,
     lin_records, rounded, table,
 )
-from sonomere.plans.oracles import R, REC, db, lin_psd, lin_tol, lin_welch, rnd
+from sonomere.plans.oracles import (
+    EVT, LIN, R, REC, cut, db, density, dft, lin_psd, lin_tol, lin_welch, psd, rnd, taper,
+)
 from sonomere.plans.workflows import WelchSpl
 from sonomere.storage import new_path
 from sonomere.streaming.levels import levels_by_window
@@ -188,6 +191,29 @@ def keyed_difference(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fft_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The spectrum of every supplier's whole signal, all of one size that holds the longest."""
+    frames = lin(spark, sf).select("l_suppkey", "frame", "x")
+    longest = frames.agg(F.max("frame")).first()[0] + 1
+    found = long_fft.fft_long(
+        frames, ["l_suppkey"], 1 << (longest - 1).bit_length(), block_points=1 << 12
+    )
+    return rounded(found, "re", "im")
+
+
+def sql_spectrogram(spark: SparkSession, sf: str) -> DataFrame:
+    """A spectrogram and its levels in SQL text, by table functions and functions of a session."""
+    sql.register(spark)
+    evt(spark, sf).createOrReplaceTempView("user_signals")
+    return spark.sql("""
+        SELECT user_id, window_idx, k, bin_frequency(k, 16, 64D) AS frequency, round(p, 6) AS p,
+          round(to_db(p), 6) AS level
+        FROM spectrogram(
+          TABLE(SELECT user_id, frame, value AS x FROM user_signals),
+          keys => 'user_id', size => 16, overlap => 8, nfft => 16, fs => 64D)
+        WHERE k > 0""")
+
+
 QUERIES: dict[str, Query] = {
     "welch_spl_samples": welch_spl_samples,
     "level_windows": level_windows(False),
@@ -199,6 +225,8 @@ QUERIES: dict[str, Query] = {
     "level_rollup": level_rollup,
     "top_windows": top_windows,
     "keyed_difference": keyed_difference,
+    "fft_long": fft_long,
+    "sql_spectrogram": sql_spectrogram,
 }
 
 
@@ -272,6 +300,17 @@ parts AS (
 SELECT l_orderkey, sum(s)::BIGINT AS same, least(sum(e), sum(f))::BIGINT AS changed,
   (sum(e) - least(sum(e), sum(f)))::BIGINT AS missing, (sum(f) - least(sum(e), sum(f)))::BIGINT AS extra
 FROM parts GROUP BY l_orderkey""",
+    "fft_long": f"""WITH {LIN},
+size AS (SELECT power(2, ceil(log2(max(frame) + 1)))::BIGINT AS nfft FROM lin),
+bins AS (SELECT nfft, unnest(range(nfft // 2 + 1)) AS k FROM size)
+SELECT l_suppkey, k, {rnd("sum(x * cos(2 * pi() * ((k * frame) % nfft) / nfft::DOUBLE))")} AS re,
+  {rnd("-sum(x * sin(2 * pi() * ((k * frame) % nfft) / nfft::DOUBLE))")} AS im
+FROM lin, bins GROUP BY l_suppkey, k""",
+    "sql_spectrogram": f"""WITH {EVT}, {cut("evt", "user_id", "frame", "n", 16, 8)},
+{dft("win", "user_id, window_idx", 16, taper("hamming", 16))},
+{psd("user_id, window_idx", 16, density("hamming", 16, 64))}
+SELECT user_id, window_idx, k, k * 64::DOUBLE / 16 AS frequency, {rnd("p")} AS p, {rnd(db("p"))} AS level
+FROM psd WHERE k > 0""",
 }
 
 # Columns that are INTEGER in Spark and BIGINT in SQL, by query.
@@ -279,6 +318,7 @@ INTEGERS = {
     "exceeded_levels": ["k", "percent"],
     "level_rollup": ["year", "month"],
     "top_windows": ["window_idx", "band"],
+    "sql_spectrogram": ["k"],
 }
 
 
