@@ -6,6 +6,7 @@ supplier in shipping order scaled to [0, 1), EMB is ``embeddings.embedding``.
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,10 @@ from sonomere.functions.tapers import Taper, blackman, hamming, hann
 from sonomere.operators import aggregates, compare, frames, shape, windows
 from sonomere.plans.recordings import damage_recordings, write_recordings
 from sonomere.plans.workflows import AllFeatures, Tol, WelchSpl, WelchSplTol, calibrate_records
-from sonomere.sources import grid, series, vectors, wav
+from sonomere.sources import grid, series, vectors, wav, wav_format
 from sonomere.sources.pcm import decode_pcm
 from sonomere.storage import new_path
-from sonomere.streaming.records import stream_records, write_features
+from sonomere.streaming.records import stream_records, write_features, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,7 @@ LOW, HIGH = 6.4, 25.6
 ALPHA = 1.75
 RECORDERS = 4
 FILE_FRAMES = 900 * int(FS)
+DAY_FRAMES = 86_400 * int(FS)
 TAPERS = {"hamming": hamming, "hann": hann, "blackman": blackman}
 KINDS = ("periodic", "symmetric")
 LIN_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
@@ -92,9 +94,9 @@ def numbered(bucket):
     return query
 
 
-def _recordings(spark, sf, bits):
+def _recordings(spark, sf, bits, frames_per_file=FILE_FRAMES):
     """Recordings of four recorders that share the rows of LIN: two 16-bit channels, or one of 8
-    or 24 bits, a quarter of an hour per file.
+    or 24 bits, a quarter of an hour per file unless told otherwise.
     """
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     samples = {
@@ -107,7 +109,7 @@ def _recordings(spark, sf, bits):
         rows.select("recorder", "l_suppkey", "l_quantity", *LIN_ORDER), ["recorder"],
         [*LIN_ORDER, "l_suppkey"], bucket=F.date_trunc("month", "l_shipdate"),
     )
-    folder, made = write_recordings(rows, "recorder", samples, int(FS), bits, FILE_FRAMES)
+    folder, made = write_recordings(rows, "recorder", samples, int(FS), bits, frames_per_file)
     return folder, made, len(samples)
 
 
@@ -135,11 +137,35 @@ def wav_records(bits, policy, split_bytes=wav.SPLIT_BYTES):
 
 
 def wav_file(spark, sf):
-    """The first file of the first recorder, read by its own name."""
-    folder, _, channels = _recordings(spark, sf, 16)
-    return _wav_rows(
-        wav.read_wav_file(spark, folder + "/0_0.wav", "1970-01-01", FS, channels, 16, 2.0, "fill")
-    )
+    """Every file by its own name, each a whole day of a recorder."""
+    folder, made, channels = _recordings(spark, sf, 16, DAY_FRAMES)
+    # A name per day and recorder.
+    names = sorted((r["name"], r["start"]) for r in made.select("name", "start").collect())
+    records = [
+        wav.read_wav_file(spark, f"{folder}/{name}", start, FS, channels, 16, 2.0, "fill")
+        for name, start in names
+    ]
+    return _wav_rows(reduce(DataFrame.union, records))
+
+
+def wav_format_records(streamed):
+    """The recordings through the data source: as a table from the fourth record of each on, which
+    leaves the ones before unread, or as files that arrive.
+    """
+    def query(spark, sf):
+        folder, _, channels = _recordings(spark, sf, 16)
+        wav_format.register(spark)
+        reader = (spark.readStream if streamed else spark.read).format("wav").options(
+            recordSeconds=2.0, fs=FS, channels=channels, bits=16, lastRecord="fill"
+        )
+        records = reader.load(folder)
+        if streamed:
+            target = new_path(spark, "stream-out")
+            write_stream(records, target, new_path(spark, "stream-state")).awaitTermination()
+            return _wav_rows(spark.read.parquet(target))
+        return _wav_rows(records.filter("record_idx >= 3"))
+
+    return query
 
 
 def wav_by_path(spark, sf):
@@ -901,6 +927,8 @@ QUERIES: dict[str, Query] = {
     "wav_records_24bit": wav_records(24, "fill"),
     "wav_by_path": wav_by_path,
     "wav_file": wav_file,
+    "wav_format": wav_format_records(False),
+    "wav_format_stream": wav_format_records(True),
     "wav_split_files": wav_records(16, "fill", split_bytes=4096),
     "wav_chunks": wav_chunks,
     "wav_inspect": wav_inspect,

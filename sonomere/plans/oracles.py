@@ -141,7 +141,7 @@ TOL_ROWS = f"""
   UNION ALL SELECT {R}, 'tol', band, {rnd(heard('avg'))} FROM tol GROUP BY {R}, band"""
 
 
-def frame_files(samples: list[str]) -> str:
+def frame_files(samples: list[str], per_file: int = 57600) -> str:
     """Decoded samples of the recordings made of LIN, a quarter of an hour per file."""
     channels = " UNION ALL ".join(
         f"SELECT recorder, frame, {c} AS channel, {s} AS v FROM heard" for c, s in enumerate(samples)
@@ -151,9 +151,9 @@ def frame_files(samples: list[str]) -> str:
     row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY {LIN_ORDER}, l_suppkey) - 1 AS frame
   FROM lineitem),
 file AS (
-  SELECT recorder || '_' || (frame // 57600) || '.wav' AS sound_id, frame // 57600 AS f,
-    frame % 57600 AS j, channel, v,
-    count(*) OVER (PARTITION BY recorder, frame // 57600, channel) AS n
+  SELECT recorder || '_' || (frame // {per_file}) || '.wav' AS sound_id, frame // {per_file} AS f,
+    frame % {per_file} AS j, channel, v,
+    count(*) OVER (PARTITION BY recorder, frame // {per_file}, channel) AS n
   FROM ({channels}))"""
 
 
@@ -182,10 +182,13 @@ SELECT sound_id, j // {size} AS record_idx, channel,
 FROM file WHERE {where}{extra}"""
 
 
-def wav_fill(samples: list[str], size: int, where: str = "true") -> str:
-    return f"""WITH {frame_files(samples)}, {filled(size)}
+def wav_fill(
+    samples: list[str], size: int, where: str = "true", per_file: int = 57600, dated: bool = True
+) -> str:
+    start = per_file * 1000 // 64 if dated else 0
+    return f"""WITH {frame_files(samples, per_file)}, {filled(size)}
 SELECT sound_id, j // {size} AS record_idx, channel,
-  f * 900000 + (j // {size}) * {size} * 1000 // 64 AS ms,
+  f * {start} + (j // {size}) * {size} * 1000 // 64 AS ms,
   j % {size} AS i, {rnd('v', 9)} AS v FROM whole WHERE {where}"""
 
 
@@ -423,7 +426,9 @@ SELECT vec_id, k, {rnd('avg(p)', 9)} AS p FROM psd GROUP BY vec_id, k""",
     "wav_roundtrip": wav(TWO_CHANNELS, 128, "j < n - n % 128"),
     "wav_records_fill": wav_fill(TWO_CHANNELS, 128),
     "wav_split_files": wav_fill(TWO_CHANNELS, 128),
-    "wav_file": wav_fill(TWO_CHANNELS, 128, "sound_id = '0_0.wav'"),
+    "wav_file": wav_fill(TWO_CHANNELS, 128, per_file=86400 * 64),
+    "wav_format": wav_fill(TWO_CHANNELS, 128, "j // 128 >= 3", dated=False),
+    "wav_format_stream": wav_fill(TWO_CHANNELS, 128, dated=False),
     "wav_records_8bit": wav(
         ["-1 + floor(l_quantity * 4) / 127.5::DOUBLE"], 128, "true"
     ),
@@ -569,7 +574,7 @@ INTEGERS = {
         stft_odd_nfft stft_embeddings stft_spectrum_norm fft_two_sided periodogram_even
         periodogram_odd power_spectrum_hann power_spectrum_blackman spectrogram_lineitem
         freq_vector""",
-    "i": """wav_split_files wav_file decode_pcm_16 decode_pcm_24 decode_pcm_32 wav_roundtrip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
+    "i": """wav_split_files wav_file wav_format wav_format_stream decode_pcm_16 decode_pcm_24 decode_pcm_32 wav_roundtrip wav_records_fill wav_records_8bit wav_records_24bit wav_by_path
         wav_chunks decode_pcm vector_files calibrate_arrays window_coefficients tapered_long""",
     "j": "fft_freq_vector",
     "n": "records_skip records_keep",

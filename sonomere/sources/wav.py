@@ -305,7 +305,7 @@ def _read_tasks(spark: SparkSession, listed) -> int:
     return max(1, min(n_splits, wanted))
 
 
-def _check_format(path, header, fs, channels, bits) -> None:
+def check_format(path, header, fs, channels, bits) -> None:
     if header.error:
         raise ValueError(f"{header.error}: {path}")
     declared = (
@@ -327,36 +327,49 @@ def _records_of_split(
     path, sound_id = row["path"], row["sound_id"]
     with open_file(path) as source:
         header = read_header(source, row["length"])
-        _check_format(path, header, fs, channels, bits)
+        check_format(path, header, fs, channels, bits)
         if row["start_ms"] is None:
             raise ValueError(f"Read file {sound_id} has no startDate in given list")
         if offset and offset >= header.frames:
             raise ValueError("offsetFrame larger than file's number of frames")
         if size >= MAX_INT // header.channels:
             raise ValueError("chunkSize larger than authorized")
-        frames = header.frames - offset
-        whole, rest = divmod(frames, size)
-        if rest and last_record == "fail":
-            raise ValueError(
-                f"File {path} contains a partial last record "
-                "and PartialLastRecordAction is set to FAIL."
-            )
-        count = whole + (1 if rest and last_record != "skip" else 0)
-        if max_records is not None:
-            count = min(count, max_records)
-
-        record_bytes = size * header.frame_bytes
         origin = header.data_offset + offset * header.frame_bytes
+        record_bytes = size * header.frame_bytes
         # A record belongs to the split its first byte is in.
         low, high = row["split"] * split_bytes, (row["split"] + 1) * split_bytes
-        first = max(0, -(-(low - origin) // record_bytes))
-        last = min(count, -(-(high - origin) // record_bytes))
-        step = max(1, BATCH_SAMPLES // (size * header.channels))
-        for at in range(first, last, step):
-            n = min(step, last - at)
-            source.seek(origin + at * record_bytes)
-            raw = source.read(min(n * size, frames - at * size) * header.frame_bytes)
-            yield _batch(row, header, raw, at, n, size, offset, last_record)
+        first, last = max(0, -(-(low - origin) // record_bytes)), -(-(high - origin) // record_bytes)
+        if max_records is not None:
+            last = min(last, max_records)
+        yield from records_between(source, header, row, size, first, last, last_record, offset)
+
+
+def record_count(header, path: str, size: int, last_record: LastRecord, offset: int = 0) -> int:
+    """Records of a file under a policy for the last one."""
+    whole, rest = divmod(header.frames - offset, size)
+    if rest and last_record == "fail":
+        raise ValueError(
+            f"File {path} contains a partial last record "
+            "and PartialLastRecordAction is set to FAIL."
+        )
+    return whole + (1 if rest and last_record != "skip" else 0)
+
+
+def records_between(
+    source, header, row, size: int, first: int, last: int, last_record: LastRecord, offset: int = 0
+) -> Iterator[pa.RecordBatch]:
+    """The records ``first`` to ``last`` of an open file, as far as it has them, a bounded batch at
+    a time.
+    """
+    last = min(last, record_count(header, row["path"], size, last_record, offset))
+    frames = header.frames - offset
+    origin = header.data_offset + offset * header.frame_bytes
+    step = max(1, BATCH_SAMPLES // (size * header.channels))
+    for at in range(first, last, step):
+        n = min(step, last - at)
+        source.seek(origin + at * size * header.frame_bytes)
+        raw = source.read(min(n * size, frames - at * size) * header.frame_bytes)
+        yield _batch(row, header, raw, at, n, size, offset, last_record)
 
 
 def _batch(row, header, raw, at, n, size, offset, last_record) -> pa.RecordBatch:
