@@ -1,6 +1,8 @@
 """Worker caches of bounded size."""
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Hashable
+from types import SimpleNamespace
 
 
 class TwoGenerations(dict):
@@ -28,3 +30,21 @@ class TwoGenerations(dict):
             self.old = dict(self)
             self.clear()
         self[key] = value
+
+    def unknown(self, keys: set) -> set:
+        """The keys that neither generation has; those of the old one move up."""
+        missing = keys - self.keys()
+        older = {key: self.old[key] for key in missing & self.old.keys()}
+        for key, value in older.items():
+            self.put(key, value)
+        return missing - older.keys()
+
+
+def kept_by_worker(name: Hashable, make: Callable):
+    """``make()``, once per Python worker and name. It lives as long as the worker, over all its
+    tasks, in a module of the worker's own: functions that come with a task are made anew for each.
+    """
+    holder = sys.modules.setdefault("_sonomere_worker", SimpleNamespace(kept={}))
+    if name not in holder.kept:
+        holder.kept[name] = make()
+    return holder.kept[name]

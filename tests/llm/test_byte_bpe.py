@@ -45,6 +45,39 @@ def test_long_pieces(library, merge):
     assert merge(b"a" * 20_000) == library.encode_ordinary("a" * 20_000)
 
 
+@pytest.fixture(scope="module")
+def side_by_side():
+    return byte_bpe.SideBySide(byte_bpe.read_ranks(PATH))
+
+
+def ids_of(packed):
+    return [np.frombuffer(x, "<u4").tolist() for x in packed]
+
+
+@given(st.lists(st.one_of(st.text(alphabet="aabnthere \n漢é", max_size=140), st.text(max_size=20)), max_size=30))
+@settings(max_examples=150, deadline=None)
+def test_side_by_side(side_by_side, merge, texts):
+    """Rows of all sizes in one call; each as if merged alone."""
+    pieces = [t.encode() for t in texts]
+    assert ids_of(side_by_side(pieces)) == [merge(p) if p else [] for p in pieces]
+
+
+def test_side_by_side_batches(side_by_side, merge, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BATCH_LEAVES", 64)
+    rng = random.Random(6)
+    pieces = ["".join(rng.choices("abn tion", k=rng.randrange(1, 150))).encode() for _ in range(300)]
+    assert ids_of(side_by_side(pieces)) == [merge(p) for p in pieces]
+
+
+def test_small_caches_change_nothing(library):
+    encoder = byte_bpe.Encoder(PATH, vocabularies.PATTERN)
+    encoder.ids = byte_bpe.TwoGenerations(encoder.ids.make, entries=5, longest=6)
+    rng = random.Random(7)
+    for _ in range(20):
+        texts = [" ".join(rng.choices(["the", "nonsensical", "abc", "漢字", "x" * 300, "q1w2e3"], k=30)) for _ in range(4)]
+        assert ids_of(encoder([*texts, None, ""])) == [*map(library.encode_ordinary, texts), [], []]
+
+
 def test_documents(odd, none, library):
     found = byte_bpe.round_trip(odd, PATH, vocabularies.PATTERN).collect()
     wanted = []
