@@ -20,6 +20,8 @@ from sonomere.storage import written
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.9995
+# Hashes of a band: eleven bands of three have the recall of fifteen of four.
+ROWS = 3
 # Words of the shortest passage, and of the shortest sentence that stands for itself.
 LEAST_WORDS = 20
 SENTENCE_WORDS = 8
@@ -31,7 +33,7 @@ _LINE_END = np.arange(256) == 0x0A
 _SENTENCE_ENDS = [c.encode() for c in ".!?।॥。！？｡؟۔"]
 
 
-def tune(similarity: float, recall: float = RECALL, rows: int = 4) -> int:
+def tune(similarity: float, recall: float = RECALL, rows: int = ROWS) -> int:
     """Bands of ``rows`` hashes each that bring a pair of that similarity together with at least
     the chance ``recall``.
     """
@@ -335,7 +337,7 @@ def repeated_paragraphs(
     recall: float = RECALL,
     least_words: int = LEAST_WORDS,
     words: int = WORDS,
-    rows: int = 4,
+    rows: int = ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -347,19 +349,23 @@ def repeated_paragraphs(
     (``part`` from 1). Passages of ``least_words`` words (``part`` -n, from the nth word of the
     line on, also over line ends) are chosen so that texts with ``least_words + SPREAD - 1`` equal
     words in a row share one; they are linked if they are equal, need no sentence ends, and overlap
-    each other and the sentences: what goes is all that some removed row covers. Two are linked if the Jaccard similarity of their distinct word
-    shingles is at least ``similarity``; a component is everything reachable over links. Its first
-    place, by (doc_id, line, part), stays, with all that overlaps it; the others are ``removed``. The
-    bands of lines and sentences are tuned so that a pair at the threshold meets with the chance ``recall``; every meeting is checked on
-    the full sets. Repeated sentences are given where they make up a passage of ``least_words``
-    words in a row, also over line ends, where they are not in a line that is removed as a whole.
+    each other and the sentences: what goes is all that some removed row covers.
+
+    Two are linked if the Jaccard similarity of their distinct word shingles is at least
+    ``similarity``; a component is everything reachable over links. Its first place, by (doc_id,
+    line, part), stays, with all that overlaps it; the others are ``removed``. Lines and sentences
+    are banded by ``rows`` hashes, as often as it takes for a pair at the threshold to meet with
+    the chance ``recall``; every meeting is checked on the full sets. Repeated sentences are given
+    where they make up a passage of ``least_words`` words in a row, also over line ends, where they
+    are not in a line that is removed as a whole.
 
     Equal paragraphs are one node, named by 64 bits of their hash. Nodes of a bucket are compared
     with its pivot, and with each other where that leaves several components (see ``pairing``).
 
     Null, empty and short texts have no paragraph. Rows that share a doc_id share their places,
     so a repeated row does not remove itself; a null doc_id has no place and is left out. An empty
-    table gives an empty one; other columns are ignored.
+    table gives an empty one; other columns are ignored. A very long text is cut up whole by one
+    task; its paragraphs go their own ways from there.
     """
     source = id_and_text(docs, doc_id, text).filter("doc_id IS NOT NULL")
     bands = tune(similarity, recall, rows)
