@@ -215,7 +215,7 @@ class Encoder:
 
     @staticmethod
     def of_worker(vocabulary: str, pattern: str) -> "Encoder":
-        return kept_by_worker(("byte bpe", vocabulary, pattern), lambda: Encoder(vocabulary, pattern))
+        return kept_by_worker(f"byte bpe {vocabulary} {pattern}", lambda: Encoder(vocabulary, pattern))
 
 
 def encode(

@@ -1,8 +1,7 @@
 """Worker caches of bounded size."""
 
 import sys
-from collections.abc import Callable, Hashable
-from types import SimpleNamespace
+from collections.abc import Callable
 
 
 class TwoGenerations(dict):
@@ -40,11 +39,11 @@ class TwoGenerations(dict):
         return missing - older.keys()
 
 
-def kept_by_worker(name: Hashable, make: Callable):
+def kept_by_worker(name: str, make: Callable):
     """``make()``, once per Python worker and name. It lives as long as the worker, over all its
     tasks, in a module of the worker's own: functions that come with a task are made anew for each.
     """
-    holder = sys.modules.setdefault("_sonomere_worker", SimpleNamespace(kept={}))
-    if name not in holder.kept:
-        holder.kept[name] = make()
-    return holder.kept[name]
+    kept = vars(sys.modules.setdefault("_sonomere_worker", type(sys)("_sonomere_worker")))
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

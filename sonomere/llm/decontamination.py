@@ -197,10 +197,12 @@ def _word_shares(docs: DataFrame, items: Items) -> np.ndarray:
 
 
 def _found(docs: DataFrame, items: Items, seeds: Seeds, n: int, threshold: float, kind: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((items, seeds))
+    # Arrays alone: workers need not have these classes to read a broadcast.
+    parts = (items.ids, items.word, items.start), (seeds.key, seeds.item, seeds.at)
+    sent = docs.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, seeds = sent.value
+        items, seeds = Items(*sent.value[0]), Seeds(*sent.value[1])
         slots, size = seeds.filter(), np.diff(items.start)
         for batch in batches:
             for part in slices(batch):
@@ -254,9 +256,12 @@ def find_items(
     documents, and always the rarest few of an item. A passage that leaked into very many
     documents therefore keeps its seeds.
 
-    One row per (doc_id, item_id), the best place. An item of fewer words than a seed is found
-    only where it is the whole text; null and empty texts and items match nothing; repeated rows count once; an empty table gives
-    an empty one; other columns are ignored. Items are broadcast in blocks of ``BLOCK_BYTES``.
+    One row per (doc_id, item_id), the best place; of places with one score the first. An item of
+    fewer words than a seed is found only where it is the whole text; null and empty texts and
+    items match nothing; repeated rows count once; an empty table gives an empty one; other columns
+    are ignored. A very long text is searched whole and by one task, but only the stretches around
+    its seeds are aligned. Items are broadcast in blocks of ``BLOCK_BYTES``, and documents are read
+    twice per block: that many scans are the price of a benchmark of any size.
     """
     source = id_and_text(docs, doc_id, text)
     table = benchmark.select(

@@ -162,7 +162,8 @@ def identify(
     ``shares`` are the means over its words with a letter, ``lang_pred`` is the largest (the first
     by name of equal ones) and ``score`` its share. A text that is null or has no letter is
     ``und`` with score 0 and null shares, as is every text without a model. Repeated rows are
-    labelled each; an empty table gives an empty one; other columns are ignored.
+    labelled each; an empty table gives an empty one; other columns are ignored. A very long text is
+    one sequence, labelled whole by one task in blocks.
     """
     source = id_and_text(docs, doc_id, text)
     sent = crf.Model.sent(docs, model)

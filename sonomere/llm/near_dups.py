@@ -279,7 +279,8 @@ def near_duplicates(
     Texts with one to four words are one shingle; null, empty and white texts have none and stay
     alone. Rows that share a doc_id are one node of the graph with all their texts. A null doc_id
     cannot be linked: ``component_id`` is null and the row is kept. An empty table gives an empty
-    one; other columns are ignored.
+    one; other columns are ignored. A very long text is one sketch of fixed size; its whole set is
+    built by one task, and again where it is compared.
     """
     source = id_and_text(docs, doc_id, text)
     sketches = written(_sketches(source, shape), "sketches")

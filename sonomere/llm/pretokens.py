@@ -1,17 +1,16 @@
 """Splitting a text before byte-pair merges."""
 
 import re
-from functools import cache
 
 import regex
 
+from sonomere.llm.caches import kept_by_worker
 
 # Contractions before words: no word begins with an apostrophe, so words may be tried first.
 _CONTRACTIONS = re.compile(re.escape(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+"))
 
 
-@cache
-def _plain_and_odd(pattern: str) -> tuple[re.Pattern, re.Pattern, regex.Pattern]:
+def _plain_and_odd(pattern: str) -> tuple:
     """The pattern for ``re``, the characters on which it would differ, and the pattern itself.
 
     ``re`` has no letter and number classes, but its word class without decimal digits is the
@@ -46,7 +45,7 @@ def _character_class(characters: set[str]) -> str:
 
 def splitter(pattern: str):
     """A function from text to its pre-tokens, as ``regex`` finds them."""
-    plain, odd, slow = _plain_and_odd(pattern)
+    plain, odd, slow = kept_by_worker(f"patterns {pattern}", lambda: _plain_and_odd(pattern))
 
     def split(text: str) -> list[str]:
         return (slow if odd.search(text) else plain).findall(text)

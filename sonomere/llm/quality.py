@@ -278,7 +278,8 @@ def judge(
 
     Null, empty and white texts have no words: they fail the base rules, with content share 0.
     Without a model every line is content. Repeated rows are judged each; an empty table gives an
-    empty one; other columns are ignored.
+    empty one; other columns are ignored. A very long text is judged whole by one task; of labellings
+    of equal chance the one with boilerplate earlier counts.
     """
     source = id_and_text(docs, doc_id, text)
     sent = crf.Model.sent(docs, model)

@@ -269,7 +269,8 @@ def replace_entities(
     Digits, letters, case, script and separators stay in form; given names follow the title's
     gender; valid card numbers stay valid. Null text stays null; a text without an entity is
     returned as it is, without a shuffle; repeated rows are replaced each; an empty table gives
-    an empty one; other columns are ignored.
+    an empty one; other columns are ignored. A very long text is searched and rewritten whole by one
+    task. Names without a title before them in the same place are not found (README).
     """
     source = id_and_text(docs, doc_id, text)
     kind = source.schema["doc_id"].dataType.simpleString()

@@ -123,7 +123,9 @@ def count_tokens(
 
     Null and empty texts have no bytes and no tokens; repeated rows are counted each; an empty
     table gives an empty one; other columns are ignored. The first tier holds ``k`` pre-tokens
-    found over all documents and is broadcast; misses are encoded once per worker while cached.
+    found over all documents, of those of up to 32 characters, and is broadcast; misses, longer ones
+    among them, are encoded once per worker while cached. A very long text is counted whole, pre-token
+    by pre-token, where it is read.
     """
     source = id_and_text(docs, doc_id, text)
     count = PieceCounter(model)

@@ -15,7 +15,7 @@ All integers are little-endian.
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from tokenizers import Tokenizer
 
 from sonomere.llm import token_runs
 from sonomere.llm.batches import id_and_text, slices
+from sonomere.llm.caches import kept_by_worker
 
 BLOCK_IDS = 1 << 19
 # Replacement rounds of a block, the least uses of a rule, and the share of symbols that a round
@@ -77,22 +78,27 @@ class Encoder:
         return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each])
 
 
-@cache
 def worker_encoder(vocabulary: str) -> Encoder:
     """The encoder of this worker process: its table serves all tasks that run there."""
-    return Encoder(vocabulary)
+    return kept_by_worker(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
 
 
-def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(
+    ids: np.ndarray, first_rule: int, rounds: int | None = ROUNDS, least_saved: float = LEAST_SAVED
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: ``(body, rules, lengths)``.
 
     A round counts all neighbouring pairs, takes every pair with enough uses, and replaces them
     from left to right without overlap; a pair whose uses overlapped away keeps its symbols.
+
+    It ends after ``rounds``, or when a round would save less than ``least_saved`` of the symbols,
+    so some pairs with ``LEAST_USES`` uses may be left. With ``rounds`` None and ``least_saved`` 0
+    it goes on until none is, which takes several times as long and saves little (README).
     """
     symbols = ids.astype(np.int64)
     rules = [np.empty((0, 2), np.int64)]
     n_rules, size = 0, np.empty(0, np.int64)
-    for _ in range(ROUNDS):
+    for _ in range(rounds) if rounds is not None else count():
         if len(symbols) < 2 * LEAST_USES:
             break
         pair = symbols[:-1] << 32 | symbols[1:]
@@ -105,7 +111,7 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         # Of pairs whose neighbours were taken first, too few uses may be left for a rule.
         left = np.bincount(which[at], minlength=len(keys))
         at = at[left[which[at]] >= LEAST_USES]
-        if len(at) < LEAST_SAVED * len(symbols):
+        if len(at) < max(1, least_saved * len(symbols)):
             break
         taken = np.flatnonzero(left >= LEAST_USES)
         number = np.zeros(len(keys), np.int64)

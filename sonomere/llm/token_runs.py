@@ -1,11 +1,10 @@
 """Pre-tokens of many texts and their ids as arrays, without a Python object per pre-token."""
 
-from functools import cache
-
 import numpy as np
 import regex
 
 from sonomere.llm.batches import hashes
+from sonomere.llm.caches import kept_by_worker
 
 #: The one pattern these arrays follow: contractions, then runs of letters, numbers and other
 #: characters with a space before them, then white space.
@@ -14,7 +13,6 @@ LETTER, NUMBER, OTHER, SPACE = range(4)
 _BLANK, _APOSTROPHE = ord(" "), ord("'")
 
 
-@cache
 def _classes() -> np.ndarray:
     """The class of every code point."""
     out = np.full(0x110000, OTHER, np.uint8)
@@ -35,7 +33,7 @@ def runs(point: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     if not len(point):
         return np.empty(0, np.int64), np.empty(0, np.uint8)
-    kind = _classes()[point]
+    kind = kept_by_worker("classes", _classes)[point]
     opens = np.zeros(len(point) + 1, bool)  # where a text begins
     opens[edges] = True
     change = np.ones(len(point), bool)

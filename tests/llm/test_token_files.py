@@ -94,3 +94,18 @@ def test_a_full_table_starts_anew():
     for at in range(0, len(texts), 2):
         wanted = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts[at : at + 2]]
         assert [x.tolist() for x in encoder(texts[at : at + 2])] == wanted
+
+
+def test_grammar_to_the_end():
+    """Without stop rules no pair is left that could be used often enough."""
+    rng = np.random.default_rng(3)
+    block = np.tile(rng.integers(0, 5000, 4096), 128)
+    few = rng.integers(0, 3, 20_000)
+    for ids in (block, few, np.zeros(5000, np.int64), np.arange(100)):
+        body, rules, lengths = token_files.compress(ids, 6000, None, 0.0)
+        assert np.array_equal(token_files.expand(body, rules, 6000), ids)
+        pair = body[:-1] << 32 | body[1:]
+        for key, uses in zip(*np.unique(pair, return_counts=True)):
+            at = np.flatnonzero(pair == key)
+            apart = len(token_files._apart(at))
+            assert uses < token_files.LEAST_USES or apart < token_files.LEAST_USES
