@@ -144,11 +144,13 @@ class Model:
     labels: list
     weights: np.ndarray
     transition: np.ndarray
+    # What features need besides: plain arrays and lists.
+    extra: tuple = ()
 
     @staticmethod
     def sent(docs: DataFrame, model: "Model | None"):
         """A broadcast of the parts of a model. Workers need not have this class to read it."""
-        parts = None if model is None else (model.labels, model.weights, model.transition)
+        parts = None if model is None else _parts(model)
         return docs.sparkSession.sparkContext.broadcast(parts)
 
     @staticmethod
@@ -156,6 +158,10 @@ class Model:
         return None if parts is None else Model(*parts)
 
 
+def _parts(model: Model) -> tuple:
+    return model.labels, model.weights, model.transition, model.extra
+
+
 def fit_in_a_task(sample: DataFrame, fit: Callable[[pa.Table], Model | None]) -> Model | None:
     """``fit`` on a sample whose size its maker has bounded, by one task. The driver sees the model
     alone; neither the texts nor what training takes stay in its memory.
@@ -165,7 +171,7 @@ def fit_in_a_task(sample: DataFrame, fit: Callable[[pa.Table], Model | None]) ->
         parts = [b for b in batches if b.num_rows]
         model = fit(pa.Table.from_batches(parts)) if parts else None
         if model is not None:
-            data = pickle.dumps((model.labels, model.weights, model.transition))
+            data = pickle.dumps(_parts(model))
             yield pa.RecordBatch.from_pydict({"model": pa.array([data], pa.binary())})
 
     row = sample.repartition(1).mapInArrow(run, "model binary").first()

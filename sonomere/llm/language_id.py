@@ -1,6 +1,7 @@
 """Language of every word in a text by a conditional random field, and so of the text."""
 
 from collections.abc import Iterable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,12 @@ LONGEST_TRAINING_TEXT = 100_000
 STRETCH = (4, 60)
 SEQUENCE = crf.BLOCK
 
+# The lexicon: words at most, the least uses of one over all texts learnt from, and the share of its
+# uses that must be in one language.
+LEXICON_WORDS = 1 << 16
+LEXICON_USES = 3
+LEXICON_SHARE = 0.8
+
 _BITS = 18
 # Features of a slice take about a hundred times its bytes.
 _SLICE = 1 << 19
@@ -33,15 +40,73 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (mix(h) >> np.uint64(64 - _BITS)).astype(np.int32)
 
 
-def features(column: pa.Array) -> tuple[crf.Features, np.ndarray, np.ndarray]:
-    """``(features, row, has a letter)`` of all words: the word itself, what it begins and ends
-    with, and its byte trigrams. A-Z count as a-z.
+# A lexicon is ``(hashes of words in order, number of the language of each, names of languages)``.
+Lexicon = tuple[np.ndarray, np.ndarray, list[str]]
+NO_LEXICON: Lexicon = (np.empty(0, np.uint64), np.empty(0, np.int64), [])
+
+
+def lexicon(labelled: DataFrame, entries: int = LEXICON_WORDS) -> Lexicon:
+    """Words that belong to one language, from ``(lang, text)`` of all texts that may be learnt from.
+
+    Words are counted per language over the whole table, partially in every task; the ``entries``
+    most frequent of those with ``LEXICON_USES`` uses, ``LEXICON_SHARE`` of them in one language,
+    come to the driver. A-Z count as a-z; null texts and languages count nothing; of words with equal
+    counts those with the least hash are taken.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                data, offsets = flat(part.column(1))
+                start, end, row = spans(data, offsets)
+                codes = part.column(0).dictionary_encode()
+                lang = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                word = hashes(data, start, end)
+                order = np.lexsort((word, lang[row]))
+                word, of = word[order], lang[row][order]
+                new = np.ones(len(word), bool)
+                new[1:] = (word[1:] != word[:-1]) | (of[1:] != of[:-1])
+                first = np.flatnonzero(new)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(word[first].view(np.int64)), codes.dictionary.take(pa.array(of[first])),
+                        pa.array(np.diff(np.append(first, len(word)))),
+                    ],
+                    ["word", "lang", "n"],
+                )
+
+    known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    counts = known.mapInArrow(run, "word bigint, lang string, n bigint")
+    counts = counts.groupBy("word", "lang").agg(F.sum("n").alias("n")).groupBy("word")
+    counts = counts.agg(F.sum("n").alias("n"), F.max(F.struct("n", "lang")).alias("top"))
+    own = counts.filter(
+        (F.col("n") >= LEXICON_USES) & (F.col("top.n") >= F.lit(LEXICON_SHARE) * F.col("n"))
+    )
+    table = own.orderBy(F.desc("n"), "word").limit(entries).select("word", "top.lang").toArrow()
+    words = table.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    names = sorted(set(table.column(1).to_pylist()))
+    number = {name: i for i, name in enumerate(names)}
+    code = np.array([number[x] for x in table.column(1).to_pylist()], np.int64)
+    order = np.argsort(words)
+    return words[order], code[order], names
+
+
+def features(
+    column: pa.Array, known: Lexicon = NO_LEXICON
+) -> tuple[crf.Features, np.ndarray, np.ndarray]:
+    """``(features, row, has a letter)`` of all words: the word itself, the language it has in the
+    lexicon, what it begins and ends with, and its byte trigrams. A-Z count as a-z.
     """
     data, offsets = flat(column)
     start, end, row = spans(data, offsets)
     low = _LOWER[data].astype(np.uint64)
     size = end - start
-    fixed = [_slot(hashes(data, start, end))]
+    word = hashes(data, start, end)
+    owner = np.zeros(len(word), np.uint64)
+    if len(known[0]):
+        at = np.minimum(np.searchsorted(known[0], word), len(known[0]) - 1)
+        owner = np.where(known[0][at] == word, known[1][at] + 1, 0).astype(np.uint64)
+    fixed = [_slot(word), _slot(owner + np.uint64(1 << 50))]
     for n in _AFFIXES:
         for side, first in ((1, start), (2, np.maximum(end - n, start))):
             key = np.full(len(start), side * 8 + n, np.uint64)
@@ -85,7 +150,7 @@ def training_sample(
     return usable.join(F.broadcast(chosen), "doc_id").select("lang", "text")
 
 
-def fit(sample: pa.Table, seed: int = 7) -> crf.Model | None:
+def fit(sample: pa.Table, seed: int = 7, known: Lexicon = NO_LEXICON) -> crf.Model | None:
     """Train on sequences that switch between the texts of a sample."""
     sample = sample.sort_by([("lang", "ascending"), ("text", "ascending")])
     labels = sorted(set(sample.column("lang").to_pylist()))
@@ -94,7 +159,7 @@ def fit(sample: pa.Table, seed: int = 7) -> crf.Model | None:
     parts, rows, n_rows = [], [], 0
     for batch in sample.to_batches():
         for part in slices(batch, sample.column_names.index("text"), _SLICE // 2):
-            found, row, _ = features(part.column("text"))
+            found, row, _ = features(part.column("text"), known)
             parts.append(found)
             rows.append(row + n_rows)
             n_rows += part.num_rows
@@ -116,7 +181,8 @@ def fit(sample: pa.Table, seed: int = 7) -> crf.Model | None:
     size = np.diff(cuts)[order]
     at = np.repeat(cuts[:-1][order], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     edges = np.append(np.arange(0, len(at), SEQUENCE), len(at))
-    return crf.train(found, label[at], edges, labels, 1 << _BITS, seed=seed, position=at)
+    model = crf.train(found, label[at], edges, labels, 1 << _BITS, seed=seed, position=at)
+    return replace(model, extra=known)
 
 
 def learn(
@@ -126,19 +192,21 @@ def learn(
     """A model from the ``usable`` rows of labelled documents; None without any label.
 
     The sample is bounded by ``per_language`` texts of each language; its hash order does not
-    depend on how the table is stored.
+    depend on how the table is stored. The lexicon counts the words of all usable rows.
     """
     source = docs.filter(usable).select(
         F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"),
         F.col(text).cast("string").alias("text"),
     )
-    return crf.fit_in_a_task(training_sample(source, per_language).select("lang", "text"), fit)
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon(source))
+    sample = training_sample(source, per_language).select("lang", "text")
+    return crf.fit_in_a_task(sample, lambda table: fit(table, known=sent.value))
 
 
 def _labelled(model: crf.Model | None, texts: pa.Array):
     """``(share of each language, whether there is a letter, words)`` of some texts."""
     n = len(texts)
-    found, row, letter = features(texts)
+    found, row, letter = features(texts, model.extra or NO_LEXICON if model else NO_LEXICON)
     mass = np.zeros((n, len(model.labels) if model else 1))
     if model:
         edges = np.searchsorted(row, np.arange(n + 1))
