@@ -15,7 +15,6 @@ All integers are little-endian.
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +28,8 @@ from sonomere.llm.batches import id_and_text, slices
 from sonomere.llm.caches import kept_by_worker
 
 BLOCK_IDS = 1 << 19
-# Replacement rounds of a block, the least uses of a rule, and the share of symbols that a round
-# has to save for another one.
-ROUNDS = 10
+# The least uses of a rule.
 LEAST_USES = 4
-LEAST_SAVED = 0.02
 
 _COLUMNS = (
     "shard int, block int, start bigint, n_ids bigint, doc_ids array<{kind}>, "
@@ -83,35 +79,32 @@ def worker_encoder(vocabulary: str) -> Encoder:
     return kept_by_worker(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
 
 
-def compress(
-    ids: np.ndarray, first_rule: int, rounds: int | None = ROUNDS, least_saved: float = LEAST_SAVED
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: ``(body, rules, lengths)``.
 
     A round counts all neighbouring pairs, takes every pair with enough uses, and replaces them
-    from left to right without overlap; a pair whose uses overlapped away keeps its symbols.
-
-    It ends after ``rounds``, or when a round would save less than ``least_saved`` of the symbols,
-    so some pairs with ``LEAST_USES`` uses may be left. With ``rounds`` None and ``least_saved`` 0
-    it goes on until none is, which takes several times as long and saves little (README).
+    from left to right without overlap; a pair whose uses overlapped away keeps its symbols. Rounds
+    go on until no pair is left that could be used ``LEAST_USES`` times.
     """
     symbols = ids.astype(np.int64)
     rules = [np.empty((0, 2), np.int64)]
     n_rules, size = 0, np.empty(0, np.int64)
-    for _ in range(rounds) if rounds is not None else count():
-        if len(symbols) < 2 * LEAST_USES:
-            break
+    while len(symbols) >= 2 * LEAST_USES:
         pair = symbols[:-1] << 32 | symbols[1:]
-        keys, uses = np.unique(pair, return_counts=True)
+        # Few pairs share a slot with enough others to be counted.
+        slot = _slot(pair)
+        often = np.bincount(slot, minlength=1 << 20)[slot] >= LEAST_USES
+        places = np.flatnonzero(often)
+        keys, uses = np.unique(pair[places], return_counts=True)
         keys = keys[uses >= LEAST_USES]
         if not len(keys):
             break
-        which = _find(pair, keys)
-        at = _apart(np.flatnonzero(which >= 0))
-        # Of pairs whose neighbours were taken first, too few uses may be left for a rule.
-        left = np.bincount(which[at], minlength=len(keys))
-        at = at[left[which[at]] >= LEAST_USES]
-        if len(at) < max(1, least_saved * len(symbols)):
+        which = _find(pair, keys, slot, places)
+        at, left = _uses(which, len(keys))
+        if not len(at):
+            which = _find_each(pair, keys)
+            at, left = np.flatnonzero(which >= 0), np.bincount(which[which >= 0], minlength=len(keys))
+        if not len(at):
             break
         taken = np.flatnonzero(left >= LEAST_USES)
         number = np.zeros(len(keys), np.int64)
@@ -127,19 +120,52 @@ def compress(
     return symbols, np.concatenate(rules), size
 
 
-def _find(pair: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of every pair in ``keys``, or -1. Of keys that share a slot of the table one is
-    found; the others wait for the next round.
+def _uses(which: np.ndarray, n_keys: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where pairs are replaced, and how often each key is used."""
+    at = _apart(np.flatnonzero(which >= 0))
+    # Of pairs whose neighbours were taken first, too few uses may be left for a rule.
+    left = np.bincount(which[at], minlength=n_keys)
+    return at[left[which[at]] >= LEAST_USES], left
+
+
+def _find(pair: np.ndarray, keys: np.ndarray, slot: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Position of every pair in ``keys``, or -1; only those at ``places`` can be there. Where these
+    are many, a table of slots is asked: of keys that share one a single one is found, and the
+    others wait for the next round.
     """
+    if 8 * len(places) < len(pair):
+        which = np.full(len(pair), -1, np.int32)
+        at = np.minimum(np.searchsorted(keys, pair[places]), len(keys) - 1)
+        which[places] = np.where(keys[at] == pair[places], at, -1)
+        return which
     slots = np.full(1 << 20, -1, np.int32)
     slots[_slot(keys)] = np.arange(len(keys), dtype=np.int32)
-    which = slots[_slot(pair)]
+    which = slots[slot]
     which[(which >= 0) & (keys[which] != pair)] = -1
     return which
 
 
+def _find_each(pair: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Position of pairs in ``keys``, or -1, key after key: each takes the places that those before
+    it left, if they are enough. Pairs that take each other's uses away do not hide one another.
+    """
+    which = np.full(len(pair), -1, np.int64)
+    free = np.ones(len(pair) + 1, bool)  # symbols
+    at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+    places = np.flatnonzero(keys[at] == pair)
+    order = places[np.argsort(at[places], kind="stable")]
+    edges = np.searchsorted(at[order], np.arange(len(keys) + 1))
+    for key in range(len(keys)):
+        mine = order[edges[key] : edges[key + 1]]
+        mine = _apart(mine[free[mine] & free[mine + 1]])
+        if len(mine) >= LEAST_USES:
+            which[mine] = key
+            free[mine] = free[mine + 1] = False
+    return which
+
+
 def _slot(pair: np.ndarray) -> np.ndarray:
-    return pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)
+    return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
 
 
 def _apart(at: np.ndarray) -> np.ndarray:

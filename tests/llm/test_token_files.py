@@ -97,12 +97,13 @@ def test_a_full_table_starts_anew():
 
 
 def test_grammar_to_the_end():
-    """Without stop rules no pair is left that could be used often enough."""
+    """No pair is left that could be used often enough."""
     rng = np.random.default_rng(3)
     block = np.tile(rng.integers(0, 5000, 4096), 128)
     few = rng.integers(0, 3, 20_000)
-    for ids in (block, few, np.zeros(5000, np.int64), np.arange(100)):
-        body, rules, lengths = token_files.compress(ids, 6000, None, 0.0)
+    odd = [rng.integers(0, k, n) for k in (1, 2, 4, 9) for n in (7, 8, 50, 600)]
+    for ids in (block, few, np.zeros(5000, np.int64), np.arange(100), *odd):
+        body, rules, lengths = token_files.compress(ids, 6000)
         assert np.array_equal(token_files.expand(body, rules, 6000), ids)
         pair = body[:-1] << 32 | body[1:]
         for key, uses in zip(*np.unique(pair, return_counts=True)):
