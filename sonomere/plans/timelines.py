@@ -23,7 +23,6 @@ from sonomere.plans.workflows import WelchSpl
 from sonomere.storage import new_path
 from sonomere.streaming.levels import levels_by_window
 from sonomere.streaming.records import stream_records, write_stream
-from sonomere.streaming.samples import cut_record_stream
 
 # Appends that an arriving table is dealt into.
 ARRIVALS = 4
@@ -65,8 +64,9 @@ def welch_spl_samples(spark: SparkSession, sf: str) -> DataFrame:
     jitter = F.pmod(F.xxhash64("l_suppkey", "frame"), F.lit(200))
     when = F.least(F.floor((F.col("frame") + jitter) / 250), F.lit(ARRIVALS - 1))
     stream = arriving(samples, when, {"frame": 10**12}, F.pmod(F.xxhash64("frame"), F.lit(7)) == 0)
-    records = cut_record_stream(stream, ["l_suppkey"], 128, FS, "30 seconds", last_record="fill")
-    features = WelchSpl(2.0, 32, 16, 32)(records, FS)
+    features = WelchSpl(2.0, 32, 16, 32).of_samples(
+        stream, ["l_suppkey"], FS, last_record="fill", delay="30 seconds"
+    )
     return _feature_rows(_flat_spl(to_end(features)), RECORD)
 
 

@@ -8,7 +8,7 @@ computed where samples are decoded, and samples never reach the JVM. Either way
 one narrow stage without a shuffle.
 """
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from sonomere.functions.bands import Bands, mean_levels_kernel
 from sonomere.functions.levels import calibrate, spl_psd
 from sonomere.functions.spectral import NESTED_VECTORS, VECTORS, Windowing, per_vector
-from sonomere.operators.frames import LastRecord
-from sonomere.sources.wav import read_wav_features
+from sonomere.operators.frames import LastRecord, cut_records
+from sonomere.sources.wav import read_wav_features, record_size_in_frames
 from sonomere.storage import written
+from sonomere.streaming.samples import cut_record_stream
 
 Kernels = dict[str, Callable[[np.ndarray], np.ndarray]]
 
@@ -84,6 +85,31 @@ class Workflow:
         features = self.derived(records.withColumns(found), nested).select(*keys, *self.results)
         return _sorted(features, self.results) if sort else features
 
+    def of_samples(
+        self,
+        samples: DataFrame,
+        keys: Sequence[str],
+        fs: float,
+        value: str = "x",
+        last_record: LastRecord = "skip",
+        calibration: float = 0.0,
+        delay: str | None = None,
+    ) -> DataFrame:
+        """Features of the records of numbered samples ``(*keys, frame, value)``, of a table or of a
+        stream. On a stream samples may come in any order within ``delay`` (``cut_record_stream``),
+        and the features are those of the table that it will have been.
+        """
+        size = record_size_in_frames(fs, self.segment_duration)
+        if samples.isStreaming:
+            if delay is None:
+                raise ValueError("A stream needs a delay, after which no sample is waited for")
+            records = cut_record_stream(samples, keys, size, fs, delay, value, last_record=last_record)
+        else:
+            records = cut_records(samples, keys, size, {"samples": value}, last_record)
+            micros = (F.col("record_idx") * F.lit(size * 1e6 / fs)).cast("bigint")
+            records = records.withColumn("timestamp", F.timestamp_micros(micros))
+        return self(records, fs, calibration=calibration)
+
     def of_recordings(
         self,
         spark: SparkSession,

@@ -67,7 +67,12 @@ def test_shuffled_and_repeated_samples_make_the_records_of_a_table(spark, tmp_pa
 
 def test_timestamps_and_features(spark, tmp_path):
     rows = signal("a", 64)
-    build = lambda s: WelchSpl(2.0, 4, 2, 4)(
+    workflow = WelchSpl(2.0, 4, 2, 4)
+    whole = workflow.of_samples(spark.createDataFrame(rows, SAMPLES), ["channel"], FS).collect()
+    (tmp_path / "plain").mkdir()
+    plain = Feed(spark, tmp_path / "plain", SAMPLES, lambda s: workflow.of_samples(s, ["channel"], FS, delay="1 hour"))
+    assert sorted(plain.add(rows[32:]).add(rows[:32]).run()) == sorted(whole)
+    build = lambda s: workflow(
         cut_record_stream(s, ["channel"], SIZE, FS, "1 hour", origin="2020-05-01 10:00:00"), FS
     )
     found = Feed(spark, tmp_path, SAMPLES, build).add(rows[::-1]).run()
