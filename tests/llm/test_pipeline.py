@@ -60,7 +60,7 @@ def test_queries_are_registered(spark):
     import __spark_entry__ as contract
 
     names = contract.queries().keys()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) <= set(names)
 
 
