@@ -89,93 +89,92 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
     symbols = ids.astype(np.int64)
     rules = [np.empty((0, 2), np.int64)]
     n_rules, size = 0, np.empty(0, np.int64)
+    # Where a pair begins that may have enough uses: after a round, one with a new symbol, or one that
+    # had enough and was not replaced. Uses of all others can only have become fewer.
+    again = np.ones(len(symbols), bool)
     while len(symbols) >= 2 * LEAST_USES:
-        pair = symbols[:-1] << 32 | symbols[1:]
-        # Few pairs share a slot with enough others to be counted.
-        slot = _slot(pair)
-        often = np.bincount(slot, minlength=1 << 20)[slot] >= LEAST_USES
-        places = np.flatnonzero(often)
-        keys, uses = np.unique(pair[places], return_counts=True)
+        places = np.flatnonzero(again[:-1])
+        pair = symbols[places] << 32 | symbols[places + 1]
+        keys, uses = np.unique(pair, return_counts=True)
         keys = keys[uses >= LEAST_USES]
         if not len(keys):
             break
-        which = _find(pair, keys, slot, places)
-        at, left = _uses(which, len(keys))
-        if not len(at):
-            which = _find_each(pair, keys)
-            at, left = np.flatnonzero(which >= 0), np.bincount(which[which >= 0], minlength=len(keys))
-        if not len(at):
-            break
-        taken = np.flatnonzero(left >= LEAST_USES)
+        which, maybe = _find(pair, keys)
+        # Of pairs whose neighbours were taken first, too few uses may be left for a rule.
+        some = np.flatnonzero(which >= 0)
+        chosen = some[_every_other(places[some])]
+        left = np.bincount(which[chosen], minlength=len(keys))
+        chosen = chosen[left[which[chosen]] >= LEAST_USES]
+        if not len(chosen):
+            which, maybe = _find(pair, keys, exact=True)
+            chosen = _key_after_key(places, which, len(keys), len(symbols))
+            if not len(chosen):
+                break
+        at, which_at = places[chosen], which[chosen]
+        taken = np.flatnonzero(np.bincount(which_at, minlength=len(keys)))
         number = np.zeros(len(keys), np.int64)
         number[taken] = first_rule + n_rules + np.arange(len(taken))
         new = np.stack([keys[taken] >> 32, keys[taken] & 0xFFFFFFFF], 1)
         size = np.concatenate([size, _lengths(new, size, first_rule)])
         rules.append(new)
         n_rules += len(taken)
-        symbols[at] = number[which[at]]
+        symbols[at] = number[which_at]
+        again[:] = False
+        again[places[maybe]] = again[at] = again[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
+        symbols, again = symbols[keep], again[keep]
     return symbols, np.concatenate(rules), size
 
 
-def _uses(which: np.ndarray, n_keys: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where pairs are replaced, and how often each key is used."""
-    at = _apart(np.flatnonzero(which >= 0))
-    # Of pairs whose neighbours were taken first, too few uses may be left for a rule.
-    left = np.bincount(which[at], minlength=n_keys)
-    return at[left[which[at]] >= LEAST_USES], left
-
-
-def _find(pair: np.ndarray, keys: np.ndarray, slot: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Position of every pair in ``keys``, or -1; only those at ``places`` can be there. Where these
-    are many, a table of slots is asked: of keys that share one a single one is found, and the
-    others wait for the next round.
+def _find(pair: np.ndarray, keys: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Position of every pair in ``keys``, or -1, and where a pair may be one of them. Many pairs are
+    looked up in a table of slots: of keys that share one a single one is found, and the others wait
+    for the next round.
     """
-    if 8 * len(places) < len(pair):
-        which = np.full(len(pair), -1, np.int32)
-        at = np.minimum(np.searchsorted(keys, pair[places]), len(keys) - 1)
-        which[places] = np.where(keys[at] == pair[places], at, -1)
-        return which
-    slots = np.full(1 << 20, -1, np.int32)
+    if exact or len(pair) < 1 << 15:
+        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        which = np.where(keys[at] == pair, at, -1)
+        return which, which >= 0
+    slots = np.full(1 << 18, -1, np.int32)
     slots[_slot(keys)] = np.arange(len(keys), dtype=np.int32)
-    which = slots[slot]
-    which[(which >= 0) & (keys[which] != pair)] = -1
-    return which
+    which = slots[_slot(pair)]
+    maybe = which >= 0
+    which[maybe & (keys[which] != pair)] = -1
+    return which, maybe
 
 
-def _find_each(pair: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of pairs in ``keys``, or -1, key after key: each takes the places that those before
-    it left, if they are enough. Pairs that take each other's uses away do not hide one another.
+def _slot(pair: np.ndarray) -> np.ndarray:
+    return pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)
+
+
+def _key_after_key(places: np.ndarray, which: np.ndarray, n_keys: int, n: int) -> np.ndarray:
+    """Which of the places to replace, if pairs take each other's uses away: key after key takes what
+    those before it left, where that is enough.
     """
-    which = np.full(len(pair), -1, np.int64)
-    free = np.ones(len(pair) + 1, bool)  # symbols
-    at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-    places = np.flatnonzero(keys[at] == pair)
-    order = places[np.argsort(at[places], kind="stable")]
-    edges = np.searchsorted(at[order], np.arange(len(keys) + 1))
-    for key in range(len(keys)):
+    free = np.ones(n, bool)
+    order = np.argsort(which, kind="stable")  # places of no key come first
+    edges = np.searchsorted(which[order], np.arange(n_keys + 1))
+    chosen = [np.empty(0, np.int64)]
+    for key in range(n_keys):
         mine = order[edges[key] : edges[key + 1]]
-        mine = _apart(mine[free[mine] & free[mine + 1]])
+        at = places[mine]
+        mine = mine[free[at] & free[at + 1]]
+        mine = mine[_every_other(places[mine])]
         if len(mine) >= LEAST_USES:
-            which[mine] = key
-            free[mine] = free[mine + 1] = False
-    return which
-
-
-def _slot(pair: np.ndarray) -> np.ndarray:
-    return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+            chosen.append(mine)
+            free[places[mine]] = free[places[mine] + 1] = False
+    return np.sort(np.concatenate(chosen))
 
 
-def _apart(at: np.ndarray) -> np.ndarray:
+def _every_other(at: np.ndarray) -> np.ndarray:
     """Every other one of each run of consecutive positions, from its first."""
     if not len(at):
-        return at
+        return np.empty(0, bool)
     begins = np.ones(len(at), bool)
     begins[1:] = np.diff(at) > 1
     first = np.maximum.accumulate(np.where(begins, at, 0))
-    return at[(at - first) % 2 == 0]
+    return (at - first) % 2 == 0
 
 
 def _lengths(pairs: np.ndarray, size: np.ndarray, first_rule: int) -> np.ndarray:
