@@ -49,7 +49,8 @@ class Encoder:
         self.table = token_runs.IdTable()
 
     def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        # The same ids as of ``encode``, without its offsets into the text.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         plain = ["" if not t or any(s in t for s in self.special) else t for t in texts]
@@ -184,19 +185,41 @@ def _lengths(pairs: np.ndarray, size: np.ndarray, first_rule: int) -> np.ndarray
     return one.sum(axis=1)
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """Ids that a run of symbols stands for: all rules in it are replaced at once, then again."""
-    while len(rules):
-        is_rule = symbols >= first_rule
-        if not is_rule.any():
-            break
-        to = np.cumsum(1 + is_rule) - 1
-        out = np.empty(int(to[-1]) + 1, np.int64)
-        out[to] = symbols
-        pairs = rules[symbols[is_rule] - first_rule]
-        out[to[is_rule] - 1], out[to[is_rule]] = pairs[:, 0], pairs[:, 1]
-        symbols = out
-    return symbols
+def _rule_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
+    """Ids that each rule stands for; a rule holds only rules before it."""
+    out = []
+    for a, b in rules.tolist():
+        out.append(sum(out[x - first_rule] if x >= first_rule else 1 for x in (a, b)))
+    return np.array(out, np.int64)
+
+
+def expand(
+    symbols: np.ndarray, rules: np.ndarray, first_rule: int, lengths: np.ndarray | None = None
+) -> np.ndarray:
+    """Ids that a run of symbols stands for: each rule's pair goes where the rule begins, and all
+    rules in these pairs are replaced next.
+    """
+    if lengths is None:
+        lengths = _rule_lengths(rules, first_rule)
+
+    def size(x: np.ndarray) -> np.ndarray:
+        out = np.ones(len(x), np.int64)
+        rule = np.flatnonzero(x >= first_rule)
+        out[rule] = lengths[x[rule] - first_rule]
+        return out
+
+    each = size(symbols)
+    at = np.cumsum(each) - each
+    out = np.empty(int(each.sum()), np.int64)
+    while True:
+        rule = symbols >= first_rule
+        out[at[~rule]] = symbols[~rule]
+        if not rule.any():
+            return out
+        left, right = rules[symbols[rule] - first_rule].T
+        at = at[rule]
+        at = np.concatenate([at, at + size(left)])
+        symbols = np.concatenate([left, right])
 
 
 class Block:
@@ -206,10 +229,10 @@ class Block:
         self.first_rule = first_rule
         self.rules = np.frombuffer(rules, "<u4").reshape(-1, 2).astype(np.int64)
         self.body = np.frombuffer(body, f"<u{width}").astype(np.int64)
-        size = np.frombuffer(lengths, "<u4").astype(np.int64)
+        self.lengths = np.frombuffer(lengths, "<u4").astype(np.int64)
         each = np.ones(len(self.body), np.int64)
         is_rule = self.body >= first_rule
-        each[is_rule] = size[self.body[is_rule] - first_rule]
+        each[is_rule] = self.lengths[self.body[is_rule] - first_rule]
         self.stops = np.cumsum(each)
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -221,7 +244,7 @@ class Block:
         first = int(np.searchsorted(self.stops, start, "right"))
         last = int(np.searchsorted(self.stops, stop, "left"))
         skipped = start - (int(self.stops[first - 1]) if first else 0)
-        found = expand(self.body[first : last + 1], self.rules, self.first_rule)
+        found = expand(self.body[first : last + 1], self.rules, self.first_rule, self.lengths)
         return found[skipped : skipped + stop - start].astype("<u4")
 
 
@@ -300,7 +323,8 @@ def _with_start(files: DataFrame) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = files.groupBy("shard").agg(F.sum("n_ids").alias("__n"))
     shards = shards.select("shard", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return files.join(shards, "shard").withColumn("start", F.col("start") + F.col("__before"))
+    # Shards are as few as tasks; blocks stay where they are read.
+    return files.join(F.broadcast(shards), "shard").withColumn("start", F.col("start") + F.col("__before"))
 
 
 def read_token_files(

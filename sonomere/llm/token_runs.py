@@ -79,22 +79,45 @@ class IdTable:
         self.key = np.empty(0, np.uint64)
         self.where = np.empty((0, 2), np.int64)  # first id and number of ids
         self.ids = np.empty(0, np.uint32)
+        # Rows by the upper bits of their key, or in the next free slot; a quarter is used at most.
+        self.bits = max(4 * self.entries - 1, 1).bit_length()
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, key: np.ndarray) -> np.ndarray:
         """The row of each key, -1 if unknown."""
         if not len(self.key):
             return np.full(len(key), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, at, -1)
+        slot = self._slot(key)
+        row = self.slots[slot].astype(np.int64)
+        left = np.flatnonzero((row >= 0) & (self.key[row] != key))
+        while len(left):
+            slot[left] = slot[left] + 1 & len(self.slots) - 1
+            row[left] = self.slots[slot[left]]
+            left = left[(row[left] >= 0) & (self.key[row[left]] != key[left])]
+        return row
 
     def add(self, key: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Keys that are not there yet, each once."""
         if len(self.key) + len(key) > self.entries:
             self._empty()
+        # More keys at once than entries: the slots grow with them.
+        if len(key) > self.entries:
+            self.bits = (4 * len(key) - 1).bit_length()
+            self.slots = np.full(1 << self.bits, -1, np.int32)
         first = len(self.ids) + np.cumsum(count) - count
+        row = (len(self.key) + np.arange(len(key))).astype(np.int32)
         self.ids = np.concatenate([self.ids, ids])
-        at = np.searchsorted(self.key, key)
-        self.key = np.insert(self.key, at, key)
-        self.where = np.insert(self.where, at, np.stack([first, count], 1), axis=0)
+        self.key = np.concatenate([self.key, key])
+        self.where = np.concatenate([self.where, np.stack([first, count], 1)])
+        slot = self._slot(key)
+        while len(row):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = row[free]
+            left = self.slots[slot] != row  # taken before, or by another of these
+            row, slot = row[left], slot[left] + 1 & len(self.slots) - 1
 
     def gather(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some rows, and how many each has."""
@@ -117,18 +140,23 @@ def encode(texts: list[str], table: IdTable, library) -> list[np.ndarray]:
     byte = np.concatenate([[0], np.cumsum(size)])
     stop = np.append(start[1:], len(point))
     data = np.frombuffer(joined.encode(), np.uint8)
-    key, first, which = np.unique(
-        hashes(data, byte[start], byte[stop], lower=False), return_index=True, return_inverse=True
-    )
-    new = np.flatnonzero(table.find(key) < 0)
+    key = hashes(data, byte[start], byte[stop], lower=False)
+    row = table.find(key)
+    unknown = np.flatnonzero(row < 0)
+    new = unknown[np.unique(key[unknown], return_index=True)[1]]
     if len(new) + len(table.key) > table.entries:
         table._empty()
-        new = np.arange(len(key))
+        unknown = np.arange(len(key))
+        new = np.unique(key, return_index=True)[1]
+    found = []
     for white in (False, True):
-        some = new[(last[first[new]] == SPACE) == white]
+        some = new[(last[new] == SPACE) == white]
         if len(some):
-            pieces = [joined[a:b] for a, b in zip(start[first[some]].tolist(), stop[first[some]].tolist())]
-            table.add(key[some], *library(pieces, white))
-    ids, count = table.gather(table.find(key)[which])
+            pieces = [joined[a:b] for a, b in zip(start[some].tolist(), stop[some].tolist())]
+            found.append((key[some], *library(pieces, white)))
+    if found:
+        table.add(*(np.concatenate(x) for x in zip(*found)))
+        row[unknown] = table.find(key[unknown])
+    ids, count = table.gather(row)
     edge = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(start, edges)]
     return [ids[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]

@@ -110,3 +110,48 @@ def test_grammar_to_the_end():
             at = np.flatnonzero(pair == key)
             apart = int(token_files._every_other(at).sum())
             assert uses < token_files.LEAST_USES or apart < token_files.LEAST_USES
+
+
+def test_id_table():
+    rng = np.random.default_rng(5)
+    table = token_runs.IdTable(entries=600)
+    # Many keys share their upper bits, so they share slots.
+    key = np.unique(rng.integers(0, 40, 500).astype(np.uint64) << np.uint64(58) | rng.integers(0, 1 << 20, 500).astype(np.uint64))
+    count = rng.integers(0, 5, len(key))
+    ids = np.arange(count.sum(), dtype=np.uint32)
+    assert (table.find(key) == -1).all()
+    half = len(key) // 2
+    table.add(key[:half], ids[: count[:half].sum()], count[:half])
+    assert (table.find(key[half:]) == -1).all()
+    table.add(key[half:], ids[count[:half].sum() :], count[half:])
+    found, n = table.gather(table.find(key))
+    assert np.array_equal(found, ids) and np.array_equal(n, count)
+    more = np.arange(2000, dtype=np.uint64)  # more than it holds: it starts anew, with these alone
+    table.add(more, np.arange(2000, dtype=np.uint32), np.ones(2000, np.int64))
+    assert np.array_equal(table.gather(table.find(more))[0], np.arange(2000))
+    assert (table.find(key[key >= 2000]) == -1).all()
+
+
+def test_library_is_asked_once_per_pre_token():
+    asked = []
+    table = token_runs.IdTable()
+
+    def library(pieces, white):
+        asked.extend(pieces)
+        return np.array([len(p) for p in pieces], np.uint32), np.ones(len(pieces), np.int64)
+
+    texts = ["one two two", "", "two  one\n", "one three"]
+    for _ in range(2):
+        found = token_runs.encode(texts, table, library)
+        assert [x.tolist() for x in found] == [[3, 4, 4], [], [3, 1, 4, 1], [3, 6]]
+    assert len(asked) == len(set(asked))
+    # A table that holds less than one slice needs gives the same.
+    assert [x.tolist() for x in token_runs.encode(texts, token_runs.IdTable(2), library)] == [x.tolist() for x in found]
+
+
+def test_expand_with_and_without_lengths():
+    ids = np.tile(np.arange(40, dtype=np.uint32), 300)
+    body, rules, lengths = token_files.compress(ids, 100)
+    assert np.array_equal(token_files.expand(body, rules, 100, lengths), ids)
+    assert np.array_equal(token_files.expand(body, rules, 100), ids)
+    assert np.array_equal(token_files._rule_lengths(rules, 100), lengths)
