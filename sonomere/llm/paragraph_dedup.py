@@ -27,6 +27,12 @@ LEAST_WORDS = 20
 SENTENCE_WORDS = 8
 # Of so many passages of the least size in a row, one at least is a unit.
 SPREAD = 15
+# Keys of bands go to parts by their first bits, in blocks: these bits and bytes of a key are compared,
+# so one in 2**52 pairs meets for nothing; so many keys a task packs and a part holds at once.
+PART_BITS = 12
+KEY_BYTES = 5
+BLOCK_KEYS = 1 << 20
+PART_KEYS = 1 << 22
 
 _LINE_END = np.arange(256) == 0x0A
 # The characters that end a sentence.
@@ -217,25 +223,56 @@ def _paragraphs(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFrame:
-    """``(key, name)`` per band of every line and sentence, once per slice: copies are one row
-    before the shuffle. Passages of the least size are there for copies word for word, which agree
-    in their name.
+    """``(part, block)``: per band of every line and sentence its key and name, packed by the first
+    bits of the key. A name is there once per ``BLOCK_KEYS`` keys of a task: copies are one before
+    the shuffle. Passages of the least size are there for copies word for word, which agree in
+    their name.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             for piece in slices(batch):
                 units = Units.of(piece.column(1), least)
                 names, at = np.unique(units.name, return_index=True)
                 if len(names):
                     h, edges = _unit_shingles(units, at, k)
-                    keys = _band_keys(_signatures(h, edges, rows * bands), rows)
-                    name = np.repeat(names, bands).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.ravel().view(np.int64)), pa.array(name)], ["key", "name"]
-                    )
+                    held.append((names, _band_keys(_signatures(h, edges, rows * bands), rows)))
+                    n += len(names) * bands
+                if n >= BLOCK_KEYS:
+                    yield _packed(held)
+                    held, n = [], 0
+        if held:
+            yield _packed(held)
+
+    return docs.mapInArrow(run, "part int, block binary")
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Names and their keys as one block of bytes per part."""
+    names, at = np.unique(np.concatenate([x for x, _ in held]), return_index=True)
+    keys = np.concatenate([y for _, y in held])[at]
+    order = np.argsort(keys, axis=None)
+    key, name = keys.ravel()[order], names[order // keys.shape[1]]
+    part = (key >> np.uint64(64 - PART_BITS)).astype(np.int32)
+    # Of a key go the bits that the part does not have, less the last ones.
+    short = (key << np.uint64(PART_BITS)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    rows = np.concatenate([short, name.astype("<u8").view(np.uint8).reshape(-1, 8)], axis=1)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    edges = np.append(first, len(part)) * rows.shape[1]
+    blocks = pa.Array.from_buffers(
+        pa.binary(), len(first), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(rows.tobytes())]
+    )
+    return pa.RecordBatch.from_arrays([pa.array(part[first]), blocks], ["part", "block"])
+
 
-    return docs.mapInArrow(run, "key bigint, name bigint")
+def _unpacked(part: int, block: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(block.as_buffer(), np.uint8).reshape(-1, KEY_BYTES + 8)
+    key = np.zeros((len(rows), 8), np.uint8)
+    key[:, :KEY_BYTES] = rows[:, :KEY_BYTES]
+    key = key.view(">u8").ravel().astype(np.uint64) >> np.uint64(PART_BITS)
+    key |= np.uint64(part) << np.uint64(64 - PART_BITS)
+    return key, np.ascontiguousarray(rows[:, KEY_BYTES:]).view("<u8").ravel()
 
 
 def _unit_shingles(units: Units, which: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,31 +286,42 @@ def _unit_shingles(units: Units, which: np.ndarray, k: int) -> tuple[np.ndarray,
 
 
 def _followers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of (key, name): ``(key, name, first)`` of all but the first of a key.
+    """From blocks in order of their part: ``(key, name, first)`` of all but the first of a key.
 
-    Rows stream by; of a bucket only its first name is remembered, however large it is.
+    Of a part at most ``PART_KEYS`` keys are held beside one of every bucket: the others leave as
+    they come, however large a bucket is, and may then come more than once.
     """
-    last_key = last_name = last_pivot = None
+    last = None
+    held, n = [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column(0).to_numpy(zero_copy_only=False)
-        name = batch.column(1).to_numpy(zero_copy_only=False)
-        first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
-        pivot = name[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-        again = np.zeros(len(key), bool)
-        again[1:] = ~first[1:] & (name[1:] == name[:-1])
-        if last_key is not None and key[0] == last_key:
-            run = len(key) if first.sum() == 1 else int(np.flatnonzero(first)[1])
-            pivot[:run] = last_pivot
-            again[0] = name[0] == last_name
-        last_key, last_name, last_pivot = key[-1], name[-1], pivot[-1]
-        kept = ~again & (name != pivot)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[kept]), pa.array(name[kept]), pa.array(pivot[kept])],
-            ["key", "name", "first"],
-        )
+        for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if part != last or n >= PART_KEYS:
+                if held:
+                    first, out = _split(held)
+                    yield out
+                    held = [first] if part == last else []
+                last, n = part, 0
+            held.append(_unpacked(part, block))
+            n += len(held[-1][0])
+    if held:
+        yield _split(held)[1]
+
+
+def _split(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[tuple[np.ndarray, np.ndarray], pa.RecordBatch]:
+    """One name of every key, the first that was held, and the others with it."""
+    key, name = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(key, kind="stable")
+    key, name = key[order], name[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    pivot = name[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+    others = np.flatnonzero(name != pivot)
+    others = others[np.lexsort((name[others], key[others]))]
+    again = np.zeros(len(others), bool)
+    again[1:] = (key[others][1:] == key[others][:-1]) & (name[others][1:] == name[others][:-1])
+    others = others[~again]
+    out = [pa.array(x[others].view(np.int64)) for x in (key, name, pivot)]
+    return (key[first], name[first]), pa.RecordBatch.from_arrays(out, ["key", "name", "first"])
 
 
 def _texts(docs: DataFrame, paragraphs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
@@ -371,11 +419,11 @@ def repeated_paragraphs(
     bands = tune(similarity, recall, rows)
     paragraphs = written(_paragraphs(source, least_words), "paragraphs")
     keys = _keys(source, least_words, words, rows, bands)
-    ordered = keys.repartition("key").sortWithinPartitions("key", "name")
+    ordered = keys.repartition("part").sortWithinPartitions("part")
     followers = ordered.mapInArrow(_followers, "key bigint, name bigint, first bigint")
     followers = written(followers, "buckets")
     rows = followers.select("key", F.col("name").alias("id"))
-    rows = rows.union(followers.select("key", F.col("first").alias("id")).distinct())
+    rows = rows.union(followers.select("key", F.col("first").alias("id"))).distinct()
     buckets = pairing.with_pivot(rows)
 
     texts = _texts(source, paragraphs, buckets.select(F.col("id").alias("name")).distinct(), least_words)

@@ -3,6 +3,10 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
+import pytest
+
 from sonomere.llm import paragraph_dedup
 from tests.llm.conftest import prose, table, words_of
 from tests.llm.test_near_dups import edited
@@ -166,3 +170,40 @@ def test_tuned_bands_reach_the_recall():
     for similarity in (0.6, 0.8, 0.9):
         bands = paragraph_dedup.tune(similarity, 0.999, 4)
         assert 1 - (1 - similarity**4) ** bands >= 0.999 > 1 - (1 - similarity**4) ** (bands - 1)
+
+
+@pytest.mark.parametrize("held", [1 << 22, 50])
+def test_buckets_from_packed_keys(monkeypatch, held):
+    monkeypatch.setattr(paragraph_dedup, "PART_KEYS", held)
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 64, 300, dtype=np.uint64)
+    pool[:20] = (pool[0] & ~np.uint64(0xFFFF << 30)) + (np.arange(20, dtype=np.uint64) << np.uint64(30))
+    names = rng.integers(0, 1 << 64, 400, dtype=np.uint64)
+    batches, wanted = [], {}
+    for _ in range(6):
+        some = rng.choice(names, 120, replace=False)
+        keys = rng.choice(pool, (120, 4))
+        keys[:, 0] = pool[5]  # a bucket of all
+        packed = paragraph_dedup._packed([(some[:70], keys[:70]), (some[50:], keys[50:])])
+        batches.append(packed)
+        for name, row in zip(some.tolist(), keys.tolist()):
+            for key in row:
+                wanted.setdefault(key, set()).add(name)
+    whole = pa.Table.from_batches(batches).sort_by("part")
+    found = {}
+    for batch in paragraph_dedup._followers(whole.to_batches(max_chunksize=7)):
+        for key, name, first in zip(*(x.to_numpy().view(np.uint64).tolist() for x in batch.columns)):
+            assert name != first
+            found.setdefault(key, set()).update((name, first))
+    lost = 64 - paragraph_dedup.PART_BITS - 8 * paragraph_dedup.KEY_BYTES
+    wanted = {k >> lost << lost: v for k, v in wanted.items() if len(v) > 1}
+    assert found == wanted
+
+
+def test_keys_are_shuffled_in_blocks(spark):
+    rows = [(i, "\n".join(prose(100 * i + j, 25) for j in range(8)), "en") for i in range(40)]
+    source = paragraph_dedup.id_and_text(table(spark, rows).coalesce(1))
+    bands = paragraph_dedup.tune(0.8)
+    blocks = paragraph_dedup._keys(source, 20, 5, paragraph_dedup.ROWS, bands).collect()
+    assert len({r.part for r in blocks}) == len(blocks)
+    assert sum(len(r.block) for r in blocks) % ((paragraph_dedup.KEY_BYTES + 8) * bands) == 0
