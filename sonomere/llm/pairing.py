@@ -18,11 +18,15 @@ def with_pivot(rows: DataFrame) -> DataFrame:
     resemble each other, so it meets them more often.
     """
     shared = rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    rows = written(rows.join(shared, "key"), "buckets")
+    return weighed(written(rows.join(shared, "key"), "buckets"))
+
+
+def weighed(rows: DataFrame) -> DataFrame:
+    """``with_pivot`` of buckets whose sizes are known: ``(key, id, m)``."""
     weight = rows.groupBy("id").agg(F.sum("m").alias("weight"))
-    weighed = rows.drop("m").join(weight, "id")
-    pivot = weighed.groupBy("key").agg(F.max(F.struct("weight", "id")).alias("p"))
-    return written(weighed.join(pivot, "key").select("key", "id", F.col("p.id").alias("pivot")), "buckets")
+    rows = rows.drop("m").join(weight, "id")
+    pivot = rows.groupBy("key").agg(F.max(F.struct("weight", "id")).alias("p"))
+    return written(rows.join(pivot, "key").select("key", "id", F.col("p.id").alias("pivot")), "buckets")
 
 
 def stars(buckets: DataFrame) -> DataFrame:

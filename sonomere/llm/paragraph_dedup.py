@@ -1,13 +1,16 @@
 """Repeated passages: MinHash bands of paragraphs, exact Jaccard similarity, components."""
 
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sonomere.llm import pairing
 from sonomere.llm.batches import (
@@ -15,7 +18,7 @@ from sonomere.llm.batches import (
 )
 from sonomere.llm.components import components
 from sonomere.llm.near_dups import text_sets
-from sonomere.storage import written
+from sonomere.storage import shuffles_released, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -33,10 +36,16 @@ PART_BITS = 12
 KEY_BYTES = 5
 BLOCK_KEYS = 1 << 20
 PART_KEYS = 1 << 22
+# Places of paragraphs go to as many parts by the first bits of their names, after those of the keys.
+PLACE_BITS = 10
+PLACES_FROM = 1 << PART_BITS
+SETTLED_FROM = PLACES_FROM + (1 << PLACE_BITS)
+SETTLED_ROWS = 1 << 12
 
 _LINE_END = np.arange(256) == 0x0A
 # The characters that end a sentence.
 _SENTENCE_ENDS = [c.encode() for c in ".!?।॥。！？｡؟۔"]
+_LAST_BYTE = np.isin(np.arange(256), [mark[-1] for mark in _SENTENCE_ENDS])
 
 
 def tune(similarity: float, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -67,11 +76,13 @@ def _band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 def _ends_sentence(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """For every word, whether its last character ends a sentence."""
     found = np.zeros(len(end), bool)
+    likely = np.flatnonzero(_LAST_BYTE[data[end - 1]])
+    start, end = start[likely], end[likely]
     for mark in _SENTENCE_ENDS:
         same = end - start >= len(mark)
         for j, byte in enumerate(reversed(mark)):
             same[same] = data[end[same] - 1 - j] == byte
-        found |= same
+        found[likely[same]] = True
     return found
 
 
@@ -195,46 +206,22 @@ def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray, least: int
     return out
 
 
-def _paragraphs(docs: DataFrame, least: int) -> DataFrame:
-    """``(doc_id, line, part, start, n_words, name)`` of every paragraph; ``name`` stands for its
-    words, ``start`` counts the words of the text before it.
-    """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch):
-                units = Units.of(piece.column(1), least, passages=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column(0).take(pa.array(units.row)),
-                        pa.array(units.line, pa.int32()),
-                        pa.array(units.part, pa.int32()),
-                        pa.array(units.before, pa.int32()),
-                        pa.array(units.stop - units.first, pa.int32()),
-                        pa.array(units.name.view(np.int64)),
-                    ],
-                    ["doc_id", "line", "part", "start", "n_words", "name"],
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(
-        run, f"doc_id {kind}, line int, part int, start int, n_words int, name bigint"
-    )
-
-
-def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFrame:
+def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int, places: bool = False) -> DataFrame:
     """``(part, block)``: per band of every line and sentence its key and name, packed by the first
     bits of the key. A name is there once per ``BLOCK_KEYS`` keys of a task: copies are one before
     the shuffle. Passages of the least size are there for copies word for word, which agree in
     their name.
+
+    With ``places`` also every paragraph, packed by the first bits of its name (``_packed_places``).
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
+        listed, m, packs = [], 0, 0
         for batch in batches:
             for piece in slices(batch):
-                units = Units.of(piece.column(1), least)
-                names, at = np.unique(units.name, return_index=True)
+                units = Units.of(piece.column(1), least, passages=places)
+                names, at = np.unique(units.name[units.part >= 0], return_index=True)
                 if len(names):
                     h, edges = _unit_shingles(units, at, k)
                     held.append((names, _band_keys(_signatures(h, edges, rows * bands), rows)))
@@ -242,12 +229,65 @@ def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int) -> DataFra
                 if n >= BLOCK_KEYS:
                     yield _packed(held)
                     held, n = [], 0
+                if places and len(units.name):
+                    listed.append(_listed(piece.column(0), units))
+                    m += len(units.name)
+                if m >= BLOCK_KEYS:
+                    yield _packed_places(listed, packs)
+                    listed, m, packs = [], 0, packs + 1
         if held:
             yield _packed(held)
+        if listed:
+            yield _packed_places(listed, packs)
 
     return docs.mapInArrow(run, "part int, block binary")
 
 
+def _listed(doc_id: pa.Array, units: Units) -> pa.RecordBatch:
+    """Every paragraph with its place; ``start`` counts the words of the text before it."""
+    columns = [
+        doc_id.take(pa.array(units.row)),
+        pa.array(units.line, pa.int32()),
+        pa.array(units.part, pa.int32()),
+        pa.array(units.before, pa.int32()),
+        pa.array(units.stop - units.first, pa.int32()),
+        pa.array(units.name.view(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "part", "start", "n_words", "name"])
+
+
+def _packed_places(listed: list[pa.RecordBatch], packs: int) -> pa.RecordBatch:
+    """Paragraphs as blocks: the first of each name goes to the part of that name, with whether the
+    pack has it again. The others of the pack are known to be repeated and go anywhere, so that a
+    very frequent paragraph spreads.
+    """
+    rows = pa.concat_batches(listed)
+    name = rows.column("name").to_numpy().view(np.uint64)
+    order = np.argsort(name, kind="stable")
+    new = np.append(True, name[order][1:] != name[order][:-1])
+    start = np.flatnonzero(new)
+    first = order[start]
+    again = np.diff(np.append(start, len(order))) > 1
+    part = (name[first] >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+    by_part = np.lexsort((first, part))
+    first, again, part = first[by_part], again[by_part], part[by_part]
+    edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+    rest = np.sort(order[~new])
+    cuts = np.append(np.arange(0, len(rest), SETTLED_ROWS), len(rest))
+    number = (TaskContext.get().partitionId() if TaskContext.get() else 0) * 31 + packs
+    parts, blocks = (part[edges[:-1]] + PLACES_FROM).tolist(), []
+    parts += [SETTLED_FROM + (number * 64 + i) % (1 << PART_BITS) for i in range(len(cuts) - 1)]
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for which, known, ends in ((first, again, edges), (rest, np.ones(len(rest), bool), cuts)):
+        sorted_rows = rows.take(pa.array(which)).append_column("again", pa.array(known))
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, sorted_rows.schema, options=options) as stream:
+                stream.write_batch(sorted_rows.slice(a, b - a))
+            blocks.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())], ["part", "block"])
+
+
 def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """Names and their keys as one block of bytes per part."""
     names, at = np.unique(np.concatenate([x for x, _ in held]), return_index=True)
@@ -291,20 +331,122 @@ def _followers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of a part at most ``PART_KEYS`` keys are held beside one of every bucket: the others leave as
     they come, however large a bucket is, and may then come more than once.
     """
-    last = None
+    for _, out in _followers_of_parts(batches):
+        yield out
+
+
+def _followers_of_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """``_followers``, each with whether its buckets are whole."""
+    last, whole = None, True
     held, n = [], 0
     for batch in batches:
         for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
             if part != last or n >= PART_KEYS:
+                same = part == last
                 if held:
                     first, out = _split(held)
-                    yield out
-                    held = [first] if part == last else []
-                last, n = part, 0
+                    yield whole and not same, out
+                    held = [first] if same else []
+                last, n, whole = part, 0, not same
             held.append(_unpacked(part, block))
             n += len(held[-1][0])
     if held:
-        yield _split(held)[1]
+        yield whole, _split(held)[1]
+
+
+def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(key, name, first, m, lead)`` like ``_followers``; ``m`` counts the members, one row of a
+    bucket is its ``lead``.
+
+    A whole bucket has its members for a key and the least name for its first, so buckets of several
+    bands that hold the same paragraphs have the same rows.
+    """
+    for whole, batch in _followers_of_parts(batches):
+        key, name, first = (x.to_numpy().view(np.uint64) for x in batch.columns)
+        if not len(key):
+            continue
+        lead = np.append(True, key[1:] != key[:-1])
+        start = np.flatnonzero(lead)
+        size = np.diff(np.append(start, len(key)))
+        if whole:
+            least = np.repeat(np.minimum(np.minimum.reduceat(name, start), first[start]), size)
+            key = np.repeat(mix(np.add.reduceat(mix(name), start) + mix(first[start])), size)
+            name, first = np.where(name == least, first, name), least
+            order = np.lexsort((name, np.repeat(np.arange(len(start)), size)))
+            key, name, first = key[order], name[order], first[order]
+        out = [pa.array(x.view(np.int64)) for x in (key, name, first)]
+        out += [pa.array(np.repeat(size + 1, size), pa.int64()), pa.array(lead)]
+        yield pa.RecordBatch.from_arrays(out, ["key", "name", "first", "m", "lead"])
+
+
+def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From blocks in order of their part: all lines and sentences, and the passages whose name is
+    there ``again``. Of every name one row that is no settled one is ``one``.
+
+    Of a part at most ``PART_KEYS`` rows are held beside one of every name.
+    """
+    last, held, n, known = None, [], 0, np.empty(0, np.int64)
+    for batch in batches:
+        for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows = pa.ipc.open_stream(block.as_buffer()).read_next_batch()
+            if part >= SETTLED_FROM:
+                yield rows.append_column("one", pa.array(np.zeros(len(rows), bool)))
+                continue
+            if held and (part != last or n >= PART_KEYS):
+                rest, known, out = _settle(held, known, part != last)
+                yield out
+                held = [rest] if part == last else []
+                n = 0
+            if part != last:
+                last, n, known = part, 0, np.empty(0, np.int64)
+            held.append(rows)
+            n += len(rows)
+    if held:
+        yield _settle(held, known, True)[2]
+
+
+def _settle(held: list[pa.RecordBatch], known: np.ndarray, over: bool):
+    """Rows to be held on, names that are known to be there again, and rows to be given out."""
+    rows = pa.concat_batches(held)
+    name = rows.column("name").to_numpy()
+    names, first, which, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
+    again = count > 1
+    again[which[rows.column("again").to_numpy(zero_copy_only=False)]] = True
+    old = np.isin(names, known)
+    one = np.zeros(len(rows), bool)
+    one[first[~old]] = True
+    repeated = (again | old)[which]
+    rows = rows.drop_columns(["again"]).append_column("again", pa.array(repeated)).append_column("one", pa.array(one))
+    leave = repeated | (rows.column("part").to_numpy() >= 0) if over else repeated
+    rest = rows.filter(pa.array(~leave)).drop_columns(["one"])
+    return rest, np.union1d(known, names[again | old]), rows.filter(pa.array(leave))
+
+
+def _gathered(blocks: DataFrame, doc_id) -> DataFrame:
+    """Rows of ``_buckets`` and, without an ``m``, rows of ``_places``."""
+    kinds = {
+        "key": pa.int64(), "name": pa.int64(), "first": pa.int64(), "m": pa.int64(), "lead": pa.bool_(),
+        "doc_id": to_arrow_type(doc_id), "line": pa.int32(), "part": pa.int32(), "start": pa.int32(),
+        "n_words": pa.int32(), "again": pa.bool_(), "one": pa.bool_(),
+    }
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+        for batch in batches:
+            at = int(np.searchsorted(batch.column(0).to_numpy(), PLACES_FROM))
+            for places, piece in ((False, batch.slice(0, at)), (True, batch.slice(at))):
+                if len(piece):
+                    yield places, piece
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for places, pieces in itertools.groupby(cut(batches), lambda x: x[0]):
+            for out in (_places if places else _buckets)(piece for _, piece in pieces):
+                columns = dict(zip(out.schema.names, out.columns))
+                whole = [columns[k] if k in columns else pa.nulls(len(out), kind) for k, kind in kinds.items()]
+                yield pa.RecordBatch.from_arrays(whole, list(kinds))
+
+    schema = "key bigint, name bigint, first bigint, m bigint, lead boolean"
+    schema += f", doc_id {doc_id.simpleString()}, line int, part int, start int, n_words int, again boolean, one boolean"
+    return written(blocks.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema), "paragraphs")
 
 
 def _split(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[tuple[np.ndarray, np.ndarray], pa.RecordBatch]:
@@ -324,32 +466,33 @@ def _split(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[tuple[np.ndarray,
     return (key[first], name[first]), pa.RecordBatch.from_arrays(out, ["key", "name", "first"])
 
 
-def _texts(docs: DataFrame, paragraphs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """``(name, text)`` of the wanted paragraphs, cut out of the first document with each."""
-    places = paragraphs.join(wanted, "name", "left_semi").groupBy("name")
-    places = places.agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id")
-    places = places.agg(F.collect_list("name").alias("names"))
+def _texts(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(name, text)`` of the wanted paragraphs, each cut out of a document that has it."""
+    places = places.filter("one AND part >= 0").select("name", "doc_id", "start", "n_words")
+    places = places.join(wanted, "name", "left_semi").groupBy("doc_id")
+    places = places.agg(F.collect_list(F.struct("name", "start", "n_words")).alias("places"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, 0):
-                units = Units.of(piece.column(0), least)
-                data, _ = flat(piece.column(0))
-                names, texts = [], []
-                wanted = [set(x) for x in piece.column(1).to_pylist()]
-                for i, name in enumerate(units.name.view(np.int64).tolist()):
-                    mine = wanted[units.row[i]]
-                    if name in mine:
-                        mine.remove(name)
-                        names.append(name)
-                        a, b = units.word_start[units.first[i]], units.word_end[units.stop[i] - 1]
-                        texts.append(data[a:b].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-                    ["name", "text"],
-                )
-
-    joined = docs.join(places, "doc_id").select("text", "names")
+                data, offsets = flat(piece.column(0))
+                a, b, row = spans(data, offsets)
+                listed = piece.column(1)
+                of = np.repeat(np.arange(len(piece)), listed.value_lengths().to_numpy())
+                name, start, size = (x.to_numpy() for x in listed.flatten().flatten())
+                edges = np.searchsorted(row, np.arange(len(piece) + 1))
+                first = edges[of] + start
+                # Rows that share a doc_id share its list: each gives what it has.
+                there = first + size <= edges[of + 1]
+                name, first, stop = name[there], first[there], (first + size)[there]
+                same = sequence_hashes(hashes(data, a, b), first, stop).view(np.int64) == name
+                name, first, stop = name[same], first[same], stop[same]
+                low, high = a[first].tolist(), b[stop - 1].tolist()
+                whole = data.tobytes()
+                texts = pa.array([whole[x:y] for x, y in zip(low, high)], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), texts], ["name", "text"])
+
+    joined = docs.join(places, "doc_id").select("text", "places")
     found = joined.mapInArrow(run, "name bigint, text string")
     return written(found, "paragraph-texts")
 
@@ -415,43 +558,52 @@ def repeated_paragraphs(
     table gives an empty one; other columns are ignored. A very long text is cut up whole by one
     task; its paragraphs go their own ways from there.
     """
-    source = id_and_text(docs, doc_id, text).filter("doc_id IS NOT NULL")
+    with shuffles_released(docs.sparkSession):
+        return _repeated(id_and_text(docs, doc_id, text), similarity, recall, least_words, words, rows)
+
+
+def _repeated(
+    docs: DataFrame, similarity: float, recall: float, least_words: int, words: int, rows: int
+) -> DataFrame:
+    source = docs.filter("doc_id IS NOT NULL")
     bands = tune(similarity, recall, rows)
-    paragraphs = written(_paragraphs(source, least_words), "paragraphs")
-    keys = _keys(source, least_words, words, rows, bands)
-    ordered = keys.repartition("part").sortWithinPartitions("part")
-    followers = ordered.mapInArrow(_followers, "key bigint, name bigint, first bigint")
-    followers = written(followers, "buckets")
-    rows = followers.select("key", F.col("name").alias("id"))
-    rows = rows.union(followers.select("key", F.col("first").alias("id"))).distinct()
-    buckets = pairing.with_pivot(rows)
-
-    texts = _texts(source, paragraphs, buckets.select(F.col("id").alias("name")).distinct(), least_words)
+    blocks = _keys(source, least_words, words, rows, bands, places=True)
+    gathered = _gathered(blocks, source.schema["doc_id"].dataType)
+    places = gathered.filter("m IS NULL").drop("key", "first", "m", "lead")
+    met = gathered.filter("m IS NOT NULL").groupBy("key", "name", "first", "m", "lead").agg(F.count("*").alias("bands"))
+    ids = F.when(F.col("lead"), F.array("name", "first")).otherwise(F.array("name"))
+    met = met.select("key", F.explode(ids).alias("id"), F.expr("m * bands").alias("m"))
+    buckets = pairing.weighed(written(met, "buckets"))
+
+    texts = _texts(source, places, buckets.select(F.col("id").alias("name")).distinct())
     found = components(_confirmed(pairing.stars(buckets), texts, words, similarity))
     found = written(found, "components")
     members = pairing.unsettled(buckets, found)
     if not members.isEmpty():
-        inside = members.select(F.col("id").alias("name"))
-        elements = _elements(texts.join(inside, "name", "left_semi"), words)
+        inside = texts.join(members.select(F.col("id").alias("name")), "name", "left_semi")
+        inside = written(inside.dropDuplicates(["name"]), "paragraph-texts")
+        elements = written(_elements(inside, words), "elements")
         pairs = pairing.across(members, elements, math.floor(1000 * similarity + 1e-9))
-        more = _confirmed(pairs, texts, words, similarity)
+        more = _confirmed(pairs, inside, words, similarity)
         known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = written(components(known.union(more)), "components")
-    return _passages(paragraphs, found.withColumnRenamed("id", "name"), least_words)
+    return _passages(places, found.withColumnRenamed("id", "name"), least_words)
 
 
-def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> DataFrame:
-    counted = paragraphs.groupBy("name").agg(F.count("*").alias("n")).join(found, "name", "left")
-    nodes = counted.filter("n > 1 OR component IS NOT NULL")
-    nodes = nodes.select("name", F.coalesce("component", "name").alias("component"))
+def _passages(places: DataFrame, found: DataFrame, least_words: int) -> DataFrame:
+    columns = ["doc_id", "line", "part", "start", "n_words", F.coalesce("component", "name").alias("component")]
+    units = places.filter("part >= 0").join(found, "name", "left")
+    units = units.filter("again OR component IS NOT NULL").select(columns)
+    # Passages are in no bucket: their names are their components.
+    passages = places.filter("part < 0").withColumn("component", F.lit(None).cast("bigint")).select(columns)
     place = F.struct("doc_id", "line", "part")
-    repeated = written(paragraphs.join(nodes, "name").drop("name"), "repeated")
+    repeated = written(units.union(passages), "repeated")
     first = repeated.groupBy("component").agg(
         F.min(F.struct("doc_id", "line", "part", "start", "n_words")).alias("first"),
         F.max(place).alias("last"),
     )
     other = F.struct("first.doc_id", "first.line", "first.part")
-    first = first.filter(other != F.col("last")).select("component", "first")
+    first = first.filter(other != F.col("last"))
     # A sentence may be like the line it stands in, a passage like the one that begins in it.
     overlap = (F.col("doc_id") == F.col("first.doc_id")) & F.expr(
         "start < first.start + first.n_words AND first.start < start + n_words"
@@ -459,9 +611,12 @@ def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> Data
     placed = repeated.join(first, "component").select(
         "doc_id", "line", "part", "start", "n_words", "component",
         F.col("first.doc_id").alias("first_doc_id"), ((place != other) & ~overlap).alias("removed"),
+        (F.col("first.doc_id") == F.col("last.doc_id")).alias("alone"),
     )
-    copied = placed.filter("removed").select("component").distinct()
-    placed = placed.join(copied, "component", "left_semi")
+    # Windows inside a document share this shuffle. What other documents have too is copied.
+    inside = Window.partitionBy("doc_id", "component")
+    placed = placed.repartition("doc_id").withColumn("copied", F.max("removed").over(inside))
+    placed = placed.filter("copied OR NOT alone").drop("copied", "alone")
     line = Window.partitionBy("doc_id", "line")
     whole = F.max(F.when(F.col("part") == 0, F.col("removed")).otherwise(False)).over(line)
     end = F.max(F.when(F.col("part") == 0, F.expr("start + n_words"))).over(line)
@@ -478,7 +633,7 @@ def _passages(paragraphs: DataFrame, found: DataFrame, least_words: int) -> Data
 
 
 def _elements(texts: DataFrame, k: int) -> DataFrame:
-    """``(id, element)``: the distinct shingles of some paragraphs."""
+    """``(id, element)``: the distinct shingles of some paragraphs, each there once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -490,4 +645,4 @@ def _elements(texts: DataFrame, k: int) -> DataFrame:
                     [part.column(0).take(pa.array(which)), pa.array(element)], ["id", "element"]
                 )
 
-    return texts.select("name", "text").mapInArrow(run, "id bigint, element bigint").distinct()
+    return texts.select("name", "text").mapInArrow(run, "id bigint, element bigint")
