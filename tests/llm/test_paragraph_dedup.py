@@ -207,3 +207,48 @@ def test_keys_are_shuffled_in_blocks(spark):
     blocks = paragraph_dedup._keys(source, 20, 5, paragraph_dedup.ROWS, bands).collect()
     assert len({r.part for r in blocks}) == len(blocks)
     assert sum(len(r.block) for r in blocks) % ((paragraph_dedup.KEY_BYTES + 8) * bands) == 0
+
+
+@pytest.mark.parametrize("held", [1 << 22, 60])
+def test_unique_passages_end_at_the_first_shuffle(monkeypatch, held):
+    monkeypatch.setattr(paragraph_dedup, "PART_KEYS", held)
+    monkeypatch.setattr(paragraph_dedup, "SETTLED_ROWS", 16)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(1500):
+        part = int(rng.integers(-3, 2))
+        name = int(rng.integers(0, 900)) if i % 4 else 7  # one stands everywhere
+        name = int(paragraph_dedup.mix(np.array([name * 8 + 8 * (part < 0) * 1000], np.uint64)).view(np.int64)[0])
+        rows.append((f"doc {i}", i, part, 2 * i, 20, name))
+    names = ["doc_id", "line", "part", "start", "n_words", "name"]
+    batches = []
+    for pack in range(3):
+        some = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[a : a + 50]]) for a in range(500 * pack, 500 * pack + 500, 50)]
+        batches.append(paragraph_dedup._packed_places(some, pack))
+    whole = pa.Table.from_batches(batches).sort_by("part")
+    # However frequent, a paragraph sends one row of a pack to its part.
+    assert whole.num_rows > 3 and max(map(len, whole["block"].to_pylist())) < 20_000
+    found = [r for b in paragraph_dedup._places(whole.to_batches(max_chunksize=5)) for r in b.to_pylist()]
+    count = {}
+    for r in rows:
+        count[r[-1]] = count.get(r[-1], 0) + 1
+    got = sorted((*(r[k] for k in names), r["again"]) for r in found)
+    assert got == sorted((*r, count[r[-1]] > 1) for r in rows if r[2] >= 0 or count[r[-1]] > 1)
+    ones = [r["name"] for r in found if r["one"]]
+    assert sorted(ones) == sorted({r["name"] for r in found})
+
+
+def test_equal_buckets_of_several_bands_have_the_same_rows():
+    names = np.array([11, 22, 33, 44], np.uint64)
+    keys = np.array([[1, 2, 3], [1, 2, 9], [1, 2, 8], [7, 6, 5]], np.uint64) << np.uint64(40)
+    blocks = paragraph_dedup._packed([(names[::-1], keys[::-1]), (names, keys)])
+    rows = [tuple(r.values()) for b in paragraph_dedup._buckets([blocks]) for r in b.to_pylist()]
+    assert len(rows) == 4 and len(set(rows)) == 2
+    assert {r[1:] for r in rows} == {(22, 11, 3, True), (33, 11, 3, False)}
+
+
+def test_links_between_components(spark):
+    found = spark.createDataFrame([(1, 1), (5, 1), (3, 3), (4, 3), (8, 8), (9, 8)], "id bigint, component bigint")
+    links = spark.createDataFrame([(4, 5), (9, 20), (30, 31)], "a bigint, b bigint")
+    got = {tuple(r) for r in paragraph_dedup._merged(found, links).collect()}
+    assert got == {(1, 1), (5, 1), (3, 1), (4, 1), (8, 8), (9, 8), (20, 8), (30, 30), (31, 30)}
