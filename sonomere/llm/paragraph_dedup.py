@@ -57,15 +57,12 @@ def tune(similarity: float, recall: float = RECALL, rows: int = ROWS) -> int:
 
 def _signatures(h: np.ndarray, edges: np.ndarray, n: int) -> np.ndarray:
     """``n`` MinHash values of every stretch of ``h``; odd multipliers stand for permutations."""
-    out = np.empty((n, len(edges) - 1), np.uint64)
-    value, high = np.empty_like(h), np.empty_like(h)
+    out = np.empty((len(edges) - 1, n), np.uint64)
     for i, factor in enumerate(mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)):
-        np.multiply(h, factor, out=value)
-        np.right_shift(value, np.uint64(32), out=high)
-        value ^= high
-        value *= factor
-        np.minimum.reduceat(value, edges[:-1], out=out[i])
-    return out.T
+        value = h * factor
+        value ^= value >> np.uint64(32)
+        out[:, i] = np.minimum.reduceat(value * factor, edges[:-1])
+    return out
 
 
 def _band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
@@ -101,15 +98,13 @@ def _passages_at(word: np.ndarray, row: np.ndarray, least: int) -> tuple[np.ndar
     name = mix(~sequence_hashes(word, first, first + least))
     start = np.flatnonzero(np.append(True, row[first][1:] != row[first][:-1]))[: len(first)]
     size = np.diff(np.append(start, len(first)))
-    last = np.repeat(start + np.maximum(size - SPREAD, 0), size)
-    end = np.repeat(start + size - 1, size)
+    group = np.repeat(np.arange(len(start)), size)
+    last = (start + np.maximum(size - SPREAD, 0))[group]
     at = np.arange(len(first))
-    least_at, seen = at, 1
-    while seen < SPREAD:  # the least of the passages from here on, of twice as many each time
-        step = min(seen, SPREAD - seen)
-        other = least_at[np.minimum(at + step, end)]
+    least_at = at.copy()
+    for j in range(1, SPREAD):
+        other = np.minimum(at + j, (start + size - 1)[group])
         least_at = np.where(name[other] < name[least_at], other, least_at)
-        seen += step
     chosen = np.unique(least_at[at <= last])
     return first[chosen], name[chosen]
 
@@ -194,28 +189,21 @@ def _sentences(first: np.ndarray, stop: np.ndarray, cuts: np.ndarray, least: int
 
     A line under ``least`` words without an inner end is a sentence itself.
     """
-    low, high = np.searchsorted(cuts, first, "right"), np.searchsorted(cuts, stop, "left")
-    size = stop - first
-    alone = np.flatnonzero((low >= high) & (size < least) & (size >= SENTENCE_WORDS))
     out = [], [], [], []
-    several = np.flatnonzero(low < high)
-    low, high, cuts = low[several].tolist(), high[several].tolist(), cuts.tolist()
-    for i, a, b, x, y in zip(several.tolist(), first[several].tolist(), stop[several].tolist(), low, high):
+    low = np.searchsorted(cuts, first, "right").tolist()
+    high = np.searchsorted(cuts, stop, "left").tolist()
+    cuts = cuts.tolist()
+    for i, (a, b) in enumerate(zip(first.tolist(), stop.tolist())):
+        for x, value in zip(out, (i, 0, a, b)):
+            x.append(value)
         begin, part = a, 0
-        for cut in [*cuts[x:y], b]:
+        for cut in [*cuts[low[i] : high[i]], b] if low[i] < high[i] or b - a < least else ():
             if cut - a >= SENTENCE_WORDS and ((a, cut) != (begin, b) or b - begin < least):
                 part += 1
-                out[0].append(i)
-                out[1].append(part)
-                out[2].append(a)
-                out[3].append(cut)
+                for x, value in zip(out, (i, part, a, cut)):
+                    x.append(value)
                 a = cut
-    lines = np.arange(len(first))
-    whole = [(lines, alone), (lines * 0, alone * 0 + 1), (first, first[alone]), (stop, stop[alone])]
-    found = [np.concatenate([*x, np.array(y, np.int64)]) for x, y in zip(whole, out)]
-    # In order of lines, each before its sentences.
-    order = np.lexsort((found[1], found[0]))
-    return tuple(x[order] for x in found)
+    return out
 
 
 def _keys(docs: DataFrame, least: int, k: int, rows: int, bands: int, places: bool = False) -> DataFrame:
@@ -509,19 +497,6 @@ def _texts(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(found, "paragraph-texts")
 
 
-def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
-    """How many elements each pair of sets shares: an element mixed with the number of its pair
-    stands there twice.
-    """
-    pair = np.concatenate([np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (first, second)])
-    if not len(pair):
-        return np.zeros(len(first), np.int64)
-    key = mix(np.concatenate([*first, *second]) + mix(pair.astype(np.uint64)))
-    order = np.argsort(key)
-    twice = key[order[1:]] == key[order[:-1]]
-    return np.bincount(pair[order[1:][twice]], minlength=len(first))
-
-
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
     """Pairs ``(a, b)`` whose full sets of shingles reach the similarity."""
     joined = pairs
@@ -534,13 +509,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) ->
         for batch in batches:
             for part in slices(batch, 2):
                 encoded = part.column(2).dictionary_encode()
-                sets = text_sets(encoded.dictionary, k)
-                first = [sets[i] for i in encoded.indices.to_pylist()]
+                first = text_sets(encoded.dictionary, k)
                 second = text_sets(part.column(3), k)
-                n, m = (np.array([len(x) for x in y], np.int64) for y in (first, second))
-                common = _common(first, second)
-                keep = common >= similarity * (n + m - common)
-                yield part.select(["a", "b"]).filter(pa.array(keep))
+                keep = []
+                for i, s in zip(encoded.indices.to_pylist(), second):
+                    f = first[i]
+                    common = len(np.intersect1d(f, s, assume_unique=True))
+                    keep.append(common >= similarity * (len(f) + len(s) - common))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     rows = joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
     return written(rows.distinct(), "paragraph-links")
@@ -609,26 +585,11 @@ def _repeated(
         elements = written(_elements(inside, words), "elements")
         pairs = pairing.across(members, elements, math.floor(1000 * similarity + 1e-9))
         more = _confirmed(pairs, inside, words, similarity)
-        found = written(_merged(found, more), "components")
+        known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        found = written(components(known.union(more)), "components")
     return _passages(places, found.withColumnRenamed("id", "name"), least_words)
 
 
-def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
-    """``found(id, component)`` with more links ``(a, b)``: they are lifted to components, which are
-    linked instead of all their members.
-    """
-    ids = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
-    new = ids.join(found, "id", "left_anti")
-    found = found.select("id", "component").union(new.select("id", F.col("id").alias("component")))
-    for end in ("a", "b"):
-        place = found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
-        links = links.join(place, end)
-    roots = components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-    roots = roots.select(F.col("id").alias("component"), F.col("component").alias("root"))
-    found = found.join(roots, "component", "left")
-    return found.select("id", F.coalesce("root", "component").alias("component"))
-
-
 def _passages(places: DataFrame, found: DataFrame, least_words: int) -> DataFrame:
     columns = ["doc_id", "line", "part", "start", "n_words", F.coalesce("component", "name").alias("component")]
     units = places.filter("part >= 0").join(found, "name", "left")
