@@ -26,6 +26,10 @@ from sonomere.streaming.records import stream_records, write_stream
 
 # Appends that an arriving table is dealt into.
 ARRIVALS = 4
+# Files of an append, and of a micro-batch, however large; they are read by row groups of so many
+# bytes.
+TRIGGER_FILES = 8
+ROW_GROUP = 16 << 20
 LEVEL_KEYS = ["recorder"]
 
 
@@ -35,20 +39,22 @@ def arriving(rows: DataFrame, when, heartbeat: dict, copies) -> DataFrame:
     heartbeat, the row of the given values.
     """
     spark = rows.sparkSession
-    once = rows.withColumn("__arrival", when.cast("int"))
-    again = once.filter(copies).withColumn("__arrival", F.col("__arrival") + 1)
+    arrival = when.cast("int")
+    times = F.when(copies, F.array(arrival, arrival + 1)).otherwise(F.array(arrival))
+    dealt = rows.withColumn("__arrival", F.explode(times))
     first = new_path(spark, "arrivals")
-    once.union(again).write.partitionBy("__arrival").parquet(first)
+    dealt.write.partitionBy("__arrival").parquet(first)
     source = new_path(spark, "stream-in")
     schema = rows.schema
-    for arrival in range(ARRIVALS + 1):
-        dealt = spark.read.schema(once.schema).parquet(first).filter(F.col("__arrival") == arrival)
-        dealt.drop("__arrival").write.mode("append").parquet(source)
-    beat = spark.range(1).select(
+    for arrived in range(ARRIVALS + 1):
+        append = spark.read.schema(dealt.schema).parquet(first).filter(F.col("__arrival") == arrived)
+        append = append.drop("__arrival").coalesce(TRIGGER_FILES)
+        append.write.option("parquet.block.size", ROW_GROUP).mode("append").parquet(source)
+    beat = spark.range(0, 1, 1, 1).select(
         *[F.lit(heartbeat.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
     beat.write.mode("append").parquet(source)
-    return stream_records(spark, source, schema, max_files=8)
+    return stream_records(spark, source, schema, max_files=TRIGGER_FILES)
 
 
 def to_end(stream: DataFrame) -> DataFrame:

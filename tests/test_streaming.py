@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sonomere.operators.frames import cut_records
+from sonomere.plans import timelines
 from sonomere.plans.workflows import WelchSpl
+from sonomere.streaming import samples
 from sonomere.streaming.levels import levels_by_window
 from sonomere.streaming.records import stream_records, write_stream
 from sonomere.streaming.samples import cut_record_stream
@@ -183,3 +185,85 @@ def test_a_stream_needs_a_delay(spark, tmp_path):
     feed = LevelFeed(spark, tmp_path, LEVELS, lambda s: windows(s, None)).add(level_rows(3))
     with pytest.raises(ValueError, match="delay"):
         feed.run()
+
+
+def test_many_short_channels_share_their_state(spark, tmp_path, monkeypatch):
+    """A micro-batch calls Python once for a group of records, not once for each."""
+    monkeypatch.setattr(samples, "GROUPS", 16, raising=False)
+    n = 400
+    rows = [(f"c{c}", i, c + i / 8) for i in range(12) for c in range(n)]
+    feed = Feed(spark, tmp_path, SAMPLES, cutter("fill", "1 hour")).add(rows[:n * 5])
+    assert records(feed) == [] and feed.state_rows <= 16
+    found = records(feed.add(rows[n * 3:]))
+    assert feed.state_rows <= 16
+    assert found == sorted((f"c{c}", 0, [c + i / 8 for i in range(8)]) for c in range(n))
+    found = records(feed.add([("a", 10**6, None)]))
+    assert len(found) == 2 * n and feed.state_rows == 0
+    assert [r for r in found if r[1]] == sorted(
+        (f"c{c}", 1, [c + i / 8 for i in range(8, 12)] + [0.0] * 4) for c in range(n)
+    )
+
+
+@pytest.fixture
+def one_group(monkeypatch):
+    monkeypatch.setattr(samples, "GROUPS", 1)
+
+
+@pytest.mark.parametrize("last_record", ["skip", "fill", "keep"])
+def test_records_of_one_group_stay_apart(spark, tmp_path, one_group, last_record):
+    test_shuffled_and_repeated_samples_make_the_records_of_a_table(spark, tmp_path, last_record)
+
+
+def test_each_record_of_a_group_has_its_own_end(spark, tmp_path, one_group):
+    test_late_samples_are_dropped_and_open_records_wait(spark, tmp_path)
+
+
+def test_a_gap_is_filled_beside_records_that_are_out(spark, tmp_path, one_group):
+    test_a_gap_is_filled_while_there_is_time(spark, tmp_path)
+
+
+def test_keys_of_any_type_come_out_as_they_went_in(spark, tmp_path):
+    keys = "id bigint, at timestamp, name string, price decimal(20,4), f double, day date, raw binary"
+    values = [
+        "9007199254740993L, timestamp'2024-03-31 01:30:00.123456', 'a\\n\"b\\u00e9', 0.1000BD, 0.1D, date'2024-02-29', X'00FF'",
+        "CAST(NULL AS BIGINT), NULL, NULL, NULL, NULL, NULL, NULL",
+        "1L, timestamp'1969-12-31 23:59:59.999999', '', -5.0000BD, double('NaN'), date'1582-10-15', X''",
+    ]
+    schema = f"{keys}, frame bigint, x double"
+    source = " UNION ALL ".join(f"SELECT {v} , id, id + 0.5D FROM range(8)" for v in values)
+    table = spark.createDataFrame(spark.sql(source).collect(), schema)
+    table.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = stream_records(spark, str(tmp_path / "in"), schema)
+    names = [f.split()[0] for f in keys.split(", ")]
+    cut = cut_record_stream(stream, names, SIZE, FS, "1 hour")
+    assert cut.select(names).dtypes == table.select(names).dtypes
+    write_stream(cut, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    shown = lambda df: sorted(map(str, df.select(names).distinct().collect()))
+    assert shown(found) == shown(table)
+    assert {tuple(r.samples) for r in found.collect()} == {tuple(i + 0.5 for i in range(8))}
+
+
+def test_an_append_is_a_few_large_files(spark, monkeypatch):
+    """So that micro-batches do not grow in number with the tasks that read and write the table."""
+    paths = []
+
+    def noted(spark, path, schema, **options):
+        paths.append(path)
+        return stream_records(spark, path, schema, **options)
+
+    monkeypatch.setattr(timelines, "stream_records", noted)
+    small = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1k"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        table = spark.range(4000, numPartitions=40).select((F.col("id") % 40).alias("c"), "id")
+        when, copies = F.col("id") % timelines.ARRIVALS, F.col("id") % 7 == 0
+        stream = timelines.arriving(table, when, {"id": 10**9}, copies)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    found = spark.read.parquet(*paths)
+    assert sorted(r.id for r in found.collect()) == sorted([*range(4000), *range(0, 4000, 7), 10**9])
+    assert len(found.inputFiles()) <= 8 * (timelines.ARRIVALS + 1) + 1
+    assert timelines.to_end(stream).count() == found.count()
