@@ -83,7 +83,7 @@ def cut_record_stream(
         F.col(value).cast("double").alias("__value"),
     )
     fields = [*(StructField(k, samples.schema[k].dataType) for k in keys), StructField("record_idx", LongType())]
-    packed = placed.mapInArrow(_packer(len(fields)), StructType([
+    packed = placed.mapInArrow(_packer(len(fields), place_type(record_size)), StructType([
         *fields, StructField("__places", BinaryType()), StructField("__samples", BinaryType())
     ]))
     end = record_end_ms(F.col("record_idx"), record_size, fs, origin_ms)
@@ -107,7 +107,12 @@ def cut_record_stream(
     )
 
 
-def _packer(n_names: int):
+def place_type(record_size: int) -> np.dtype:
+    """The smallest type that holds the places of a record's samples."""
+    return np.min_scalar_type(record_size - 1)
+
+
+def _packer(n_names: int, dtype: np.dtype):
     """Rows of ``(*names, place, value)`` to one row per record and ``GATHERED`` samples: the places
     and the values of its samples as bytes. A record of heartbeats alone has none.
     """
@@ -138,7 +143,7 @@ def _packer(n_names: int):
         values = value.fill_null(np.nan).to_numpy(zero_copy_only=False)[order]
         heard = ~np.isnan(values)
         offsets = np.append(0, np.cumsum(np.add.reduceat(heard, starts, dtype=np.int64)))
-        places = place.to_numpy(zero_copy_only=False)[order][heard].astype(np.int32)
+        places = place.to_numpy(zero_copy_only=False)[order][heard].astype(dtype)
         first = pa.array(order[starts])
         return pa.RecordBatch.from_arrays(
             [*(c.take(first) for c in names), binary(offsets, places), binary(offsets, values[heard])],
@@ -161,21 +166,23 @@ def _packer(n_names: int):
 
 
 def _collector(size: int, last_record: LastRecord):
+    dtype = place_type(size)
+
     def loaded(state: GroupState) -> tuple:
         """The records of a group as arrays; ``names`` are (key, index)."""
         if not state.exists:
-            return [], *(np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.float64))
+            return [], *(np.empty(0, t) for t in (np.int64, np.int64, dtype, np.float64))
         keys, idx, due, counts, places, values = state.get
         names = list(zip(bytes(keys).decode().split("\n"), np.frombuffer(idx, np.int64).tolist()))
         return (
             names, np.frombuffer(due, np.int64), np.frombuffer(counts, np.int64),
-            np.frombuffer(places, np.int32), np.frombuffer(values),
+            np.frombuffer(places, dtype), np.frombuffer(values),
         )
 
     def keep(state: GroupState, now: int, names, due, counts, places, values) -> None:
         if names:
             keys, idx = zip(*names)
-            arrays = np.array(idx, np.int64), due, counts, places.astype(np.int32), values
+            arrays = np.array(idx, np.int64), due, counts, places, values
             state.update(("\n".join(keys).encode(), *(a.tobytes() for a in arrays)))
             state.setTimeoutTimestamp(max(int(due.min()), now + 1))
         elif state.exists:
@@ -205,9 +212,9 @@ def _collector(size: int, last_record: LastRecord):
         due[touched] = np.maximum(np.fromiter(ends.values(), np.int64, len(ends)), now + 1)
         # A number per record and place.
         kept = np.repeat(np.arange(n), np.maximum(counts, 0)) * size + places
-        lengths = np.array([len(p) // places.itemsize for p in new_places], np.int64)
+        lengths = np.array([len(p) // dtype.itemsize for p in new_places], np.int64)
         new = np.repeat(np.array(into, np.int64), lengths) * size
-        new += np.frombuffer(b"".join(new_places), np.int32)
+        new += np.frombuffer(b"".join(new_places), dtype)
         mine = np.frombuffer(b"".join(new_values))
         order = np.lexsort((mine, new))
         order = order[counts[new[order] // size] != OUT]
@@ -215,7 +222,7 @@ def _collector(size: int, last_record: LastRecord):
         found, first = np.unique(np.concatenate([kept, new[order]]), return_index=True)
         values = np.concatenate([values, mine[order]])[first]
         counts = np.where(counts == OUT, OUT, np.bincount(found // size, minlength=n))
-        return names, due, counts, (found % size).astype(np.int32), values, idle
+        return names, due, counts, (found % size).astype(dtype), values, idle
 
     def rows(names: list[tuple], samples) -> pd.DataFrame:
         keys, idx = zip(*names)

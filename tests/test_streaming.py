@@ -267,3 +267,13 @@ def test_an_append_is_a_few_large_files(spark, monkeypatch):
     assert sorted(r.id for r in found.collect()) == sorted([*range(4000), *range(0, 4000, 7), 10**9])
     assert len(found.inputFiles()) <= 8 * (timelines.ARRIVALS + 1) + 1
     assert timelines.to_end(stream).count() == found.count()
+
+
+@pytest.mark.parametrize("size", [1, 256, 257, 70_000])
+def test_records_of_any_size(spark, tmp_path, size):
+    rows = [("a", i, float(i)) for i in range(2 * size + min(size - 1, 3))]
+    build = lambda s: cut_record_stream(s, ["channel"], size, float(size), "1 hour", last_record="keep")
+    feed = Feed(spark, tmp_path, SAMPLES, build).add(rows[::-2]).add(rows[1::2] + rows[::2])
+    found = records(feed.add([("a", 10**4 * size, None)]))
+    wanted = [rows[lo : lo + size] for lo in range(0, len(rows), size)]
+    assert found == [("a", n, [x for _, _, x in part]) for n, part in enumerate(wanted)]
